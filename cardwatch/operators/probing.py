@@ -14,12 +14,14 @@ larger amount":
 those).  One sweep in time order with two prefix-max Fenwick trees over the
 amount ranks computes both, so no pair or triple is ever built.
 
-Spark does the distribution: rows are grouped by (card, time bin of width W);
+Spark does the distribution: rows are keyed by (card, time bin of width W);
 bin ``f`` also receives the REJECTs of bin ``f-1`` (a halo), which holds every
 ``a`` and ``b`` any ``c`` in bin ``f`` can use.  A busy card is thereby split
-into one group per bin, each holding at most two windows of that card.  The
-sweep itself is the per-group helper of ``applyInPandas`` (Arrow batches);
-ordering and amount ranks are numpy, only the tree updates loop in Python.
+into one group per bin, each holding at most two windows of that card.  Spark
+hash-partitions on the key and sorts each partition (spilling as needed); the
+sweep is a ``mapInArrow`` helper that streams the sorted Arrow batches and
+holds one group at a time.  Group boundaries and the skipping of groups that
+cannot hold a pattern are numpy; only the tree updates loop in Python.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from __future__ import annotations
 import datetime as _dt
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,80 +37,109 @@ from cardwatch import schemas as S
 from cardwatch.functions import epoch_us, from_epoch_us, window_us
 from cardwatch.operators.velocity import floor_div
 
+_OUT = pa.schema([("trans_id", pa.int64()), ("card_num", pa.string()), ("c_us", pa.int64()), ("m_us", pa.int64())])
 _OUT_SCHEMA = "trans_id long, card_num string, c_us long, m_us long"
 _NONE = np.iinfo(np.int64).min
-# typed: an untyped empty frame fails Arrow conversion of the group result
-_EMPTY = pd.DataFrame({
-    "trans_id": np.array([], dtype=np.int64), "card_num": np.array([], dtype=object),
-    "c_us": np.array([], dtype=np.int64), "m_us": np.array([], dtype=np.int64),
-})
+_COLS = ("card_num", "_bin", "_t", "_cents", "_rej", "_halo", "trans_id")
+
+
+def _sweep_group(t, amt, rej, query_c, window):
+    """M(c) for the rows of one (card, bin) group, sorted by time."""
+    uniq = np.unique(amt)
+    size = len(uniq)
+    # position 1 is the largest amount: "amount greater than x" is the prefix 1 .. pos(x) - 1
+    pos = (size - np.searchsorted(uniq, amt)).tolist()
+    fen_a = [_NONE] * (size + 1)   # max REJECT time per amount position
+    fen_m = [_NONE] * (size + 1)   # max A(b) per amount position
+    a_of = [_NONE] * len(t)
+    m_of = [_NONE] * len(t)
+    tl = t.tolist()
+    rl = rej.tolist()
+    ql = query_c.tolist()
+    n = len(tl)
+    i = 0
+    while i < n:
+        j = i
+        while j < n and tl[j] == tl[i]:
+            j += 1
+        # answer the whole equal-time run first: only strictly earlier rows count
+        for r in range(i, j):
+            if not (rl[r] or ql[r]):
+                continue
+            q = pos[r] - 1
+            best = _NONE
+            fen = fen_a if rl[r] else fen_m
+            while q > 0:
+                if fen[q] > best:
+                    best = fen[q]
+                q -= q & -q
+            if rl[r]:
+                a_of[r] = best
+            else:
+                m_of[r] = best
+        for r in range(i, j):
+            if rl[r]:
+                p, v = pos[r], tl[r]
+                while p <= size:
+                    if fen_a[p] < v:
+                        fen_a[p] = v
+                    p += p & -p
+                v = a_of[r]
+                if v != _NONE:
+                    p = pos[r]
+                    while p <= size:
+                        if fen_m[p] < v:
+                            fen_m[p] = v
+                        p += p & -p
+        i = j
+    m = np.asarray(m_of, dtype=np.int64)
+    return query_c & (m != _NONE) & (m > t - window), m
+
+
+def _complete_groups(cols: dict, window: int, out: list) -> None:
+    card, gbin, t = cols["card_num"], cols["_bin"], cols["_t"]
+    n = len(t)
+    if n == 0:
+        return
+    rej, halo = cols["_rej"], cols["_halo"]
+    brk = np.flatnonzero((card[1:] != card[:-1]) | (gbin[1:] != gbin[:-1])) + 1
+    starts = np.concatenate(([0], brk))
+    ends = np.concatenate((brk, [n]))
+    query_c = (~rej) & (~halo)
+    # a group needs an own SUCCESS and two REJECTs to hold a pattern
+    live = (np.add.reduceat(query_c.astype(np.int64), starts) > 0) & (np.add.reduceat(rej.astype(np.int64), starts) >= 2)
+    for s, e in zip(starts[live], ends[live]):
+        hit, m = _sweep_group(t[s:e], cols["_cents"][s:e], rej[s:e], query_c[s:e], window)
+        if hit.any():
+            out.append(pa.RecordBatch.from_arrays(
+                [pa.array(cols["trans_id"][s:e][hit], pa.int64()), pa.array(card[s:e][hit], pa.string()),
+                 pa.array(t[s:e][hit], pa.int64()), pa.array(m[hit], pa.int64())], schema=_OUT))
 
 
 def _sweep(window: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        own_success = (~pdf["_rej"]) & (~pdf["_halo"])
-        if not own_success.any() or int(pdf["_rej"].sum()) < 2:
-            return _EMPTY.copy()
-        pdf = pdf.sort_values("_t", kind="stable")
-        t = pdf["_t"].to_numpy(np.int64)
-        amt = pdf["_cents"].to_numpy(np.int64)
-        rej = pdf["_rej"].to_numpy(bool)
-        query_c = (~rej) & (~pdf["_halo"].to_numpy(bool))
-        # rank amounts descending: position 1 is the largest amount, so "amount
-        # greater than x" is the prefix 1 .. pos(x) - 1
-        uniq = np.unique(amt)
-        pos = (len(uniq) - np.searchsorted(uniq, amt)).tolist()
-        size = len(uniq)
-        fen_a = [_NONE] * (size + 1)   # max REJECT time per amount position
-        fen_m = [_NONE] * (size + 1)   # max A(b) per amount position
-        a_of = [_NONE] * len(t)
-        m_of = [_NONE] * len(t)
-        tl = t.tolist()
-        n = len(tl)
-        i = 0
-        while i < n:
-            j = i
-            while j < n and tl[j] == tl[i]:
-                j += 1
-            # answer the whole equal-time group first: only strictly earlier rows count
-            for r in range(i, j):
-                q = pos[r] - 1
-                best = _NONE
-                if rej[r]:
-                    while q > 0:
-                        if fen_a[q] > best:
-                            best = fen_a[q]
-                        q -= q & -q
-                    a_of[r] = best
-                elif query_c[r]:
-                    while q > 0:
-                        if fen_m[q] > best:
-                            best = fen_m[q]
-                        q -= q & -q
-                    m_of[r] = best
-            for r in range(i, j):
-                if rej[r]:
-                    p, v = pos[r], tl[r]
-                    while p <= size:
-                        if fen_a[p] < v:
-                            fen_a[p] = v
-                        p += p & -p
-                    v = a_of[r]
-                    if v != _NONE:
-                        p = pos[r]
-                        while p <= size:
-                            if fen_m[p] < v:
-                                fen_m[p] = v
-                            p += p & -p
-            i = j
-        m = np.asarray(m_of, dtype=np.int64)
-        hit = query_c & (m != _NONE) & (m > t - window)
-        return pd.DataFrame({
-            "trans_id": pdf["trans_id"].to_numpy()[hit],
-            "card_num": pdf["card_num"].to_numpy()[hit],
-            "c_us": t[hit],
-            "m_us": m[hit],
-        })
+    """Streams a partition sorted by (card, bin, time); keeps one group in hand."""
+
+    def run(batches):
+        carry = None
+        for b in batches:
+            cols = {c: b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in _COLS}
+            if carry is not None:
+                cols = {c: np.concatenate((carry[c], cols[c])) for c in _COLS}
+            n = len(cols["_t"])
+            if n == 0:
+                continue
+            card, gbin = cols["card_num"], cols["_bin"]
+            last = n - 1
+            while last > 0 and card[last - 1] == card[n - 1] and gbin[last - 1] == gbin[n - 1]:
+                last -= 1
+            out: list = []
+            _complete_groups({c: v[:last] for c, v in cols.items()}, window, out)
+            carry = {c: v[last:] for c, v in cols.items()}
+            yield from out
+        if carry is not None:
+            out = []
+            _complete_groups(carry, window, out)
+            yield from out
 
     return run
 
@@ -117,7 +148,7 @@ def probing_hits(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> DataF
     """(trans_id, card_num, c_us, m_us) for every SUCCESS that completes a
     falling REJECT, REJECT, SUCCESS pattern within ``window``."""
     big_w = window_us(window)
-    scale = tx.schema["amt"].dataType.scale if hasattr(tx.schema["amt"].dataType, "scale") else 2
+    scale = getattr(tx.schema["amt"].dataType, "scale", 2)
     base = (
         tx.filter(
             F.col("oper_result").isin(S.RESULT_REJECT, S.RESULT_SUCCESS)
@@ -133,8 +164,15 @@ def probing_hits(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> DataF
     )
     own = base.withColumn("_halo", F.lit(False))
     halo = base.filter("_rej").withColumn("_bin", F.col("_bin") + 1).withColumn("_halo", F.lit(True))
-    groups = own.unionByName(halo)
-    return groups.groupBy("card_num", "_bin").applyInPandas(_sweep(big_w), _OUT_SCHEMA)
+    # an explicit partition count: AQE would fold a small input into one Python task
+    n = int(tx.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = (
+        own.unionByName(halo)
+        .repartition(n, "card_num", "_bin")
+        .sortWithinPartitions("card_num", "_bin", "_t")
+        .select(*_COLS)
+    )
+    return groups.mapInArrow(_sweep(big_w), _OUT_SCHEMA)
 
 
 def probing_ids(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> DataFrame:

@@ -1,0 +1,179 @@
+"""Three-day run of the daily batch over feed files and source tables:
+SCD2 transitions, facts, watermarks, the report, the ledger, a rerun and a
+failed run (FIXTURES.md §3, SURVEY §5.2-5.3)."""
+
+import datetime as dt
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardwatch import schemas as S
+from cardwatch.plans.daily import Sources, current_state, report_of, run_daily
+from cardwatch.plans.report import Windows
+from cardwatch.sources.feeds import next_day
+from cardwatch.sources.store import Store
+
+D = [dt.datetime(2024, 3, 1), dt.datetime(2024, 3, 2), dt.datetime(2024, 3, 3)]
+FAR = dt.datetime(2030, 1, 1)
+
+
+def write_feeds(folder, day, tx_rows, term_rows, bl_rows):
+    tag = day.strftime("%d%m%Y")
+    lines = ["transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal"]
+    for i, ts, amt, card, res, term in tx_rows:
+        lines.append(f"{i};{ts:%Y-%m-%d %H:%M:%S};{amt};{card};PAYMENT;{res};{term}")
+    (folder / f"transactions_{tag}.txt").write_text("\n".join(lines) + "\n")
+    t = ["terminal_id;terminal_type;terminal_city;terminal_address"] + [";".join(r) for r in term_rows]
+    (folder / f"terminals_{tag}.csv").write_text("\n".join(t) + "\n")
+    b = ["date;passport"] + [f"{d:%Y-%m-%d %H:%M:%S};{p}" for d, p in bl_rows]
+    (folder / f"passport_blacklist_{tag}.csv").write_text("\n".join(b) + "\n")
+
+
+def sources(spark, day):
+    clients = [
+        ("C1", "Ivanov", "Ivan", None, dt.datetime(1980, 1, 1), "P1", FAR, "+71", D[0], None),
+        ("C2", "Petrov", "Petr", "Petrovich", dt.datetime(1981, 1, 1), "P2", dt.datetime(2024, 2, 1), "+72", D[0], None),
+        ("C3", "Sidorov", None, None, dt.datetime(1982, 1, 1), "P3", FAR, "+73", D[0], None),
+    ]
+    accounts = [("A1", FAR, "C1", D[0], None), ("A2", FAR, "C2", D[0], None),
+                ("A3", dt.datetime(2024, 2, 15), "C3", D[0], None)]
+    cards = [("K1  ", "A1", D[0], None), ("K2  ", "A2", D[0], None), ("K3  ", "A3", D[0], None)]
+    if day >= 1:
+        clients[2] = clients[2][:6] + (dt.datetime(2031, 1, 1),) + clients[2][7:9] + (D[1] + dt.timedelta(hours=10),)
+        accounts = accounts[:2]                                  # A3 deleted from the source
+    return Sources(
+        accounts=spark.createDataFrame(accounts, S.SRC_ACCOUNTS),
+        cards=spark.createDataFrame(cards, S.SRC_CARDS),
+        clients=spark.createDataFrame(clients, S.SRC_CLIENTS),
+    )
+
+
+def day_files(folder):
+    h = lambda d, hh, mm=0: d + dt.timedelta(hours=hh, minutes=mm)
+    terms1 = [("T1", "POS", "Moscow", "a1"), ("T2", "ATM", "Kazan", "a2"), ("T3", "POS", "Moscow", "a3")]
+    terms2 = [("T1", "POS", "Moscow", "a1"), ("T2", "ATM", "Kazan", "a2"), ("T3", "POS", "Kazan", "a3b")]
+    write_feeds(folder, D[0], [
+        (1, h(D[0], 10), "10,00", "K1", "SUCCESS", "T1"),
+        (2, h(D[0], 10, 30), "20,50", "K1", "SUCCESS", "T2"),    # other city within 1 h
+        (3, h(D[0], 14), "300,00", "K1", "REJECT", "T1"),
+        (4, h(D[0], 14, 5), "200,00", "K1", "REJECT", "T1"),
+        (5, h(D[0], 14, 10), "100,00", "K1", "SUCCESS", "T1"),   # falling tries
+        (6, h(D[0], 12), "5,00", "K2", "SUCCESS", "T1"),         # expired passport
+        (7, h(D[0], 13), "5,00", "K3", "SUCCESS", "T1"),         # expired contract
+    ], terms1, [(dt.datetime(2024, 2, 20), "P9")])
+    write_feeds(folder, D[1], [
+        (8, h(D[1], 9), "1234,56", "K1", "SUCCESS", "T1"),       # P1 blacklisted today
+        (9, h(D[1], 15), "7,00", "K1", "SUCCESS", "T3"),
+    ], terms2, [(dt.datetime(2024, 2, 20), "P9"), (D[1], "P1")])
+    write_feeds(folder, D[2], [
+        (10, h(D[2], 9), "1,00", "K2", "SUCCESS", "T2"),
+    ], terms2, [(dt.datetime(2024, 2, 20), "P9"), (D[1], "P1")])
+
+
+WIN = Windows()
+
+
+@pytest.fixture()
+def world(spark, tmp_path):
+    feeds_dir = tmp_path / "feeds"
+    feeds_dir.mkdir()
+    day_files(feeds_dir)
+    return Store(spark, str(tmp_path / "wh")), str(feeds_dir)
+
+
+def run_all(spark, store, feeds_dir, semantics):
+    runs = []
+    for i in range(3):
+        f = next_day(spark, feeds_dir, store.ledger(store.effective()))
+        assert f is not None and f.load_dt == D[i]
+        runs.append(run_daily(spark, store, f, sources(spark, i), semantics, WIN))
+    assert next_day(spark, feeds_dir, store.ledger(store.effective())) is None
+    return runs
+
+
+def types(df):
+    return Counter(r["event_type"] for r in df.collect())
+
+
+def test_three_days_corrected(spark, world):
+    store, feeds_dir = world
+    run_all(spark, store, feeds_dir, "corrected")
+    day1 = report_of(store, D[0]).collect()
+    got = {(r["event_dt"].hour, r["event_dt"].minute): r["event_type"] for r in day1}
+    assert got == {(10, 30): "CITY_VELOCITY", (14, 10): "AMOUNT_PROBING", (12, 0): "PASSPORT_INVALID",
+                   (13, 0): "CONTRACT_EXPIRED"}
+    assert {r["fio"] for r in day1 if r["event_type"] == "CONTRACT_EXPIRED"} == {"Sidorov  "}
+    assert {r["report_dt"] for r in day1} == {D[1]}
+    day2 = report_of(store, D[1]).collect()
+    assert {(r["event_dt"].hour, r["event_type"]) for r in day2} == {(9, "PASSPORT_INVALID"), (15, "PASSPORT_INVALID")}
+
+    st = current_state(store)
+    cl = st["dim_clients_hist"].filter(F.col("client_id") == "C3").orderBy("effective_from").collect()
+    assert [(r["effective_from"], r["effective_to"]) for r in cl] == [
+        (D[0], D[0] + dt.timedelta(hours=10)), (D[1] + dt.timedelta(hours=10), S.OPEN_END)]
+    acc = st["dim_accounts_hist"].filter(F.col("account_num") == "A3").orderBy("effective_from").collect()
+    assert [(r["effective_to"], r["deleted_flg"]) for r in acc] == [(D[0], "N"), (S.OPEN_END, "Y")]
+    t3 = st["dim_terminals_hist"].filter(F.col("terminal_id") == "T3").orderBy("effective_from").collect()
+    assert [(r["terminal_city"], r["effective_from"], r["effective_to"]) for r in t3] == [
+        ("Moscow", D[0], D[0]), ("Kazan", D[1], S.OPEN_END)]
+    one_open = st["dim_terminals_hist"].filter(F.col("effective_to") == F.lit(S.OPEN_END)).groupBy(
+        "terminal_id").count().filter("count > 1").count()
+    assert one_open == 0
+    wm = {r["table_name"]: r["last_update_dt"] for r in st["meta_data"].collect()}
+    assert wm[S.WM_CLIENTS] == D[1] + dt.timedelta(hours=10)
+    assert wm[S.WM_TERMINALS] == D[2] + dt.timedelta(days=1)
+    assert wm[S.WM_BLACKLIST] == D[1]
+    assert st["fact_transactions"].count() == 10
+    assert st["fact_passport_blacklist"].count() == 2          # the cumulative file is filtered by watermark
+    amt = st["fact_transactions"].filter("trans_id = 8").collect()[0]["amt"]
+    assert str(amt) == "1234.56"
+
+
+def test_three_days_literal(spark, world):
+    store, feeds_dir = world
+    run_all(spark, store, feeds_dir, "literal")
+    day1 = types(report_of(store, D[0]))
+    # the literal R3/R4 flag only the single global latest *first* operation
+    assert day1 == {"CITY_VELOCITY": 1, "AMOUNT_PROBING": 1, "PASSPORT_INVALID": 1, "CONTRACT_EXPIRED": 1}
+    r = {(x["event_dt"].hour, x["event_dt"].minute): x["event_type"] for x in report_of(store, D[0]).collect()}
+    assert r[(10, 0)] == "CITY_VELOCITY" and r[(14, 0)] == "AMOUNT_PROBING"
+    st = current_state(store)
+    # literal terminal load: T1 is listed every day, closed on day 1 and never reopened (D3)
+    assert st["dim_terminals_hist"].filter("terminal_id = 'T1' AND effective_to = timestamp_ntz'5999-12-31'") \
+        .count() == 0
+    # literal delete: the old version ends the day after the load date, overlapping the tombstone
+    acc = st["dim_accounts_hist"].filter(F.col("account_num") == "A3").orderBy("effective_from").collect()
+    assert [(r["effective_to"], r["deleted_flg"]) for r in acc] == [(D[2], "N"), (S.OPEN_END, "Y")]
+
+
+def snapshot(store):
+    st = current_state(store)
+    return {k: sorted(map(tuple, v.collect()), key=repr) for k, v in st.items()}
+
+
+def test_rerun_is_idempotent_and_failed_run_invisible(spark, world):
+    store, feeds_dir = world
+    run_all(spark, store, feeds_dir, "corrected")
+    before = snapshot(store)
+    # rerun the last day from the same feeds: same state
+    from cardwatch.sources.feeds import read_blacklist, read_terminals, read_transactions, DayFeeds
+    import os
+    tag = D[2].strftime("%d%m%Y")
+    f = DayFeeds(D[2], read_transactions(spark, os.path.join(feeds_dir, f"transactions_{tag}.txt")),
+                 read_terminals(spark, os.path.join(feeds_dir, f"terminals_{tag}.csv")),
+                 read_blacklist(spark, os.path.join(feeds_dir, f"passport_blacklist_{tag}.csv")),
+                 [("transactions", f"transactions_{tag}.txt")])
+    run_daily(spark, store, f, sources(spark, 2), "corrected", WIN)
+    assert snapshot(store) == before
+    # a run that fails half-way publishes nothing
+    bad = sources(spark, 2)
+    bad = Sources(bad.accounts, bad.cards,
+                  bad.clients.withColumn("client_id", F.raise_error(F.lit("source went away")).cast("string")))
+    with pytest.raises(Exception):
+        run_daily(spark, store, f, bad, "corrected", WIN)
+    assert snapshot(store) == before
+    # an earlier date cannot be rerun once later dates are committed
+    with pytest.raises(ValueError):
+        run_daily(spark, store, DayFeeds(D[0], f.transactions, f.terminals, f.blacklist, []),
+                  sources(spark, 0), "corrected", WIN)
