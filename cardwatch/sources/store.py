@@ -119,15 +119,28 @@ class Store:
         )
 
     def dim(self, table: str, runs: list[Run]) -> DataFrame:
-        """Full history (with the provenance column) after ``runs``."""
+        """Full history (with the provenance column) after ``runs``.
+
+        Each part is filtered by what holds for it by construction (open part:
+        open rows; closed parts: no open row).  Every operator filters on
+        ``is_open`` before it touches rows, so Catalyst combines the filters,
+        finds the contradiction in one branch of the union and drops that scan:
+        an operator that only modifies open rows never reads the closed parts.
+        """
         schema = DIMS[table]
         if not runs:
             return self.spark.createDataFrame([], schema).withColumn(PROVENANCE, F.lit(False))
         stored = _with_field(_with_field(schema, "run_id", T.StringType()), "_part", T.StringType())
-        last = runs[-1].run_id
-        df = self._read(table, stored, [r.run_id for r in runs])
-        keep = (F.col("_part") == "closed") | ((F.col("_part") == "open") & (F.col("run_id") == last))
-        return df.filter(keep).withColumn(PROVENANCE, F.col("_part") == "closed").drop("run_id", "_part")
+        cols = [f.name for f in schema.fields]
+        open_part = (
+            self._read(table, stored, [runs[-1].run_id]).filter(F.col("_part") == "open").filter(is_open())
+            .select(*cols, F.lit(False).alias(PROVENANCE))
+        )
+        closed = (
+            self._read(table, stored, [r.run_id for r in runs]).filter(F.col("_part") == "closed")
+            .filter(~is_open()).select(*cols, F.lit(True).alias(PROVENANCE))
+        )
+        return open_part.unionByName(closed)
 
     def fact(self, table: str, runs: list[Run]) -> DataFrame:
         stored = _with_field(FACTS[table], "run_id", T.StringType())
@@ -155,12 +168,19 @@ class Store:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def write_dim(self, table: str, run: Run, hist: DataFrame) -> None:
-        """Write the open set and the newly closed versions of a history frame."""
+    @staticmethod
+    def dim_output(table: str, hist: DataFrame) -> DataFrame:
+        """What a run writes for a dimension: the open set and the versions
+        closed by this run; rows read from closed parts are dropped, which
+        lets Catalyst skip reading them wherever they were only passed along."""
         schema = DIMS[table]
         fresh = hist.filter(~F.coalesce(F.col(PROVENANCE), F.lit(False))) if PROVENANCE in hist.columns else hist
-        out = fresh.select(
+        return fresh.select(
             *[F.col(f.name).cast(f.dataType) for f in schema.fields],
             F.when(is_open(), F.lit("open")).otherwise(F.lit("closed")).alias("_part"),
         )
+
+    def write_dim(self, table: str, run: Run, hist: DataFrame) -> None:
+        """Write the open set and the newly closed versions of a history frame."""
+        out = self.dim_output(table, hist)
         out.write.mode("overwrite").partitionBy("_part").parquet(self.run_dir(table, run.run_id))
