@@ -1,9 +1,10 @@
 """Joins of the report: the dimension chain, its as-of form, key-set joins.
 
-No static broadcast hints: every dimension here grows with the data.  With
-AQE on, a sort-merge join becomes a broadcast only after the dimension's
-shuffle stage has *measured* its size under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise both sides
+No broadcast hints: every dimension here grows with the data.  Spark itself
+broadcasts a side only when its size is bounded: statically when the plan's
+size estimate is under ``spark.sql.autoBroadcastJoinThreshold``, or at run
+time when AQE has *measured* the side's shuffle output under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``.  Otherwise both sides
 shuffle on the join key, and a card that holds a large share of the
 operations is split by AQE's skew-join handling (the fact side of a left
 join may be split; the dimension side has one row per key).
@@ -27,7 +28,8 @@ def card_key(c: str | Column = "card_num") -> Column:
     return F.rtrim(F.col(c) if isinstance(c, str) else c)
 
 
-def dimension_chain(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> DataFrame:
+def dimension_chain(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
+                    extra: tuple[str, ...] = ()) -> DataFrame:
     """cards -> accounts -> clients, keyed by the trimmed card number.
 
     Joined among themselves first: ``tx ⟕ (cards ⟕ acc ⟕ cl)`` equals the
@@ -35,21 +37,25 @@ def dimension_chain(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -
     reject NULLs on the inner side, and the large fact then shuffles once
     instead of three times.  Every version of every dimension row takes part
     (the source applies no version filter), so several versions fan out.
+    ``extra`` client columns (e.g. a blacklist flag computed per client) are
+    carried along, so per-client facts are derived once per client, not per
+    operation.
     """
     c = cards.select(card_key("card_num").alias("_card_key"), F.col("card_num").alias("dim_card_num"),
                      F.col("account_num").alias("_acc"))
     a = accounts.select(F.col("account_num").alias("_acc"), "valid_to", F.col("client").alias("_client"))
-    cl = clients.select(F.col("client_id").alias("_client"), *[F.col(x) for x in CLIENT_COLS])
+    cl = clients.select(F.col("client_id").alias("_client"), *[F.col(x) for x in CLIENT_COLS + tuple(extra)])
     return (
         c.join(a, "_acc", "left")
         .join(cl, "_client", "left")
-        .select("_card_key", "dim_card_num", F.col("_acc").alias("account_num"), "valid_to", *CLIENT_COLS)
+        .select("_card_key", "dim_card_num", F.col("_acc").alias("account_num"), "valid_to", *CLIENT_COLS, *extra)
     )
 
 
-def dim_chain_join(tx: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> DataFrame:
+def dim_chain_join(tx: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
+                   extra: tuple[str, ...] = ()) -> DataFrame:
     """Every operation with its card, account and client (left joins)."""
-    dims = dimension_chain(cards, accounts, clients)
+    dims = dimension_chain(cards, accounts, clients, extra)
     return tx.join(dims, tx.card_num == dims._card_key, "left").drop("_card_key")
 
 
@@ -91,17 +97,17 @@ def asof_join(left: DataFrame, dim: DataFrame, left_key: Column, dim_key: str, t
 
 
 def asof_dim_chain(tx: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame, clients_hist: DataFrame,
-                   ts_col: str = "trans_date") -> DataFrame:
+                   ts_col: str = "trans_date", extra: tuple[str, ...] = ()) -> DataFrame:
     """The dimension chain with each dimension taken as of the operation time."""
     j = asof_join(tx, cards_hist.withColumn("card_num", card_key("card_num")), F.col("card_num"),
                   "card_num", ts_col, ["account_num"], "c_")
     j = asof_join(j, accounts_hist, F.col("c_account_num"), "account_num", ts_col, ["valid_to", "client"], "a_")
-    j = asof_join(j, clients_hist, F.col("a_client"), "client_id", ts_col, list(CLIENT_COLS), "l_")
+    j = asof_join(j, clients_hist, F.col("a_client"), "client_id", ts_col, list(CLIENT_COLS + tuple(extra)), "l_")
     return j.select(
         *tx.columns,
         F.col("c_account_num").alias("account_num"),
         F.col("a_valid_to").alias("valid_to"),
-        *[F.col(f"l_{c}").alias(c) for c in CLIENT_COLS],
+        *[F.col(f"l_{c}").alias(c) for c in CLIENT_COLS + tuple(extra)],
         F.col("l_effective_from").alias("client_effective_from"),
     )
 

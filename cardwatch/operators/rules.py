@@ -24,6 +24,20 @@ def rule_passport(blacklist: DataFrame, load_dt: _dt.datetime) -> Column:
     return (F.col("passport_valid_to").isNotNull() & listed) | (F.col("passport_valid_to") < ts_lit(load_dt))
 
 
+def flag_blacklisted(clients: DataFrame, blacklist: DataFrame) -> DataFrame:
+    """``_bl_listed`` = ``passport_num IN (blacklist)`` (three-valued), computed
+    on the clients dimension: once per client version instead of once per
+    operation, and never keyed by a passport that may carry a third of all
+    operations."""
+    return clients.withColumn("_bl_listed", F.col("passport_num").isin(blacklist.select("passport_num")))
+
+
+def rule_passport_listed(load_dt: _dt.datetime) -> Column:
+    """R1 as written, over rows carrying ``_bl_listed`` (see :func:`flag_blacklisted`)."""
+    return (F.col("passport_valid_to").isNotNull() & F.col("_bl_listed")) | (
+        F.col("passport_valid_to") < ts_lit(load_dt))
+
+
 def blacklist_since(blacklist: DataFrame) -> DataFrame:
     """First listing date per passport: one row per passport, so a join on it
     never fans out, and it is much smaller than the feed history."""
@@ -31,6 +45,7 @@ def blacklist_since(blacklist: DataFrame) -> DataFrame:
 
 
 def with_blacklist_since(df: DataFrame, blacklist: DataFrame) -> DataFrame:
+    """Adds ``_bl_since``; apply it to the clients dimension before the fact join."""
     b = blacklist_since(blacklist)
     return df.join(b, df.passport_num == b._bl_passport, "left").drop("_bl_passport")
 

@@ -27,8 +27,9 @@ from cardwatch.operators.probing import probing_anchor, probing_ids
 from cardwatch.operators.rules import (
     rule_contract,
     rule_contract_corrected,
-    rule_passport,
+    flag_blacklisted,
     rule_passport_corrected,
+    rule_passport_listed,
     with_blacklist_since,
 )
 from cardwatch.operators.scd2 import (
@@ -171,12 +172,14 @@ def q_in_blacklist_flag(spark, d):
 
 def q_rule_passport(spark, d):
     t = _t(spark, d)
-    return _chain(t).filter(rule_passport(t.bl, LOAD_DT)).select("trans_id")
+    j = dim_chain_join(t.tx, t.cards, t.acc, flag_blacklisted(t.cl, t.bl), extra=("_bl_listed",))
+    return j.filter(rule_passport_listed(LOAD_DT)).select("trans_id")
 
 
 def q_rule_passport_corrected(spark, d):
     t = _t(spark, d)
-    return with_blacklist_since(_chain(t), t.bl).filter(rule_passport_corrected()).select("trans_id")
+    j = dim_chain_join(t.tx, t.cards, t.acc, with_blacklist_since(t.cl, t.bl), extra=("_bl_since",))
+    return j.filter(rule_passport_corrected()).select("trans_id")
 
 
 def q_rule_contract(spark, d):

@@ -4,6 +4,8 @@ Both take the whole warehouse as DataFrames but only read what the day needs:
 
 * report rows are operations after the load date, so the chain join sees
   ``trans_date > load date`` (Catalyst pushes it to the fact scan);
+* blacklist membership is a property of the client, so it is computed on the
+  clients dimension and carried through the single fact join;
 * the per-card rules R3/R4 can only flag a report row from operations less
   than one window before it, so they read ``trans_date > load date - W``;
 * the literal R3/R4 compare with one global maximum; a report row can only
@@ -29,10 +31,11 @@ from cardwatch.operators.joins import asof_dim_chain, dim_chain_join
 from cardwatch.operators.probing import probing_anchor, probing_ids
 from cardwatch.operators.rules import (
     classify,
+    flag_blacklisted,
     rule_contract,
     rule_contract_corrected,
-    rule_passport,
     rule_passport_corrected,
+    rule_passport_listed,
     with_blacklist_since,
 )
 from cardwatch.operators.velocity import city_ops, velocity_anchor, velocity_ids
@@ -80,9 +83,10 @@ def classified(tx: DataFrame, cards: DataFrame, accounts: DataFrame, clients: Da
                blacklist: DataFrame, load_dt: _dt.datetime, windows: Windows = Windows(),
                per_card: bool = False) -> DataFrame:
     """Operations after the load date with their event type (source's R1/R2)."""
-    rows = dim_chain_join(_after(tx, load_dt), cards, accounts, clients)
+    clients = flag_blacklisted(clients, blacklist)
+    rows = dim_chain_join(_after(tx, load_dt), cards, accounts, clients, extra=("_bl_listed",))
     r3, r4 = rule_columns(tx, terminals, load_dt, windows, per_card)
-    et = classify(rule_passport(blacklist, load_dt), rule_contract(load_dt), r3, r4)
+    et = classify(rule_passport_listed(load_dt), rule_contract(load_dt), r3, r4)
     return rows.withColumn("event_type", et)
 
 
@@ -99,8 +103,8 @@ def fraud_report(tx: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
 def classified_asof(tx: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame, clients_hist: DataFrame,
                     terminals_hist: DataFrame, blacklist: DataFrame, load_dt: _dt.datetime,
                     windows: Windows = Windows()) -> DataFrame:
-    rows = asof_dim_chain(_after(tx, load_dt), cards_hist, accounts_hist, clients_hist)
-    rows = with_blacklist_since(rows, blacklist)
+    clients_hist = with_blacklist_since(clients_hist, blacklist)
+    rows = asof_dim_chain(_after(tx, load_dt), cards_hist, accounts_hist, clients_hist, extra=("_bl_since",))
     r3, r4 = rule_columns(tx, terminals_hist, load_dt, windows, per_card=True, asof_terminals=True)
     et = classify(rule_passport_corrected(), rule_contract_corrected(), r3, r4)
     return rows.withColumn("event_type", et)
