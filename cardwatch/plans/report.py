@@ -31,6 +31,7 @@ from cardwatch.operators.joins import asof_dim_chain, dim_chain_join
 from cardwatch.operators.probing import probing_anchor, probing_ids
 from cardwatch.operators.rules import (
     classify,
+    event_label,
     flag_blacklisted,
     rule_contract,
     rule_contract_corrected,
@@ -117,3 +118,8 @@ def fraud_report_asof(tx: DataFrame, cards_hist: DataFrame, accounts_hist: DataF
     rules against the operation time, blacklist entries dated, R3/R4 per card."""
     rows = classified_asof(tx, cards_hist, accounts_hist, clients_hist, terminals_hist, blacklist, load_dt, windows)
     return _report(rows, F.col("event_type"), load_dt)
+
+
+def with_labels(report: DataFrame) -> DataFrame:
+    """Replace the event codes by the sentences the source stores."""
+    return report.withColumn("event_type", event_label(F.col("event_type")))
