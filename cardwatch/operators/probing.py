@@ -162,12 +162,17 @@ def probing_hits(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> DataF
         )
         .withColumn("_bin", floor_div("_t", big_w))
     )
-    own = base.withColumn("_halo", F.lit(False))
-    halo = base.filter("_rej").withColumn("_bin", F.col("_bin") + 1).withColumn("_halo", F.lit(True))
+    # one scan: a REJECT is also emitted into the next bin as halo
+    shift = F.explode(F.when(F.col("_rej"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    rows = (
+        base.select("*", shift.alias("_shift"))
+        .withColumn("_bin", F.col("_bin") + F.col("_shift"))
+        .withColumn("_halo", F.col("_shift") == 1)
+    )
     # an explicit partition count: AQE would fold a small input into one Python task
     n = int(tx.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = (
-        own.unionByName(halo)
+        rows
         .repartition(n, "card_num", "_bin")
         .sortWithinPartitions("card_num", "_bin", "_t")
         .select(*_COLS)
