@@ -120,10 +120,11 @@ _T_MIN = _dt.datetime(1, 1, 1)
 _T_MAX = _dt.datetime(9999, 12, 31)
 
 
-def _timeline(dim: DataFrame, key: Column, cols: list[str]) -> DataFrame:
+def _timeline(dim: DataFrame, key: Column, cols: list[str], fill_gaps: bool = True) -> DataFrame:
     """Live versions of ``dim`` as half-open intervals ``[_from, _until)`` per
-    ``_k``, plus NULL "gap" versions for every stretch of a key's timeline that
-    no live version covers, so each key's timeline is covered completely.
+    ``_k``; with ``fill_gaps``, plus NULL "gap" versions for every stretch of a
+    key's timeline that no live version covers, so the timeline of each key is
+    covered completely.
 
     Gaps come from a running maximum of the earlier versions' ends, per key
     (a key has a handful of versions, so these windows are small)."""
@@ -132,6 +133,8 @@ def _timeline(dim: DataFrame, key: Column, cols: list[str]) -> DataFrame:
         F.col("effective_from").alias("_from"), plus_days("effective_to", 1).alias("_until"),
         F.col("effective_from").alias("_version_from"),
     ).filter(F.col("_from") < F.col("_until"))
+    if not fill_gaps:
+        return live
     order = Window.partitionBy("_k").orderBy("_from", "_until")
     prev_end = F.max("_until").over(order.rowsBetween(Window.unboundedPreceding, -1))
     nulls = [F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in cols]
@@ -160,8 +163,13 @@ def _overlay(left: DataFrame, right: DataFrame, left_key: str, right_prefix: str
 def asof_dimension_chain(cards_hist: DataFrame, accounts_hist: DataFrame, clients_hist: DataFrame,
                          extra: tuple[str, ...] = ()) -> DataFrame:
     """cards -> accounts -> clients as of any time: one row per card and
-    interval in which the combination of live versions is constant."""
-    c = _timeline(cards_hist, card_key("card_num"), ["account_num"])
+    interval in which the combination of live versions is constant.
+
+    Accounts and clients get gap versions (a card live while its account is
+    not must still yield a row with NULL account); cards need none, because a
+    time without a live card version finds no row and the fact's left join
+    yields the NULLs itself."""
+    c = _timeline(cards_hist, card_key("card_num"), ["account_num"], fill_gaps=False)
     a = _timeline(accounts_hist, F.col("account_num"), ["valid_to", "client"])
     cl = _timeline(clients_hist, F.col("client_id"), list(CLIENT_COLS + tuple(extra)))
     ca = _overlay(c.drop("_version_from"), a.drop("_version_from"), "account_num", "a_")
