@@ -12,17 +12,17 @@ the time axis is cut into sub-bins of width ``w = W / k``:
   ``RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING`` per (card, sub-bin),
   min/max city.  Prefix frames are evaluated incrementally, O(n).
 * P2 - the k-1 sub-bins before, wholly inside the window: per (card, sub-bin)
-  min/max city, then a sliding frame over the *summary* rows of the card
-  (at most one per sub-bin, however many operations the card has).
+  min/max city, then a sliding frame over those *summary* rows, partitioned
+  by (card, block of k sub-bins) with the previous block as halo: at most 2k
+  rows per window partition, however many operations the card has.
 * P3 - sub-bin ``s-k``, partly inside the window: per (card, sub-bin) the city
   with the latest operation and the latest time of any other city; ``b`` is
   flagged if the latest operation of a city other than its own is after
   ``b.ts - W``.
 
-Every shuffle is keyed by (card, sub-bin), so a card with a third of all
-operations is spread over as many tasks as it has busy sub-bins; only the
-per-sub-bin summary (bounded by time span / w, not by rows) is grouped per
-card.  No pair of operations is ever materialised.
+Every shuffle is keyed by (card, sub-bin) or (card, block), so a card with a
+third of all operations is spread over as many tasks as it has busy sub-bins,
+and no pair of operations is ever materialised.
 
 Running the same on negated time flags the *earlier* operation of a pair,
 which the source's literal rule reports (its ``MAX(a.trans_date)``).
@@ -107,11 +107,18 @@ def velocity_flags(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bi
         hit = hit | is_true(F.col(c) != F.col("city"))
 
     if k > 1:
-        # The k-1 whole sub-bins before
-        slide = Window.partitionBy("card_num").orderBy("_s").rangeBetween(-(k - 1), -1)
-        p2 = summary.select(
-            "card_num", "_s", F.min("_mn").over(slide).alias("_p2min"), F.max("_mx").over(slide).alias("_p2max")
-        )
+        # The k-1 whole sub-bins before.  Summary rows are grouped in blocks
+        # of k sub-bins and each block also receives the previous block (halo),
+        # which holds every sub-bin the frame of its own rows can reach: a
+        # window partition holds at most 2k summary rows, however long the
+        # card's history.
+        shift = F.explode(F.array(F.lit(0), F.lit(1))).alias("_halo")
+        blocks = summary.select("*", shift).withColumn("_blk", floor_div("_s", k) + F.col("_halo"))
+        slide = Window.partitionBy("card_num", "_blk").orderBy("_s").rangeBetween(-(k - 1), -1)
+        p2 = blocks.select(
+            "card_num", "_s", "_halo",
+            F.min("_mn").over(slide).alias("_p2min"), F.max("_mx").over(slide).alias("_p2max"),
+        ).filter(F.col("_halo") == 0).drop("_halo")
         rows = rows.join(p2, ["card_num", "_s"], "left")
         for c in ("_p2min", "_p2max"):
             hit = hit | is_true(F.col(c) != F.col("city"))
