@@ -14,10 +14,12 @@ source statement by statement, for parity runs.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardwatch import schemas as S
 from cardwatch.operators.extract import advance_watermarks, incremental_extract, key_snapshot
@@ -95,9 +97,13 @@ def run_daily(spark: SparkSession, store: Store, feeds: DayFeeds, sources: Sourc
     new_meta = advance_watermarks(meta, deltas, load_dt + _dt.timedelta(days=1), stg_bl, stg_tx, literal=literal)
     store.write("meta_data", run, new_meta)
 
-    # the report reads the state this run produced
+    # the report reads the state this run produced; runs holding no operation
+    # after (load date - longest rule window) are not opened
+    bounds = stg_tx.agg(F.min("transaction_date").alias("lo"), F.max("transaction_date").alias("hi")).collect()[0]
+    run = dataclasses.replace(run, tx_min=bounds["lo"], tx_max=bounds["hi"])
     state = base + [run]
-    tx = store.fact("fact_transactions", state)
+    horizon = load_dt - max(windows.city, windows.probe)
+    tx = store.fact("fact_transactions", state, trans_after=horizon)
     bl = store.fact("fact_passport_blacklist", state)
     dims = {t: store.dim(t, state).drop("_closed_before") for t, *_ in _DIM_LOADS}
     terms = store.dim("dim_terminals_hist", state).drop("_closed_before")

@@ -101,9 +101,20 @@ def fraud_report(tx: DataFrame, cards: DataFrame, accounts: DataFrame, clients:
     return _report(rows, F.col("event_type"), load_dt)
 
 
+def _valid_after(hist: DataFrame, ts: _dt.datetime) -> DataFrame:
+    """Versions that can be valid at some time after ``ts`` (they end on or
+    after the day before it).  A literal bound on the column, so parquet skips
+    the row groups of long-closed versions."""
+    return hist.filter(F.col("effective_to") >= ts_lit(ts - _dt.timedelta(days=1)))
+
+
 def classified_asof(tx: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame, clients_hist: DataFrame,
                     terminals_hist: DataFrame, blacklist: DataFrame, load_dt: _dt.datetime,
                     windows: Windows = Windows()) -> DataFrame:
+    # report rows are after the load date; R3 also looks one window further back
+    cards_hist, accounts_hist, clients_hist = (
+        _valid_after(h, load_dt) for h in (cards_hist, accounts_hist, clients_hist))
+    terminals_hist = _valid_after(terminals_hist, load_dt - windows.city)
     clients_hist = with_blacklist_since(clients_hist, blacklist)
     rows = asof_dim_chain(_after(tx, load_dt), cards_hist, accounts_hist, clients_hist, extra=("_bl_since",))
     r3, r4 = rule_columns(tx, terminals_hist, load_dt, windows, per_card=True, asof_terminals=True)

@@ -42,6 +42,9 @@ MANIFEST = T.StructType([
     T.StructField("load_dt", T.TimestampNTZType(), False),
     T.StructField("semantics", T.StringType(), True),
     T.StructField("committed_at", T.TimestampNTZType(), True),
+    # range of the run's operation times: lets readers skip whole runs
+    T.StructField("tx_min", T.TimestampNTZType(), True),
+    T.StructField("tx_max", T.TimestampNTZType(), True),
 ])
 
 DIMS = {
@@ -66,6 +69,8 @@ def _with_field(schema: T.StructType, name: str, dtype: T.DataType) -> T.StructT
 class Run:
     run_id: str
     load_dt: _dt.datetime
+    tx_min: _dt.datetime | None = None
+    tx_max: _dt.datetime | None = None
 
 
 class Store:
@@ -93,7 +98,8 @@ class Store:
             if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
                 return []
             raise
-        return sorted((Run(r["run_id"], r["load_dt"]) for r in rows), key=lambda r: r.run_id)
+        return sorted((Run(r["run_id"], r["load_dt"], r["tx_min"], r["tx_max"]) for r in rows),
+                      key=lambda r: r.run_id)
 
     def effective(self, before: _dt.datetime | None = None) -> list[Run]:
         """Per load date the latest committed run, for dates before ``before``."""
@@ -104,7 +110,8 @@ class Store:
         return [latest[d] for d in sorted(latest)]
 
     def commit(self, run: Run, semantics: str) -> None:
-        row = [(run.run_id, run.load_dt, semantics, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))]
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        row = [(run.run_id, run.load_dt, semantics, now, run.tx_min, run.tx_max)]
         self.spark.createDataFrame(row, MANIFEST).coalesce(1).write.mode("overwrite").parquet(
             f"{self.root}/manifest/run_id={run.run_id}"
         )
@@ -142,7 +149,12 @@ class Store:
         )
         return open_part.unionByName(closed)
 
-    def fact(self, table: str, runs: list[Run]) -> DataFrame:
+    def fact(self, table: str, runs: list[Run], trans_after: _dt.datetime | None = None) -> DataFrame:
+        """Rows a list of runs appended.  With ``trans_after`` (transactions
+        only) runs whose operations all lie at or before it are not opened at
+        all; the caller still filters rows exactly."""
+        if trans_after is not None and table == "fact_transactions":
+            runs = [r for r in runs if r.tx_max is None or r.tx_max > trans_after]
         stored = _with_field(FACTS[table], "run_id", T.StringType())
         return self._read(table, stored, [r.run_id for r in runs]).drop("run_id")
 

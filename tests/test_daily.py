@@ -128,6 +128,11 @@ def test_three_days_corrected(spark, world):
     assert st["fact_passport_blacklist"].count() == 2          # the cumulative file is filtered by watermark
     amt = st["fact_transactions"].filter("trans_id = 8").collect()[0]["amt"]
     assert str(amt) == "1234.56"
+    # runs whose operations all lie before a bound are not opened at all
+    runs = store.effective()
+    assert [r.tx_max.date() for r in runs] == [d.date() for d in D]
+    recent = store.fact("fact_transactions", runs, trans_after=D[2])
+    assert sorted(r["trans_id"] for r in recent.collect()) == [10]
 
 
 def test_three_days_literal(spark, world):
