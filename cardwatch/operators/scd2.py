@@ -87,7 +87,7 @@ def _new_versions(rows: DataFrame, spec: DimSpec, key: str, attrs: tuple[str, ..
     )
 
 
-def _one_match(n: Column, what: str) -> Column:
+def _one_match(what: str) -> Column:
     return F.raise_error(F.lit(f"MERGE: a history row matches more than one {what} row"))
 
 
@@ -121,7 +121,7 @@ def scd2_close(hist: DataFrame, delta: DataFrame, spec: DimSpec) -> DataFrame:
     j = open_rows.join(d, spec.key, "left")
     matched = F.col("_n").isNotNull() & (F.col("effective_from") < F.coalesce(F.col("_u"), ts_lit(S.BEGINNING)))
     new_to = (
-        F.when(matched & (F.col("_n") > 1), _one_match(F.col("_n"), "delta"))
+        F.when(matched & (F.col("_n") > 1), _one_match("delta"))
         .when(matched, minus_days("_u", 1))
         .otherwise(F.col("effective_to"))
     )
@@ -187,7 +187,7 @@ def scd2_close_corrected(hist: DataFrame, delta: DataFrame, spec: DimSpec) -> Da
     j = open_rows.join(d, spec.key, "left")
     matched = F.col("_n").isNotNull() & (F.col("effective_from") < F.col("_u"))
     new_to = (
-        F.when(matched & (F.col("_n") > 1), _one_match(F.col("_n"), "delta"))
+        F.when(matched & (F.col("_n") > 1), _one_match("delta"))
         .when(matched, minus_days("_u", 1))
         .otherwise(F.col("effective_to"))
     )
@@ -226,7 +226,7 @@ def snapshot_scd2(hist: DataFrame, snapshot: DataFrame, load_dt: _dt.datetime,
     j = open_rows.join(ids, spec.key, "left")
     matched = F.col("_n").isNotNull() & (F.col("effective_from") < dt_next)
     new_to = (
-        F.when(matched & (F.col("_n") > 1), _one_match(F.col("_n"), "file"))
+        F.when(matched & (F.col("_n") > 1), _one_match("file"))
         .when(matched, ts_lit(load_dt))
         .otherwise(F.col("effective_to"))
     )
@@ -254,8 +254,10 @@ def snapshot_scd2_corrected(hist: DataFrame, snapshot: DataFrame, load_dt: _dt.d
     before = minus_days(dt, 1)
     f = snapshot.select(F.col(spec.source_key).alias(spec.key),
                         *[F.col(s).alias(h) for h, s in zip(spec.attrs, spec.source_attrs)])
-    fcmp = f.select(spec.key, *[F.col(c).alias(f"_f_{c}") for c in tracked], F.lit(True).alias("_in_file"))
     ids = f.groupBy(spec.key).agg(F.count(F.lit(1)).alias("_n"))
+    fcmp = f.join(ids, spec.key, "inner").select(
+        spec.key, *[F.col(c).alias(f"_f_{c}") for c in tracked], F.lit(True).alias("_in_file"), "_n")
+    dup = F.raise_error(F.lit("snapshot has a duplicate key"))
 
     live, rest = _split(hist, is_live_open())
     tombs, rest = _split(rest, is_open())
@@ -265,18 +267,15 @@ def snapshot_scd2_corrected(hist: DataFrame, snapshot: DataFrame, load_dt: _dt.d
         differs = differs | differs_null_safe(F.col(c), F.col(f"_f_{c}"))
 
     j = live.join(fcmp, spec.key, "left")
-    live_new = _with(j, hist.columns,
-                     effective_to=F.when(F.col("_in_file") & differs, before).otherwise(F.col("effective_to")))
+    live_new = _with(j, hist.columns, effective_to=(
+        F.when(F.col("_n") > 1, dup).when(F.col("_in_file") & differs, before).otherwise(F.col("effective_to"))))
 
     same = live.select(spec.key, *tracked).join(fcmp, spec.key, "inner").filter(~differs).select(spec.key)
     ins = f.join(same, spec.key, "left_anti").join(ids, spec.key, "left")
-    ins = ins.withColumn(
-        spec.key,
-        F.when(F.col("_n") > 1, F.raise_error(F.lit("snapshot has a duplicate key"))).otherwise(F.col(spec.key)),
-    )
+    ins = ins.withColumn(spec.key, F.when(F.col("_n") > 1, dup).otherwise(F.col(spec.key)))
     inserted = _new_versions(ins, spec, spec.key, spec.attrs, dt)
 
     t = tombs.join(ids, spec.key, "left")
-    tombs_new = _with(t, hist.columns,
-                      effective_to=F.when(F.col("_n").isNotNull(), before).otherwise(F.col("effective_to")))
+    tombs_new = _with(t, hist.columns, effective_to=(
+        F.when(F.col("_n") > 1, dup).when(F.col("_n").isNotNull(), before).otherwise(F.col("effective_to"))))
     return _union([rest, live_new, tombs_new, inserted])

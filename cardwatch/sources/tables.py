@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cardwatch import schemas as S
+from cardwatch.functions import empty_as_null
 
 SOURCE_SCHEMAS: dict[str, T.StructType] = {
     "accounts": S.SRC_ACCOUNTS,
@@ -22,13 +23,23 @@ SOURCE_SCHEMAS: dict[str, T.StructType] = {
 }
 
 
+def _typed(df: DataFrame, kind: str, names: dict[str, str] | None = None) -> DataFrame:
+    """Source columns in the warehouse's types; '' read as NULL (the source
+    dialect cannot store an empty string)."""
+    names = names or {}
+    out = []
+    for f in SOURCE_SCHEMAS[kind].fields:
+        c = df[names.get(f.name.lower(), f.name)].cast(f.dataType)
+        out.append((empty_as_null(c) if isinstance(f.dataType, T.StringType) else c).alias(f.name))
+    return df.select(*out)
+
+
 def source_parquet(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    return spark.read.schema(SOURCE_SCHEMAS[kind]).parquet(path)
+    return _typed(spark.read.schema(SOURCE_SCHEMAS[kind]).parquet(path), kind)
 
 
 def source_table(spark: SparkSession, name: str, kind: str) -> DataFrame:
-    df = spark.table(name)
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in SOURCE_SCHEMAS[kind].fields])
+    return _typed(spark.table(name), kind)
 
 
 def source_jdbc(spark: SparkSession, url: str, table: str, kind: str, properties: dict[str, str] | None = None,
@@ -41,5 +52,4 @@ def source_jdbc(spark: SparkSession, url: str, table: str, kind: str, properties
         r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
              .option("upperBound", upper).option("numPartitions", num_partitions or 8))
     df = r.load()
-    cols = {c.lower(): c for c in df.columns}
-    return df.select(*[df[cols[f.name.lower()]].cast(f.dataType).alias(f.name) for f in SOURCE_SCHEMAS[kind].fields])
+    return _typed(df, kind, {c.lower(): c for c in df.columns})

@@ -169,3 +169,22 @@ def test_corrected_invariants_random(spark):
             assert r["effective_from"] <= r["effective_to"] + dt.timedelta(days=1), r
         for a, b in zip(vs, vs[1:]):
             assert a["effective_to"] < b["effective_from"], (k, a, b)
+
+
+def test_ambiguous_merge_raises(spark):
+    """More than one delta row (or file row) per key makes the MERGE ambiguous."""
+    import pytest
+
+    v = dt.datetime(2030, 1, 1)
+    h = load(spark, empty_hist(spark), src(spark, [("A", v, "C", D1, None)]), S.BEGINNING, D1)
+    dup = src(spark, [("A", v, "C", D1, D2), ("A", v, "C2", D1, D3)])
+    from cardwatch.operators.scd2 import scd2_close
+
+    with pytest.raises(Exception, match="more than one"):
+        scd2_close(h, dup, ACCOUNTS).collect()
+    th = run_terms(spark, [(D1, terms(spark, [("T1", "ATM", "A", "x")]))], corrected=False)
+    two = terms(spark, [("T1", "ATM", "A", "x"), ("T1", "ATM", "B", "x")])
+    with pytest.raises(Exception, match="more than one"):
+        snapshot_scd2(th, two, D2, TERMINALS).collect()
+    with pytest.raises(Exception, match="duplicate key"):
+        snapshot_scd2_corrected(th, two, D2, TERMINALS).collect()
