@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from cardwatch import schemas as S
 from cardwatch.functions import epoch_us, from_epoch_us, window_us
+from cardwatch.session import ship_package
 from cardwatch.operators.velocity import floor_div
 
 _OUT = pa.schema([("trans_id", pa.int64()), ("card_num", pa.string()), ("c_us", pa.int64()), ("m_us", pa.int64())])
@@ -169,14 +170,17 @@ def probing_hits(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> DataF
         .withColumn("_bin", F.col("_bin") + F.col("_shift"))
         .withColumn("_halo", F.col("_shift") == 1)
     )
-    # an explicit partition count: AQE would fold a small input into one Python task
-    n = int(tx.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # an explicit partition count (AQE would fold a small input into one Python
+    # task): the session's shuffle partitions, at most twice the cluster's cores
+    spark = tx.sparkSession
+    n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))
     groups = (
         rows
         .repartition(n, "card_num", "_bin")
         .sortWithinPartitions("card_num", "_bin", "_t")
         .select(*_COLS)
     )
+    ship_package(tx.sparkSession)
     return groups.mapInArrow(_sweep(big_w), _OUT_SCHEMA)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -67,3 +68,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cardwatch`` importable in the Python workers of every executor.
+
+    Functions run by ``mapInArrow`` are pickled by reference to their module,
+    so the executors need the package: it is zipped once per application and
+    handed to ``SparkContext.addPyFile``, which distributes it with the job.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="cardwatch-pkg-"), "cardwatch.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
