@@ -136,13 +136,22 @@ def _timeline(dim: DataFrame, key: Column, cols: list[str], fill_gaps: bool = Tr
     if not fill_gaps:
         return live
     order = Window.partitionBy("_k").orderBy("_from", "_until")
-    prev_end = F.max("_until").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    x = live.select(
+        "*",
+        F.max("_until").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev_end"),
+        F.max("_until").over(Window.partitionBy("_k")).alias("_max_end"),
+        F.lead("_from").over(order).isNull().alias("_last"),
+    )
     nulls = [F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in cols]
-    before = live.select("_k", F.coalesce(prev_end, ts_lit(_T_MIN)).alias("_from"), F.col("_from").alias("_until"))
-    after = live.groupBy("_k").agg(F.max("_until").alias("_from")).withColumn("_until", ts_lit(_T_MAX))
-    gaps = before.unionByName(after).filter(F.col("_from") < F.col("_until")).select(
-        "_k", *nulls, "_from", "_until", F.lit(None).cast("timestamp_ntz").alias("_version_from"))
-    return live.unionByName(gaps)
+    no_version = F.lit(None).cast("timestamp_ntz").alias("_version_from")
+    version = F.struct(*[F.col(c) for c in cols], "_from", "_until", "_version_from")
+    gap_before = F.struct(*nulls, F.coalesce("_prev_end", ts_lit(_T_MIN)).alias("_from"),
+                          F.col("_from").alias("_until"), no_version)
+    gap_after = F.when(F.col("_last"), F.struct(*nulls, F.col("_max_end").alias("_from"),
+                                                 ts_lit(_T_MAX).alias("_until"), no_version))
+    # one pass: each version is emitted with the gap before it (and the last one with the gap after)
+    out = x.select("_k", F.explode(F.array(version, gap_before, gap_after)).alias("_v"))
+    return out.filter(F.col("_v").isNotNull()).select("_k", "_v.*").filter(F.col("_from") < F.col("_until"))
 
 
 def _overlay(left: DataFrame, right: DataFrame, left_key: str, right_prefix: str) -> DataFrame:
