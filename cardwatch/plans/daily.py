@@ -70,6 +70,10 @@ def run_daily(spark: SparkSession, store: Store, feeds: DayFeeds, sources: Sourc
 
     meta = store.meta(base)
     wm = {r["table_name"]: r["last_update_dt"] for r in meta.collect()}   # six rows
+    missing = [t for t in (S.WM_ACCOUNTS, S.WM_CARDS, S.WM_CLIENTS, S.WM_BLACKLIST) if wm.get(t) is None]
+    if missing:
+        # the source leaves a NULL fact watermark after an empty feed and then fails here
+        raise ValueError(f"watermark missing or NULL for {missing}")
 
     # staging: what this run reads, written once so every step sees the same rows
     stg_tx = store.write("stg_transactions", run, feeds.transactions)

@@ -48,7 +48,9 @@ def load_date_from_name(path: str) -> _dt.datetime:
 def load_date_column(file_name: Column | None = None) -> Column:
     """The same, per row, from the scan's file metadata."""
     name = file_name if file_name is not None else F.col("_metadata.file_name")
-    return F.to_timestamp_ntz(F.regexp_extract(name, FILE_DATE_SQL, 1), F.lit("ddMMyyyy"))
+    digits = F.regexp_extract(name, FILE_DATE_SQL, 1)
+    # a name without a date gives NULL (parsing '' would fail under ANSI mode)
+    return F.when(digits != "", F.to_timestamp_ntz(digits, F.lit("ddMMyyyy")))
 
 
 def _text_reader(spark: SparkSession, schema: T.StructType, sep: str = ";", decimal_comma: bool = False):
@@ -158,6 +160,9 @@ def next_day(spark: SparkSession, directory: str, ledger: DataFrame, terminals_f
         f = feed_files(spark, directory, g, feed)
         found = f if found is None else found.unionByName(f)
     todo = unconsumed(found, ledger)
+    undated = todo.filter(F.col("load_dt").isNull()).select("file_name").limit(5).collect()
+    if undated:
+        raise ValueError(f"feed files without a _DDMMYYYY date: {[r['file_name'] for r in undated]}")
     first = todo.agg(F.min("load_dt").alias("d")).collect()[0]["d"]
     if first is None:
         return None

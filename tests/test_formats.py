@@ -68,3 +68,12 @@ def test_epoch_roundtrip_is_zone_independent(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert F is not None
+
+
+def test_undated_feed_file_is_reported(spark, tmp_path):
+    from cardwatch.sources.feeds import next_day
+
+    (tmp_path / "transactions_final.txt").write_text("transaction_id;transaction_date\n")
+    ledger = spark.createDataFrame([], "feed string, file_name string, load_dt timestamp_ntz, run_id string")
+    with pytest.raises(ValueError, match="without a _DDMMYYYY date"):
+        next_day(spark, str(tmp_path), ledger)
