@@ -77,12 +77,19 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``cardwatch`` importable in the Python workers of every executor.
 
     Functions run by ``mapInArrow`` are pickled by reference to their module,
-    so the executors need the package: it is zipped once per application and
-    handed to ``SparkContext.addPyFile``, which distributes it with the job.
+    so the executors need the package.  When it was not submitted with
+    ``--py-files``, it is zipped once per application (read only by the
+    driver) and handed to ``SparkContext.addPyFile``, which serves it to every
+    executor with the job.
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
+    submitted = spark.conf.get("spark.submit.pyFiles", "") or ""
+    if "cardwatch" in submitted:
+        # shipped at submit time (``--py-files cardwatch.zip``), as on a cluster
+        _SHIPPED.add(sc.applicationId)
+        return
     pkg = os.path.dirname(os.path.abspath(__file__))
     target = os.path.join(tempfile.mkdtemp(prefix="cardwatch-pkg-"), "cardwatch.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
