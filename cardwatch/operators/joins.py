@@ -223,7 +223,3 @@ def in_list_flag(df: DataFrame, value_col: str, values: DataFrame, alias: str =
     fans out on duplicate list entries, and AQE may broadcast the list once its
     measured size allows."""
     return df.withColumn(alias, F.col(value_col).isin(values.select(values.columns[0])))
-
-
-def load_dt_bounds(load_dt: _dt.datetime) -> tuple[Column, Column]:
-    return ts_lit(load_dt), plus_days(ts_lit(load_dt), 1)

@@ -35,10 +35,6 @@ class DimSpec:
     source_attrs: tuple[str, ...]    # the matching source columns
     compared: tuple[str, ...] = ()   # columns the snapshot load compares (literal form)
 
-    @property
-    def columns(self) -> list[str]:
-        return [self.key, *self.attrs, "effective_from", "effective_to", "deleted_flg"]
-
 
 ACCOUNTS = DimSpec("account_num", "account", ("valid_to", "client"), ("valid_to", "client"))
 CARDS = DimSpec("card_num", "card_num", ("account_num",), ("account",))

@@ -77,3 +77,15 @@ def test_undated_feed_file_is_reported(spark, tmp_path):
     ledger = spark.createDataFrame([], "feed string, file_name string, load_dt timestamp_ntz, run_id string")
     with pytest.raises(ValueError, match="without a _DDMMYYYY date"):
         next_day(spark, str(tmp_path), ledger)
+
+
+def test_transaction_rejects(spark):
+    from cardwatch.operators.facts import load_fact_transactions, transaction_rejects
+
+    stg = spark.createDataFrame(
+        [("1", dt.datetime(2021, 3, 1), Decimal("1.00"), "c", "t", "SUCCESS", "T"),
+         ("x2", dt.datetime(2021, 3, 1), Decimal("2.00"), "c", "t", "SUCCESS", "T")],
+        "transaction_id string, transaction_date timestamp_ntz, amount decimal(10,2), card_num string, "
+        "oper_type string, oper_result string, terminal string")
+    assert [r["transaction_id"] for r in transaction_rejects(stg).collect()] == ["x2"]
+    assert load_fact_transactions(stg.filter("transaction_id = '1'")).collect()[0]["trans_id"] == 1

@@ -188,3 +188,14 @@ def test_ambiguous_merge_raises(spark):
         snapshot_scd2(th, two, D2, TERMINALS).collect()
     with pytest.raises(Exception, match="duplicate key"):
         snapshot_scd2_corrected(th, two, D2, TERMINALS).collect()
+
+
+def test_read_watermark_value(spark):
+    from cardwatch.operators.extract import read_watermark_value
+
+    meta = seed_watermarks(spark)
+    assert read_watermark_value(meta, S.WM_CLIENTS) == S.BEGINNING
+    import pytest
+
+    with pytest.raises(ValueError):
+        read_watermark_value(meta, "no_such_table")
