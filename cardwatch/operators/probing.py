@@ -22,6 +22,9 @@ hash-partitions on the key and sorts each partition (spilling as needed); the
 sweep is a ``mapInArrow`` helper that streams the sorted Arrow batches and
 holds one group at a time.  Group boundaries and the skipping of groups that
 cannot hold a pattern are numpy; only the tree updates loop in Python.
+Copies (same card, instant, amount and result) are collapsed map-side before
+any shuffle and the verdicts joined back to the operations, so a pile of
+copies never lands in one task either.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import datetime as _dt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch import schemas as S
@@ -38,10 +41,10 @@ from cardwatch.functions import epoch_us, from_epoch_us, window_us
 from cardwatch.session import ship_package
 from cardwatch.operators.velocity import floor_div
 
-_OUT = pa.schema([("trans_id", pa.int64()), ("card_num", pa.string()), ("c_us", pa.int64()), ("m_us", pa.int64())])
-_OUT_SCHEMA = "trans_id long, card_num string, c_us long, m_us long"
+_OUT = pa.schema([("card_num", pa.string()), ("c_us", pa.int64()), ("c_cents", pa.int64()), ("m_us", pa.int64())])
+_OUT_SCHEMA = "card_num string, c_us long, c_cents long, m_us long"
 _NONE = np.iinfo(np.int64).min
-_COLS = ("card_num", "_bin", "_t", "_cents", "_rej", "_halo", "trans_id")
+_COLS = ("card_num", "_bin", "_t", "_cents", "_rej", "_halo")
 
 
 def _sweep_group(t, amt, rej, query_c, window):
@@ -113,8 +116,8 @@ def _complete_groups(cols: dict, window: int, out: list) -> None:
         hit, m = _sweep_group(t[s:e], cols["_cents"][s:e], rej[s:e], query_c[s:e], window)
         if hit.any():
             out.append(pa.RecordBatch.from_arrays(
-                [pa.array(cols["trans_id"][s:e][hit], pa.int64()), pa.array(card[s:e][hit], pa.string()),
-                 pa.array(t[s:e][hit], pa.int64()), pa.array(m[hit], pa.int64())], schema=_OUT))
+                [pa.array(card[s:e][hit], pa.string()), pa.array(t[s:e][hit], pa.int64()),
+                 pa.array(cols["_cents"][s:e][hit], pa.int64()), pa.array(m[hit], pa.int64())], schema=_OUT))
 
 
 def _sweep(window: int):
@@ -145,12 +148,14 @@ def _sweep(window: int):
     return run
 
 
-def probing_hits(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> DataFrame:
-    """(trans_id, card_num, c_us, m_us) for every SUCCESS that completes a
-    falling REJECT, REJECT, SUCCESS pattern within ``window``."""
-    big_w = window_us(window)
+def _points(tx: DataFrame, big_w: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, points): the usable rows, and their distinct (card, time, amount,
+    result) points.  Copies decide the same way (a repeated REJECT adds
+    nothing to a max-tree, repeated SUCCESS rows get the same answer), so the
+    sweep runs on points; ``distinct`` aggregates map-side, before any shuffle,
+    so a pile of copies never reaches one task."""
     scale = getattr(tx.schema["amt"].dataType, "scale", 2)
-    base = (
+    rows = (
         tx.filter(
             F.col("oper_result").isin(S.RESULT_REJECT, S.RESULT_SUCCESS)
             & F.col("amt").isNotNull() & F.col("trans_date").isNotNull() & F.col("card_num").isNotNull()
@@ -161,29 +166,55 @@ def probing_hits(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> DataF
             (F.col("amt") * F.lit(10 ** scale)).cast("long").alias("_cents"),
             (F.col("oper_result") == S.RESULT_REJECT).alias("_rej"),
         )
-        .withColumn("_bin", floor_div("_t", big_w))
     )
-    # one scan: a REJECT is also emitted into the next bin as halo
+    points = rows.select("card_num", "_t", "_cents", "_rej").distinct().withColumn("_bin", floor_div("_t", big_w))
+    return rows, points
+
+
+def _sweep_points(points: DataFrame, big_w: int) -> DataFrame:
+    """(card_num, c_us, c_cents, m_us) of every SUCCESS point that completes a pattern."""
+    # a REJECT is also emitted into the next bin as halo
     shift = F.explode(F.when(F.col("_rej"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    rows = (
-        base.select("*", shift.alias("_shift"))
+    groups = (
+        points.select("*", shift.alias("_shift"))
         .withColumn("_bin", F.col("_bin") + F.col("_shift"))
         .withColumn("_halo", F.col("_shift") == 1)
     )
     # an explicit partition count (AQE would fold a small input into one Python
     # task): the session's shuffle partitions, at most twice the cluster's cores
-    spark = tx.sparkSession
+    spark = points.sparkSession
     n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))
-    groups = (
-        rows
-        .repartition(n, "card_num", "_bin")
-        .sortWithinPartitions("card_num", "_bin", "_t")
-        .select(*_COLS)
-    )
-    ship_package(tx.sparkSession)
+    groups = groups.repartition(n, "card_num", "_bin").sortWithinPartitions("card_num", "_bin", "_t").select(*_COLS)
+    ship_package(spark)
     return groups.mapInArrow(_sweep(big_w), _OUT_SCHEMA)
 
 
+def probing_points(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> DataFrame:
+    """(card_num, c_us, c_cents, m_us): the SUCCESS points (card, instant,
+    amount in cents) that complete a pattern; no join back to operation ids."""
+    big_w = window_us(window)
+    _rows, points = _points(tx, big_w)
+    return _sweep_points(points, big_w)
+
+
+def point_key(amount_scale: int = 2) -> Column:
+    """The point key of an operation row, to test membership in :func:`probing_points`."""
+    return F.struct(
+        F.col("card_num"), epoch_us("trans_date"), (F.col("amt") * F.lit(10 ** amount_scale)).cast("long"))
+
+
+def probing_hits(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> DataFrame:
+    """(trans_id, card_num, c_us, m_us) for every SUCCESS operation that
+    completes a falling REJECT, REJECT, SUCCESS pattern within ``window``."""
+    big_w = window_us(window)
+    rows, points = _points(tx, big_w)
+    hits = _sweep_points(points, big_w)
+    success = rows.filter(~F.col("_rej")).select(
+        "trans_id", "card_num", F.col("_t").alias("c_us"), F.col("_cents").alias("c_cents"))
+    # each SUCCESS point is reported once, so the join back to its rows does not fan out
+    return success.join(hits, ["card_num", "c_us", "c_cents"], "inner").select("trans_id", "card_num", "c_us", "m_us")
+
+
 def probing_ids(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> DataFrame:
     """R4 per card: ids of the SUCCESS operations that complete a pattern."""
     return probing_hits(tx, window).select("trans_id").distinct()
@@ -191,5 +222,8 @@ def probing_ids(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> DataFr
 
 def probing_anchor(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> DataFrame:
     """R4 literal: one row, the latest first try ``a`` of any pattern
-    (``MAX(a.trans_date)`` over the whole fact; NULL when there is none)."""
-    return probing_hits(tx, window).agg(from_epoch_us(F.max("m_us")).alias("anchor_dt"))
+    (``MAX(a.trans_date)`` over the whole fact; NULL when there is none).
+    Needs no operation ids, so it is read off the points directly."""
+    big_w = window_us(window)
+    _rows, points = _points(tx, big_w)
+    return _sweep_points(points, big_w).agg(from_epoch_us(F.max("m_us")).alias("anchor_dt"))

@@ -22,7 +22,9 @@ the time axis is cut into sub-bins of width ``w = W / k``:
 
 Every shuffle is keyed by (card, sub-bin) or (card, block), so a card with a
 third of all operations is spread over as many tasks as it has busy sub-bins,
-and no pair of operations is ever materialised.
+and no pair of operations is ever materialised.  Copies (same card, instant
+and city) are collapsed map-side first and the verdicts joined back to the
+operations, so a pile of copies never lands in one task either.
 
 Running the same on negated time flags the *earlier* operation of a pair,
 which the source's literal rule reports (its ``MAX(a.trans_date)``).
@@ -36,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwatch import schemas as S
-from cardwatch.functions import epoch_us, is_true, window_us
+from cardwatch.functions import epoch_us, from_epoch_us, is_true, window_us
 from cardwatch.operators.joins import valid_at
 
 
@@ -64,12 +66,14 @@ def floor_div(name: str, d: int) -> Column:
 
 
 def velocity_flags(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bins: int = 12,
-                   reverse: bool = False) -> DataFrame:
+                   reverse: bool = False, points_only: bool = False) -> DataFrame:
     """Rows of ``ops`` (trans_id, card_num, trans_date) that have an operation of
     the same card in another city strictly before them and less than
     ``window`` earlier (``reverse=True``: strictly after, less than ``window`` later).
 
     May repeat a ``trans_id`` (one row per terminal version); callers distinct.
+    ``points_only=True`` returns the flagged (card_num, _t, city) points
+    instead (``_t`` negated when ``reverse``), without the join back to ids.
     """
     big_w = window_us(window)
     if big_w <= 0 or big_w % sub_bins:
@@ -78,9 +82,15 @@ def velocity_flags(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bi
     k = sub_bins
 
     t = epoch_us("trans_date")
-    base = (
+    rows_in = (
         ops.filter(F.col("city").isNotNull() & F.col("card_num").isNotNull() & F.col("trans_date").isNotNull())
         .select("trans_id", "card_num", "trans_date", "city", (-t if reverse else t).alias("_t"))
+    )
+    # Copies (same card, instant and city) decide the same way, so the rule runs
+    # on distinct points; the partial aggregation collapses copies map-side,
+    # before any shuffle, and a pile of copies never reaches one task.
+    base = (
+        rows_in.select("card_num", "_t", "city").distinct()
         .withColumn("_s", floor_div("_t", w))
         .repartition("card_num", "_s")
     )
@@ -129,7 +139,10 @@ def velocity_flags(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bi
     latest_other = F.when(F.col("_c1") != F.col("city"), F.col("_t1")).otherwise(F.col("_t2"))
     hit = hit | is_true(latest_other > F.col("_t") - F.lit(big_w))
 
-    return rows.filter(hit).select("trans_id", "card_num", "trans_date")
+    flagged = rows.filter(hit).select("card_num", "_t", "city")
+    if points_only:
+        return flagged
+    return rows_in.join(flagged, ["card_num", "_t", "city"], "left_semi").select("trans_id", "card_num", "trans_date")
 
 
 def velocity_ids(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bins: int = 12) -> DataFrame:
@@ -141,5 +154,5 @@ def velocity_ids(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bins
 def velocity_anchor(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bins: int = 12) -> DataFrame:
     """R3 literal: one row, the latest *earlier* operation of any such pair
     (``MAX(a.trans_date)`` over the whole fact; NULL when there is none)."""
-    flagged = velocity_flags(ops, window, sub_bins, reverse=True)
-    return flagged.agg(F.max("trans_date").alias("anchor_dt"))
+    points = velocity_flags(ops, window, sub_bins, reverse=True, points_only=True)
+    return points.agg(from_epoch_us(-F.min("_t")).alias("anchor_dt"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from cardwatch import schemas as S
 from cardwatch.functions import concat_nullable, plus_days, ts_lit
 from cardwatch.operators.joins import asof_dim_chain, dim_chain_join
-from cardwatch.operators.probing import probing_anchor, probing_ids
+from cardwatch.operators.probing import point_key, probing_anchor, probing_points
 from cardwatch.operators.rules import (
     classify,
     event_label,
@@ -60,8 +60,10 @@ def rule_columns(tx: DataFrame, terminals: DataFrame, load_dt: _dt.datetime, win
         recent3 = _after(tx, load_dt - windows.city)
         recent4 = _after(tx, load_dt - windows.probe)
         v = velocity_ids(city_ops(recent3, terminals, asof=asof_terminals), windows.city, windows.sub_bins)
-        p = probing_ids(recent4, windows.probe)
-        return F.col("trans_id").isin(v), F.col("trans_id").isin(p)
+        pts = probing_points(recent4, windows.probe).select("card_num", "c_us", "c_cents")
+        scale = getattr(tx.schema["amt"].dataType, "scale", 2)
+        r4 = (F.col("oper_result") == F.lit(S.RESULT_SUCCESS)) & point_key(scale).isin(pts)
+        return F.col("trans_id").isin(v), r4
     recent = _after(tx, load_dt)
     a3 = velocity_anchor(city_ops(recent, terminals, asof=asof_terminals), windows.city, windows.sub_bins)
     a4 = probing_anchor(recent, windows.probe)
