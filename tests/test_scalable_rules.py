@@ -88,3 +88,27 @@ def test_probing_matches_triple_join(spark, seed, window_min):
     got = sorted(r[0] for r in probing_ids(df, w).collect())
     assert got == want_ids and len(got) > 0
     assert probing_anchor(df, w).collect()[0][0] == want_anchor
+
+
+def test_pile_of_copies(spark):
+    """A third of the rows are copies of one operation: results stay exact and
+    the copies are aggregated before the first shuffle."""
+    import contextlib
+    import io
+
+    pdf = random_ops(5, n=450)
+    copy = pdf.iloc[0].copy()
+    copy["card_num"], copy["oper_result"], copy["city"] = "hot", "REJECT", "X"
+    extra = pd.DataFrame([copy] * 225)
+    extra["trans_id"] = np.arange(1000, 1225)
+    pdf = pd.concat([pdf, extra], ignore_index=True)
+    df = to_spark(spark, pdf)
+    assert sorted(r[0] for r in velocity_ids(df, dt.timedelta(minutes=60), 12).collect()) == \
+        brute_velocity(pdf, 60)[0]
+    assert sorted(r[0] for r in probing_ids(df, dt.timedelta(minutes=20)).collect()) == brute_probing(pdf, 20)[0]
+    for plan_df in (velocity_ids(df, dt.timedelta(minutes=60), 12), probing_ids(df, dt.timedelta(minutes=20))):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            plan_df.explain()
+        # partial (map-side) aggregate on the point keys below the first exchange
+        assert "HashAggregate(keys=[card_num" in buf.getvalue()
