@@ -211,7 +211,7 @@ def missing_keys(hist: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Open live versions whose key is gone from the source (anti join)."""
     from cardwatch.operators.scd2 import is_live_open
 
-    k = keys.select(F.col(keys.columns[0]).alias(key))
+    k = keys.select(F.col(keys.columns[0]).alias(key)).distinct()
     return hist.filter(is_live_open()).join(k, key, "left_anti")
 
 
@@ -222,4 +222,4 @@ def in_list_flag(df: DataFrame, value_col: str, values: DataFrame, alias: str =
     Kept as an IN-subquery so Catalyst plans it as an existence join: it never
     fans out on duplicate list entries, and AQE may broadcast the list once its
     measured size allows."""
-    return df.withColumn(alias, F.col(value_col).isin(values.select(values.columns[0])))
+    return df.withColumn(alias, F.col(value_col).isin(values.select(values.columns[0]).distinct()))

@@ -137,7 +137,8 @@ def scd2_delete(hist: DataFrame, keys: DataFrame, load_dt: _dt.datetime, spec: D
     A NULL key is never "in" the closing UPDATE's key list, so such a row gets a
     tombstone but stays open, as in the source.
     """
-    k = keys.select(F.col(keys.columns[0]).alias(spec.key))
+    # distinct: copies of a key collapse map-side, in the shuffle the joins need anyway
+    k = keys.select(F.col(keys.columns[0]).alias(spec.key)).distinct()
     cand, rest = _split(hist, is_live_open())
     victims = cand.join(k, spec.key, "left_anti")
     stay = cand.join(k, spec.key, "left_semi")
