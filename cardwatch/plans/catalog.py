@@ -119,6 +119,11 @@ def q_scd2_full(spark, d):
     return _clients_after_load(_t(spark, d))
 
 
+def q_scd2_full_corrected(spark, d):
+    t = _t(spark, d)
+    return scd2_load(t.hist, _delta(t), _keys(t), LOAD_DT, CLIENTS, corrected=True)
+
+
 def q_snapshot_scd2(spark, d):
     t = _t(spark, d)
     return snapshot_scd2(t.term_hist, t.term_file, LOAD_DT)

@@ -120,6 +120,23 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         SELECT h.client_id, {', '.join('h.' + c.strip() for c in _CLIENT_ATTRS.split(','))}, {DT}, {OPEN}, 'Y'
         FROM h2 h LEFT JOIN (SELECT DISTINCT client_id FROM keys) k ON h.client_id = k.client_id
         WHERE k.client_id IS NULL AND h.effective_to = {OPEN} AND h.deleted_flg = 'N'""", ("h2", "keys")),
+    # corrected load: the change time closes every open row of the key (tombstones too),
+    # deleted keys end the day before the load date
+    "h2c": (f"""SELECT h.client_id, {', '.join('h.' + c.strip() for c in _CLIENT_ATTRS.split(','))}, h.effective_from,
+            CASE WHEN d.client_id IS NOT NULL AND h.effective_to = {OPEN}
+                      AND h.effective_from < COALESCE(d.update_dt, d.create_dt)
+                 THEN COALESCE(d.update_dt, d.create_dt) - INTERVAL 1 DAY ELSE h.effective_to END AS effective_to,
+            h.deleted_flg
+        FROM h1 h LEFT JOIN delta d ON h.client_id = d.client_id""", ("h1", "delta")),
+    "h3c": (f"""SELECT h.client_id, {', '.join('h.' + c.strip() for c in _CLIENT_ATTRS.split(','))}, h.effective_from,
+            CASE WHEN h.effective_to = {OPEN} AND h.deleted_flg = 'N' AND k.client_id IS NULL
+                 THEN {DT_PREV} ELSE h.effective_to END AS effective_to,
+            h.deleted_flg
+        FROM h2c h LEFT JOIN (SELECT DISTINCT client_id FROM keys) k ON h.client_id = k.client_id
+        UNION ALL
+        SELECT h.client_id, {', '.join('h.' + c.strip() for c in _CLIENT_ATTRS.split(','))}, {DT}, {OPEN}, 'Y'
+        FROM h2c h LEFT JOIN (SELECT DISTINCT client_id FROM keys) k ON h.client_id = k.client_id
+        WHERE k.client_id IS NULL AND h.effective_to = {OPEN} AND h.deleted_flg = 'N'""", ("h2c", "keys")),
     # rules over the whole fact
     "ops": ("""SELECT tx.trans_id, tx.card_num, tx.trans_date, t.terminal_city AS city
         FROM tx JOIN term_dim t ON tx.terminal = t.terminal_id""", ("tx", "term_dim")),
@@ -280,6 +297,7 @@ SQL: dict[str, str] = {
     "scd2_delete": _scd2_delete(DT_NEXT),
     "scd2_delete_corrected": _scd2_delete(DT_PREV),
     "scd2_full": with_views("SELECT * FROM h3", "h3"),
+    "scd2_full_corrected": with_views("SELECT * FROM h3c", "h3c"),
     "snapshot_scd2": with_views(_SNAPSHOT_LITERAL, "term_hist", "term_file"),
     "snapshot_scd2_corrected": with_views(_SNAPSHOT_CORRECTED, "term_hist", "term_file"),
     "load_fact_transactions": with_views(

@@ -16,7 +16,7 @@ def con(sf_small):
 
 def test_every_query_has_sql():
     assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) == 31
+    assert len(E.queries()) == 32
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
