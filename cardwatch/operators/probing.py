@@ -180,11 +180,10 @@ def _sweep_points(points: DataFrame, big_w: int) -> DataFrame:
         .withColumn("_bin", F.col("_bin") + F.col("_shift"))
         .withColumn("_halo", F.col("_shift") == 1)
     )
-    # an explicit partition count (AQE would fold a small input into one Python
-    # task): the session's shuffle partitions, at most twice the cluster's cores
+    # partitions sized by AQE from the measured shuffle output (a column-only
+    # repartition may be coalesced), so the count follows the data at any scale
     spark = points.sparkSession
-    n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))
-    groups = groups.repartition(n, "card_num", "_bin").sortWithinPartitions("card_num", "_bin", "_t").select(*_COLS)
+    groups = groups.repartition("card_num", "_bin").sortWithinPartitions("card_num", "_bin", "_t").select(*_COLS)
     ship_package(spark)
     return groups.mapInArrow(_sweep(big_w), _OUT_SCHEMA)
 
