@@ -65,7 +65,7 @@ def floor_div(name: str, d: int) -> Column:
     return F.expr(f"({name} - pmod({name}, {int(d)})) div {int(d)}")
 
 
-def velocity_flags(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bins: int = 12,
+def velocity_flags(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bins: int = 60,
                    reverse: bool = False, points_only: bool = False) -> DataFrame:
     """Rows of ``ops`` (trans_id, card_num, trans_date) that have an operation of
     the same card in another city strictly before them and less than
@@ -145,13 +145,13 @@ def velocity_flags(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bi
     return rows_in.join(flagged, ["card_num", "_t", "city"], "left_semi").select("trans_id", "card_num", "trans_date")
 
 
-def velocity_ids(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bins: int = 12) -> DataFrame:
+def velocity_ids(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bins: int = 60) -> DataFrame:
     """R3 per card: ids of operations preceded, within the window, by an
     operation of the same card in another city (the later one of the pair)."""
     return velocity_flags(ops, window, sub_bins).select("trans_id").distinct()
 
 
-def velocity_anchor(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bins: int = 12) -> DataFrame:
+def velocity_anchor(ops: DataFrame, window: _dt.timedelta = S.CITY_WINDOW, sub_bins: int = 60) -> DataFrame:
     """R3 literal: one row, the latest *earlier* operation of any such pair
     (``MAX(a.trans_date)`` over the whole fact; NULL when there is none)."""
     points = velocity_flags(ops, window, sub_bins, reverse=True, points_only=True)

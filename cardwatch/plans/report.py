@@ -46,7 +46,7 @@ from cardwatch.operators.velocity import city_ops, velocity_anchor, velocity_ids
 class Windows:
     city: _dt.timedelta = S.CITY_WINDOW
     probe: _dt.timedelta = S.PROBE_WINDOW
-    sub_bins: int = 12
+    sub_bins: int = 60
 
 
 def _after(df: DataFrame, ts: _dt.datetime) -> DataFrame:
