@@ -56,7 +56,7 @@ def brute_probing(rows):
 
 
 @cfg
-@given(rows=cases, k=st.sampled_from([1, 3, 12]))
+@given(rows=cases, k=st.sampled_from([1, 3, 12, 60]))
 def test_velocity_property(spark, rows, k):
     got = sorted(r[0] for r in velocity_ids(frame(spark, rows), W3, k).collect())
     assert got == brute_velocity(rows)
