@@ -89,3 +89,17 @@ def test_transaction_rejects(spark):
         "oper_type string, oper_result string, terminal string")
     assert [r["transaction_id"] for r in transaction_rejects(stg).collect()] == ["x2"]
     assert load_fact_transactions(stg.filter("transaction_id = '1'")).collect()[0]["trans_id"] == 1
+
+
+def test_source_table_types_and_empty_strings(spark):
+    from cardwatch import schemas as S
+    from cardwatch.sources.tables import source_table
+
+    spark.createDataFrame(
+        [("A1", "2030-01-01 00:00:00", "", "2024-01-01 00:00:00", None)],
+        "account string, valid_to string, client string, create_dt string, update_dt string",
+    ).createOrReplaceTempView("src_accounts_view")
+    df = source_table(spark, "src_accounts_view", "accounts")
+    assert df.schema == S.SRC_ACCOUNTS
+    r = df.collect()[0]
+    assert r["client"] is None and r["valid_to"] == dt.datetime(2030, 1, 1)
