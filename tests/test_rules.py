@@ -134,3 +134,28 @@ def test_precedence(spark):
     got = [r[0] for r in df.select(classify(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).collect()]
     assert got == [S.EventType.PASSPORT_INVALID, S.EventType.CONTRACT_EXPIRED, S.EventType.AMOUNT_PROBING,
                    S.EventType.OK]
+
+
+def test_report_event_filter_boundary(spark):
+    """trans_date = dt 00:00:00 is excluded, dt 00:00:01 included, the day before excluded."""
+    from cardwatch.plans.report import Windows, fraud_report
+
+    sec = dt.timedelta(seconds=1)
+    tx = spark.createDataFrame(
+        [(1, DT, "K1", "P", Decimal("1.00"), "SUCCESS", "T1"),
+         (2, DT + sec, "K1", "P", Decimal("1.00"), "SUCCESS", "T1"),
+         (3, DT - dt.timedelta(days=1), "K1", "P", Decimal("1.00"), "SUCCESS", "T1")],
+        S.FACT_TRANSACTIONS)
+    cards = spark.createDataFrame([("K1 ", "A1")], "card_num string, account_num string")
+    acc = spark.createDataFrame([("A1", dt.datetime(2020, 1, 1), "C1")], "account_num string, valid_to timestamp_ntz, client string")
+    cl = spark.createDataFrame(
+        [("C1", "Doe", "Jan", None, "P1", dt.datetime(2030, 1, 1), "+7")],
+        "client_id string, last_name string, first_name string, patronymic string, passport_num string, "
+        "passport_valid_to timestamp_ntz, phone string")
+    terms = spark.createDataFrame([("T1", "POS", "X", "a", dt.datetime(2020, 1, 1), S.OPEN_END, "N")],
+                                  S.DIM_TERMINALS_HIST)
+    bl = spark.createDataFrame([], S.FACT_PASSPORT_BLACKLIST)
+    rep = fraud_report(tx, cards, acc, cl, terms, bl, DT, Windows()).collect()
+    # the contract ended in 2020, so every reported row is CONTRACT_EXPIRED; only id 2 is after dt
+    assert [(r["event_dt"], r["event_type"], r["fio"], r["report_dt"]) for r in rep] == [
+        (DT + sec, S.EventType.CONTRACT_EXPIRED, "Doe Jan ", DT + dt.timedelta(days=1))]
