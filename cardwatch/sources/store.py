@@ -8,7 +8,9 @@ Layout under ``root`` (a folder every executor can reach)::
 A run writes each table once and commits by writing its manifest row; a
 failed run leaves no manifest row and its directories are never read.  A
 rerun of a load date gets a new run id and supersedes the earlier run of
-that date, so reruns are idempotent.
+that date, so reruns are idempotent.  The manifest row also keeps the range
+of the run's operation times, so a reader that needs recent operations only
+skips older runs without opening them.
 
 Dimension history is stored in two parts, because closed versions never
 change again (every statement of the load only touches open rows):
