@@ -24,6 +24,15 @@ DEFAULTS = {
 }
 
 
+def _default_driver_memory() -> str:
+    """At most 8g, and at most 60% of the machine's memory (local mode runs in the driver JVM)."""
+    try:
+        total_mb = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") // (1024 * 1024)
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1024, min(8192, int(total_mb * 0.6)))}m"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cardwatch") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -32,7 +41,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("CARDWATCH_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("CARDWATCH_DRIVER_MEMORY", _default_driver_memory()))
     )
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
