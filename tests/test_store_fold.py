@@ -4,9 +4,18 @@ operators over the same days, and the corrected history keeps its invariants."""
 import datetime as dt
 import random
 
+import pytest
+
 from cardwatch import schemas as S
 from cardwatch.operators.extract import incremental_extract, key_snapshot
-from cardwatch.operators.scd2 import ACCOUNTS, TERMINALS, scd2_delete, scd2_load, snapshot_scd2_corrected
+from cardwatch.operators.scd2 import (
+    ACCOUNTS,
+    TERMINALS,
+    scd2_delete,
+    scd2_load,
+    snapshot_scd2,
+    snapshot_scd2_corrected,
+)
 from cardwatch.plans.daily import Sources, current_state, run_daily
 from cardwatch.plans.report import Windows
 from cardwatch.sources.feeds import next_day
@@ -41,7 +50,8 @@ def write_day(folder, load_dt, terminals):
         f"{load_dt.day};{load_dt:%Y-%m-%d} 10:00:00;1,00;K1;PAYMENT;SUCCESS;T0\n")
     (folder / f"terminals_{tag}.csv").write_text(
         "terminal_id;terminal_type;terminal_city;terminal_address\n" + "".join(";".join(t) + "\n" for t in terminals))
-    (folder / f"passport_blacklist_{tag}.csv").write_text("date;passport\n")
+    # one entry per day: an empty feed leaves the literal fact watermark NULL
+    (folder / f"passport_blacklist_{tag}.csv").write_text(f"date;passport\n{load_dt:%Y-%m-%d} 00:00:00;P{load_dt.day}\n")
 
 
 def rows(df):
@@ -49,7 +59,9 @@ def rows(df):
     return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
 
 
-def test_store_equals_pure_fold(spark, tmp_path):
+@pytest.mark.parametrize("semantics", ["corrected", "literal"])
+def test_store_equals_pure_fold(spark, tmp_path, semantics):
+    corrected = semantics == "corrected"
     rnd = random.Random(21)
     feeds = tmp_path / "feeds"
     feeds.mkdir()
@@ -66,21 +78,24 @@ def test_store_equals_pure_fold(spark, tmp_path):
         src = spark.createDataFrame(accounts, S.SRC_ACCOUNTS)
         f = next_day(spark, str(feeds), store.ledger(store.effective()))
         assert f.load_dt == load_dt
-        run_daily(spark, store, f, Sources(src, cards, clients), "corrected", Windows())
+        run_daily(spark, store, f, Sources(src, cards, clients), semantics, Windows())
         # the same day folded in memory
         acc_hist = scd2_load(acc_hist, incremental_extract(src, wm), key_snapshot(src, "account"), load_dt,
-                             ACCOUNTS, corrected=True)
+                             ACCOUNTS, corrected=corrected)
         acc_hist = spark.createDataFrame(acc_hist.collect(), S.DIM_ACCOUNTS_HIST)
         changes = [u or c for _k, (c, u, _cl) in state.items() if (u or c) > wm]
         wm = max([wm] + changes)
         tf = spark.createDataFrame(terminals, S.STG_TERMINALS)
-        term_hist = snapshot_scd2_corrected(term_hist, tf, load_dt, TERMINALS)
-        term_hist = scd2_delete(term_hist, tf.select("terminal_id"), load_dt, TERMINALS, corrected=True)
+        snap = snapshot_scd2_corrected if corrected else snapshot_scd2
+        term_hist = snap(term_hist, tf, load_dt, TERMINALS)
+        term_hist = scd2_delete(term_hist, tf.select("terminal_id"), load_dt, TERMINALS, corrected=corrected)
         term_hist = spark.createDataFrame(term_hist.collect(), S.DIM_TERMINALS_HIST)
 
     st = current_state(store)
     assert rows(st["dim_accounts_hist"]) == rows(acc_hist)
     assert rows(st["dim_terminals_hist"]) == rows(term_hist)
+    if not corrected:
+        return
     for name, key in (("dim_accounts_hist", "account_num"), ("dim_terminals_hist", "terminal_id")):
         open_per_key = {}
         for r in st[name].collect():
