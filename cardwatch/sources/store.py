@@ -94,6 +94,12 @@ class Store:
     # -- manifest ---------------------------------------------------------------------
     def committed(self) -> list[Run]:
         """Committed runs, one row each (bounded by the number of loads)."""
+        try:
+            # an empty partition makes a fresh warehouse readable without a
+            # missing-path error; "ignore" only checks that it exists
+            self.spark.createDataFrame([], MANIFEST).write.mode("ignore").parquet(f"{self.root}/manifest/run_id=none")
+        except Exception:  # noqa: BLE001 - a read-only reader still reads below
+            pass
         try:
             rows = self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest").collect()
         except Exception as e:  # noqa: BLE001 - no manifest yet
