@@ -11,16 +11,28 @@ from cardwatch.llm.spark_io import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.bpe import encode_decode
+
+    return encode_decode(table(spark, sf_dir, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardwatch.llm.licenses import licence_scan
 
     return licence_scan(table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.tokencounts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardwatch.llm.repetition import quality_rules
 
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_license_scan, op9_quality_rules)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_bpe_codec, op7_license_scan, op8_token_counts, op9_quality_rules)}
