@@ -35,4 +35,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_bpe_codec, op7_license_scan, op8_token_counts, op9_quality_rules)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.substrings import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_bpe_codec, op7_license_scan, op8_token_counts, op9_quality_rules, op10_substring_dedup)}
