@@ -17,6 +17,12 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardwatch.llm.licenses import licence_scan
 
@@ -41,4 +47,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_bpe_codec, op7_license_scan, op8_token_counts, op9_quality_rules, op10_substring_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_bpe_codec, op3_near_duplicates, op7_license_scan, op8_token_counts, op9_quality_rules, op10_substring_dedup)}
