@@ -23,6 +23,13 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.linededup import line_dedup
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs).select("doc_id", "n_lines", "n_removed", "n_runs", "text_sha256")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardwatch.llm.licenses import licence_scan
 
@@ -47,4 +54,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_bpe_codec, op3_near_duplicates, op7_license_scan, op8_token_counts, op9_quality_rules, op10_substring_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_bpe_codec, op3_near_duplicates, op6_line_dedup, op7_license_scan, op8_token_counts, op9_quality_rules, op10_substring_dedup)}
