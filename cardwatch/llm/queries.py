@@ -23,6 +23,12 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardwatch.llm.linededup import line_dedup
 
@@ -54,4 +60,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_bpe_codec, op3_near_duplicates, op6_line_dedup, op7_license_scan, op8_token_counts, op9_quality_rules, op10_substring_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_bpe_codec, op3_near_duplicates, op4_toxicity, op6_line_dedup, op7_license_scan, op8_token_counts, op9_quality_rules, op10_substring_dedup)}
