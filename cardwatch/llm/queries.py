@@ -11,6 +11,12 @@ from cardwatch.llm.spark_io import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardwatch.llm.bpe import encode_decode
 
@@ -60,4 +66,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_bpe_codec, op3_near_duplicates, op4_toxicity, op6_line_dedup, op7_license_scan, op8_token_counts, op9_quality_rules, op10_substring_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_bpe_codec, op3_near_duplicates, op4_toxicity, op6_line_dedup, op7_license_scan, op8_token_counts, op9_quality_rules, op10_substring_dedup)}
