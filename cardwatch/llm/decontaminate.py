@@ -2,15 +2,18 @@
 
 The test items are cut into entries of at most ``ENTRY`` words and indexed: a
 term's postings carry BM25 impacts divided by the entry's score against itself,
-so an entry met word for word scores 1 or more.  Entries are grouped in blocks of
-``BLOCK``; a term keeps its largest impact per block and overall.
+so a passage that holds every word of an entry scores 1 (a passage is a set of
+terms).  Entries are grouped in blocks of ``BLOCK``; a term keeps its largest
+impact per block and overall.  The most frequent terms, as long as they can't add
+more than ``COMMON`` to any entry, are not essential: a match needs the rest of
+its score from other terms.
 
 Every document is cut into passages of ``2 * ENTRY`` words that overlap by half,
 so any run of ``ENTRY`` words lies in one.  Each passage is a query: (1) passages
-whose terms' largest impacts don't add up to the threshold are passed over, (2)
-of the others only blocks whose block maxima add up to it are opened, (3) entries
-of open blocks are scored exactly, and all at the threshold or above are
-retrieved.  The bounds never lose an entry.  This is block-max WAND with all
+whose essential terms' largest impacts don't add up to that rest are passed over,
+(2) of the others only blocks whose block maxima add up to the threshold are
+opened, (3) entries of open blocks are scored exactly, and all at the threshold
+or above are retrieved.  The bounds never lose an entry.  This is block-max WAND with all
 pivots of a batch of passages moved at once, in numpy.
 
 A retrieved item is verified on the whole document: the shares of the 5-grams of
@@ -45,6 +48,7 @@ ENTRY = 64
 BLOCK = 8
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5
+COMMON = 0.25
 GRAM = 5
 OVERLAP = 0.6
 MIN_ITEM_WORDS = 8
@@ -99,24 +103,36 @@ class Index:
         df = np.bincount(term)
         idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
         impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lens[entry] / lens.mean()))
-        own = np.bincount(entry, weights=impact * tf, minlength=self.n)
+        own = np.bincount(entry, weights=impact, minlength=self.n)
         self.impact, self.entry = impact / own[entry], entry
         self.first = np.searchsorted(term, np.arange(len(self.vocab) + 1))
         self.most = np.maximum.reduceat(self.impact, self.first[:-1])
+        self.essential, self.slack = self._essential(df)
         self.blocks = -(-self.n // BLOCK)
         key = term * self.blocks + entry // BLOCK
         begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         self.block, self.block_most = key[begin] % self.blocks, np.maximum.reduceat(self.impact, begin)
         self.block_first = np.searchsorted(key[begin] // self.blocks, np.arange(len(self.vocab) + 1))
 
+    def _essential(self, df: np.ndarray) -> tuple[np.ndarray, float]:
+        """Largest impacts of the essential terms (0 for the others), and what the others can add to an entry."""
+        held, slack, most = np.zeros(self.n), 0.0, self.most.copy()
+        for t in np.argsort(-df, kind="stable").tolist():
+            post = slice(self.first[t], self.first[t + 1])
+            if (held[self.entry[post]] + self.impact[post]).max() > COMMON:
+                break
+            held[self.entry[post]] += self.impact[post]
+            most[t], slack = 0.0, float(held.max())
+        return most, slack
+
     def terms(self, h: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.vocab, h), len(self.vocab) - 1)
         return np.where(self.vocab[at] == h, at, -1)
 
     def retrieve(self, term: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(passage, entry, score) of all entries at the threshold or above, for passages [start, end) of a term array."""
-        bound = np.concatenate(([0.0], np.cumsum(np.where(term >= 0, self.most[term], 0.0))))
-        live = np.flatnonzero(bound[end] - bound[start] >= THRESHOLD - 1e-9)
+        bound = np.concatenate(([0.0], np.cumsum(np.where(term >= 0, self.essential[term], 0.0))))
+        live = np.flatnonzero(bound[end] - bound[start] >= THRESHOLD - self.slack - 1e-9)
         known = np.concatenate(([0], np.cumsum(term >= 0)))
         at = np.flatnonzero(term >= 0)
         out = []
@@ -132,20 +148,20 @@ class Index:
         n = hi - lo
         row = np.repeat(np.arange(len(passages)), n)
         word = np.arange(int(n.sum())) + np.repeat(lo - (np.cumsum(n) - n), n)
-        pair, count = np.unique(row * len(self.vocab) + term[word], return_counts=True)
+        pair = np.unique(row * len(self.vocab) + term[word])
         row, term = pair // len(self.vocab), pair % len(self.vocab)
-        blocks, score = self._sums(row, term, count, self.block_first, self.block, self.block_most, self.blocks)
+        blocks, score = self._sums(row, term, self.block_first, self.block, self.block_most, self.blocks)
         opened = blocks[score >= THRESHOLD - 1e-9]
         keep = np.isin(row, opened // self.blocks)
-        found, score = self._sums(row[keep], term[keep], count[keep], self.first, self.entry, self.impact, self.n, opened)
+        found, score = self._sums(row[keep], term[keep], self.first, self.entry, self.impact, self.n, opened)
         ok = score >= THRESHOLD - 1e-9
         return passages[found[ok] // self.n], found[ok] % self.n, score[ok]
 
-    def _sums(self, row, term, count, first, target, impact, size, opened=None) -> tuple[np.ndarray, np.ndarray]:
+    def _sums(self, row, term, first, target, impact, size, opened=None) -> tuple[np.ndarray, np.ndarray]:
         """Sums of impacts by (row, target); with ``opened`` only targets in an open block of their row."""
         n = first[term + 1] - first[term]
         post = np.arange(int(n.sum())) + np.repeat(first[term] - (np.cumsum(n) - n), n)
-        row, weight = np.repeat(row, n), np.repeat(count, n) * impact[post]
+        row, weight = np.repeat(row, n), impact[post]
         key = row * size + target[post]
         if opened is not None:
             keep = np.isin(row * self.blocks + target[post] // BLOCK, opened)
