@@ -35,6 +35,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_warc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.warc import archive_round_trip
+
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cardwatch.llm.linededup import line_dedup
 
@@ -66,4 +72,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_bpe_codec, op3_near_duplicates, op4_toxicity, op6_line_dedup, op7_license_scan, op8_token_counts, op9_quality_rules, op10_substring_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_bpe_codec, op3_near_duplicates, op4_toxicity, op5_warc_merge, op6_line_dedup, op7_license_scan, op8_token_counts, op9_quality_rules, op10_substring_dedup)}
