@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.llm import scan as S
 from cardwatch.llm.spark_io import text_columns
+from cardwatch.session import ship_package
 
 ENTRY = 64
 BLOCK = 8
@@ -194,20 +195,23 @@ class Index:
         return out
 
 
-def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per document and test item it holds; one pass over the documents per shard, no shuffle."""
+def _shards(docs: DataFrame, items: DataFrame) -> Iterator:
+    """The index of each shard of the items, on every executor."""
     spark = docs.sparkSession
-    docs = text_columns(docs)
-    items = items.select(items["item_id"].cast("long").alias("item_id"), items["text"].cast("string").alias("text")).filter("text IS NOT NULL").distinct()
+    items = items.select(items["item_id"].cast("long").alias("item_id"), items["text"].cast("string").alias("text"))
+    items = items.filter("text IS NOT NULL").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    found = []
     for k in range(shards):
         # about SHARD_BYTES of text
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).collect()
-        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in rows]))
-        found.append(docs.mapInArrow(_search(index), SCHEMA))
-    return reduce(DataFrame.union, found)
+        yield spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in rows]))
+
+
+def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """One row per document and test item it holds; one pass over the documents per shard, no shuffle."""
+    docs = text_columns(docs)
+    return reduce(DataFrame.union, [docs.mapInArrow(_search(index), SCHEMA) for index in _shards(docs, items)])
 
 
 def _search(index):
@@ -229,6 +233,21 @@ def _search(index):
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no test item; rows without a doc_id are kept."""
-    hit = contaminated(docs, items).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, docs["doc_id"] == hit["__hit"], "left_anti")
+    """The documents that hold no test item, with all their columns; one filter per shard, no shuffle."""
+    ship_package(docs.sparkSession)
+    for index in _shards(docs, items):
+        docs = docs.mapInArrow(_clean(index), docs.schema)
+    return docs
+
+
+def _clean(index):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: Index = index.value
+        for b in batches:
+            keep, at = np.ones(b.num_rows, dtype=bool), 0
+            for c in S.chunks([b]) if own.n else ():
+                keep[[at + hit[0] for hit in own.search(c)]] = False
+                at += len(c)
+            yield b.filter(pa.array(keep))
+
+    return run

@@ -212,18 +212,28 @@ def score_texts(texts: list[bytes], weights: np.ndarray, wanted: np.ndarray, int
     return _sigmoid(np.bincount(owner, weights=weights[feature], minlength=len(texts)) + intercept)
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, mu: float = MU) -> DataFrame:
-    """doc_id, held_out, score, predicted; the scores need no shuffle."""
+def _model(docs: DataFrame, labels: DataFrame, mu: float):
+    """The broadcast weights (one number per feature) and the intercept."""
     chosen, w, intercept = train(docs, labels, mu)
     weights = np.zeros(SLOTS * len(LEVELS), dtype=np.float32)
     weights[chosen] = w
-    model = docs.sparkSession.sparkContext.broadcast(weights)  # one number per feature
+    return docs.sparkSession.sparkContext.broadcast(weights), intercept
+
+
+def _scorer(model, intercept: float):
+    weights = model.value
+    wanted = weights.reshape(SLOTS, len(LEVELS)).any(axis=1)
+    return lambda c: score_texts(c.texts, weights, wanted, intercept)
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, mu: float = MU) -> DataFrame:
+    """doc_id, held_out, score, predicted; the scores need no shuffle."""
+    model, intercept = _model(docs, labels, mu)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = model.value
-        wanted = weights.reshape(SLOTS, len(LEVELS)).any(axis=1)
+        score = _scorer(model, intercept)
         for c in S.chunks(batches):
-            yield pa.RecordBatch.from_arrays([c.ids, pa.array(score_texts(c.texts, weights, wanted, intercept))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([c.ids, pa.array(score(c))], names=["doc_id", "score"])
 
     return (
         text_columns(docs)
@@ -235,3 +245,17 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, mu: float = MU) -> DataF
             (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
         )
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that score under the threshold, with all their columns; no shuffle."""
+    model, intercept = _model(docs, labels, MU)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = _scorer(model, intercept)
+        for b in batches:
+            scores = [score(c) for c in S.chunks([b])]
+            if scores:
+                yield b.filter(pa.array(np.concatenate(scores) < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
