@@ -5,7 +5,8 @@
 
 Source tables are parquet paths or catalog table names (``table:db.name``).
 Run it from any scheduler; reruns are idempotent and a failed day is
-invisible until it succeeds.  ``report`` prints one day's report.
+invisible until it succeeds.  ``report`` prints one day's report, all of it, or
+writes it with ``--out`` (CSV, or parquet by ``--format``).
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from cardwatch.plans.daily import Sources, report_of, run_daily
 from cardwatch.plans.report import with_labels
-from cardwatch.session import checkpoint_dir, tune
+from cardwatch.session import tune
 from cardwatch.sources.feeds import next_day
 from cardwatch.sources.store import Store
 from cardwatch.sources.tables import source_parquet, source_table
@@ -45,15 +46,22 @@ def main(argv: list[str] | None = None) -> int:
     rp = sub.add_parser("report", help="print the report of one load date")
     rp.add_argument("--warehouse", required=True)
     rp.add_argument("--date", required=True, help="YYYY-MM-DD")
+    rp.add_argument("--out", help="folder to write the report to instead of printing it")
+    rp.add_argument("--format", choices=["csv", "parquet"], default="csv")
     rp.add_argument("--labels", action="store_true", help="event sentences instead of codes")
     args = ap.parse_args(argv)
 
     spark = tune(SparkSession.builder.appName("cardwatch").getOrCreate())
-    checkpoint_dir(spark)
     store = Store(spark, args.warehouse)
     if args.cmd == "report":
         df = report_of(store, _dt.datetime.fromisoformat(args.date))
-        (with_labels(df) if args.labels else df).show(1000, truncate=False)
+        df = with_labels(df) if args.labels else df
+        if args.out:
+            df.write.mode("overwrite").option("header", True).format(args.format).save(args.out)
+            return 0
+        print("|".join(df.columns))
+        for row in df.toLocalIterator():   # partition by partition, so the driver holds one at a time
+            print("|".join("" if v is None else str(v) for v in row))
         return 0
     sources = Sources(
         accounts=_source(spark, args.accounts, "accounts"),

@@ -58,16 +58,105 @@ _DIM_LOADS: tuple[tuple[str, str, DimSpec, str], ...] = (
 
 def run_daily(spark: SparkSession, store: Store, feeds: DayFeeds, sources: Sources,
               semantics: str = "corrected", windows: Windows = Windows()) -> Run:
+    """Load one delivery of one date.
+
+    * A new date, or the newest one again: a full load.  A second delivery of
+      the date is loaded together with what the date brought before (the union
+      of the transaction files); a rerun over a superset of its transaction
+      files replaces them.  Either way the new run supersedes the earlier one.
+    * A date older than the newest load: a late delivery.  Its new operations
+      are appended and that date's report is rebuilt; the dimensions are
+      already past that date and stay as they are.  Files of an old date that
+      are already loaded can't be run again.
+    """
     if semantics not in ("corrected", "literal"):
         raise ValueError("semantics must be 'corrected' or 'literal'")
-    literal = semantics == "literal"
     load_dt = feeds.load_dt
-    later = [r for r in store.committed() if r.load_dt > load_dt]
+    effective = store.effective()
+    same = [r for r in effective if r.load_dt == load_dt]
+    later = [r for r in effective if r.load_dt > load_dt]
+    known = _files(store, same)
+    new = [f for f in feeds.files if f not in known]
     if later:
-        raise ValueError(f"{len(later)} later load(s) already committed; rerun them after this date")
+        if len(new) != len(feeds.files) or not new:
+            raise ValueError(f"{len(later)} later load(s) already committed; rerun them after this date")
+        return _late(spark, store, feeds, semantics, windows, effective)
     base = store.effective(before=load_dt)
-    run = Run(store.new_run_id(load_dt), load_dt)
+    run = Run(store.new_run_id(load_dt), load_dt, supersedes=tuple(r.run_id for r in same))
+    return _full_load(spark, store, _with_earlier(store, feeds, same, known), sources, semantics, windows, base, run)
+
+
+def _files(store: Store, runs: list[Run]) -> set[tuple[str, str]]:
+    """(feed, file_name) that runs of one date consumed."""
+    return {(r["feed"], r["file_name"]) for r in store.ledger(runs).collect()}
+
+
+def _with_earlier(store: Store, feeds: DayFeeds, same: list[Run], known: set[tuple[str, str]]) -> DayFeeds:
+    """A delivery of the newest date completed by what earlier deliveries of the date staged."""
+    if not same:
+        missing = [k for k in ("transactions", "terminals", "blacklist") if getattr(feeds, k) is None]
+        if missing:
+            raise ValueError(f"feeds {missing} missing for {feeds.load_dt:%Y-%m-%d}")
+        return feeds
+    old_tx = {f for f in known if f[0] == "transactions"}
+    new_tx = {f for f in feeds.files if f[0] == "transactions"}
+    tx, bl, term = feeds.transactions, feeds.blacklist, feeds.terminals
+    if not new_tx >= old_tx:
+        if new_tx & old_tx:
+            raise ValueError("a second delivery must hold none or all of the transaction files loaded for its date")
+        earlier = store.staged("stg_transactions", S.STG_TRANSACTIONS, same)
+        tx = earlier if tx is None else earlier.unionByName(tx)
+    earlier = store.staged("stg_passport_blacklist", S.FACT_PASSPORT_BLACKLIST, same)
+    # the list is cumulative: rows of both deliveries are the same entries
+    bl = earlier if bl is None else earlier.unionByName(bl.select(*earlier.columns)).distinct()
+    if term is None:
+        term = store.staged("stg_terminals", S.STG_TERMINALS, same)
+    return dataclasses.replace(feeds, transactions=tx, blacklist=bl, terminals=term,
+                               files=sorted(known | set(feeds.files)))
+
+
+def _late(spark: SparkSession, store: Store, feeds: DayFeeds, semantics: str, windows: Windows,
+          effective: list[Run]) -> Run:
+    """Append a late delivery's operations and rebuild its date's report."""
+    run = Run(store.new_run_id(feeds.load_dt), feeds.load_dt, kind="late")
+    tx = feeds.transactions
+    stg = store.write("stg_transactions", run, tx if tx is not None else spark.createDataFrame([], S.STG_TRANSACTIONS))
+    store.write("fact_transactions", run, load_fact_transactions(stg))
+    # later lists and snapshots hold what a late blacklist or terminal file says
+    store.write("fact_passport_blacklist", run, spark.createDataFrame([], S.FACT_PASSPORT_BLACKLIST))
+    run = _bounded(run, stg)
+    facts = [r for r in effective if r.load_dt <= run.load_dt] + [run]
+    return _publish(spark, store, run, feeds.files, semantics, windows, facts, effective)
+
+
+def _bounded(run: Run, stg_tx: DataFrame) -> Run:
+    bounds = stg_tx.agg(F.min("transaction_date").alias("lo"), F.max("transaction_date").alias("hi")).first()
+    return dataclasses.replace(run, tx_min=bounds["lo"], tx_max=bounds["hi"])
+
+
+def _publish(spark: SparkSession, store: Store, run: Run, files: list[tuple[str, str]], semantics: str,
+             windows: Windows, facts: list[Run], dims: list[Run]) -> Run:
+    """Report over the facts and dimensions of the given runs, ledger, manifest.
+
+    Runs that hold no operation after (load date - longest rule window) are not opened.
+    """
+    load_dt = run.load_dt
+    horizon = load_dt - max(windows.city, windows.probe)
+    tx = store.fact("fact_transactions", facts, trans_after=horizon)
+    bl = store.fact("fact_passport_blacklist", facts)
+    hist = {t: store.dim(t, dims).drop("_closed_before") for t, *_ in _DIM_LOADS}
+    terms = store.dim("dim_terminals_hist", dims).drop("_closed_before")
+    args = (tx, hist["dim_cards_hist"], hist["dim_accounts_hist"], hist["dim_clients_hist"], terms, bl, load_dt)
+    report = fraud_report if semantics == "literal" else fraud_report_asof
+    store.write("rep_fraud", run, report(*args, windows=windows))
+    store.write("ledger", run, spark.createDataFrame([(f, n, load_dt, run.run_id) for f, n in files], LEDGER))
+    store.commit(run, semantics)
+    return run
+
 
+def _full_load(spark: SparkSession, store: Store, feeds: DayFeeds, sources: Sources, semantics: str,
+               windows: Windows, base: list[Run], run: Run) -> Run:
+    literal, load_dt = semantics == "literal", feeds.load_dt
     meta = store.meta(base)
     wm = {r["table_name"]: r["last_update_dt"] for r in meta.collect()}   # six rows
     missing = [t for t in (S.WM_ACCOUNTS, S.WM_CARDS, S.WM_CLIENTS, S.WM_BLACKLIST) if wm.get(t) is None]
@@ -101,30 +190,14 @@ def run_daily(spark: SparkSession, store: Store, feeds: DayFeeds, sources: Sourc
     new_meta = advance_watermarks(meta, deltas, load_dt + _dt.timedelta(days=1), stg_bl, stg_tx, literal=literal)
     store.write("meta_data", run, new_meta)
 
-    # the report reads the state this run produced; runs holding no operation
-    # after (load date - longest rule window) are not opened
-    bounds = stg_tx.agg(F.min("transaction_date").alias("lo"), F.max("transaction_date").alias("hi")).collect()[0]
-    run = dataclasses.replace(run, tx_min=bounds["lo"], tx_max=bounds["hi"])
-    state = base + [run]
-    horizon = load_dt - max(windows.city, windows.probe)
-    tx = store.fact("fact_transactions", state, trans_after=horizon)
-    bl = store.fact("fact_passport_blacklist", state)
-    dims = {t: store.dim(t, state).drop("_closed_before") for t, *_ in _DIM_LOADS}
-    terms = store.dim("dim_terminals_hist", state).drop("_closed_before")
-    args = (tx, dims["dim_cards_hist"], dims["dim_accounts_hist"], dims["dim_clients_hist"], terms, bl, load_dt)
-    report = fraud_report(*args, windows=windows) if literal else fraud_report_asof(*args, windows=windows)
-    store.write("rep_fraud", run, report)
-
-    ledger = spark.createDataFrame([(f, n, load_dt, run.run_id) for f, n in feeds.files], LEDGER)
-    store.write("ledger", run, ledger)
-    store.commit(run, semantics)
-    return run
+    run = _bounded(run, stg_tx)
+    return _publish(spark, store, run, feeds.files, semantics, windows, base + [run], base + [run])
 
 
 def report_of(store: Store, load_dt: _dt.datetime) -> DataFrame:
     """The committed report of one load date, ordered by event time."""
     runs = [r for r in store.effective() if r.load_dt == load_dt]
-    return store.fact("rep_fraud", runs).orderBy("event_dt")
+    return store.reports(runs).orderBy("event_dt")
 
 
 def current_state(store: Store) -> dict[str, DataFrame]:
@@ -134,6 +207,6 @@ def current_state(store: Store) -> dict[str, DataFrame]:
     out["fact_transactions"] = store.fact("fact_transactions", runs)
     out["fact_passport_blacklist"] = store.fact("fact_passport_blacklist", runs)
     out["meta_data"] = store.meta(runs)
-    out["rep_fraud"] = store.fact("rep_fraud", runs)
+    out["rep_fraud"] = store.reports(runs)
     return out
 

@@ -1,8 +1,7 @@
-"""Session helpers: the settings the operators expect, and the checkpoint dir.
+"""Session helpers: the settings the operators expect, and shipping the package.
 
 On a cluster the session already exists; :func:`tune` only fills settings that
-are unset.  :func:`checkpoint_dir` reads ``spark.checkpoint.dir`` from the
-session and only invents one (under /tmp) for a local master, as in tests.
+are unset.
 """
 
 from __future__ import annotations
@@ -58,27 +57,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
-
-    Taken from ``spark.checkpoint.dir``.  Only a local master may fall back to
-    a fresh folder under /tmp; on a cluster a machine-local folder would not
-    survive the loss of an executor, so an unset value is an error there.
-    """
-    sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    path = tempfile.mkdtemp(prefix="cardwatch-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
-    return path
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwatch import schemas as S
-from cardwatch.functions import empty_as_null
+from cardwatch.functions import empty_as_null, ts_lit
 
 # Feed name patterns and the date format inside file names.
 TRANSACTIONS_GLOB = "tra*"
@@ -53,9 +53,10 @@ def load_date_column(file_name: Column | None = None) -> Column:
     return F.when(digits != "", F.to_timestamp_ntz(digits, F.lit("ddMMyyyy")))
 
 
-def _text_reader(spark: SparkSession, schema: T.StructType, sep: str = ";", decimal_comma: bool = False):
+def text_options(reader, schema: T.StructType, sep: str = ";", decimal_comma: bool = False):
+    """The feed dialect on a batch or stream reader: explicit schema, checked header, fail fast."""
     r = (
-        spark.read.schema(schema)
+        reader.schema(schema)
         .option("header", True)
         .option("sep", sep)
         .option("mode", "FAILFAST")
@@ -70,17 +71,17 @@ def _text_reader(spark: SparkSession, schema: T.StructType, sep: str = ";", deci
     return r
 
 
-def _clean(df: DataFrame) -> DataFrame:
-    """The warehouse dialect stores '' as NULL."""
+def clean(df: DataFrame, *more: Column) -> DataFrame:
+    """The warehouse dialect stores '' as NULL; ``more`` columns are added."""
     return df.select(*[
         empty_as_null(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
         for f in df.schema.fields
-    ])
+    ], *more)
 
 
 def read_transactions(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """stg_transactions rows from ``;`` text with a decimal comma."""
-    return _clean(_text_reader(spark, S.STG_TRANSACTIONS, decimal_comma=True).csv(path))
+    return clean(text_options(spark.read, S.STG_TRANSACTIONS, decimal_comma=True).csv(path))
 
 
 def read_terminals(spark: SparkSession, path: str | list[str], fmt: str = "csv") -> DataFrame:
@@ -88,8 +89,8 @@ def read_terminals(spark: SparkSession, path: str | list[str], fmt: str = "csv")
     if fmt == "parquet":
         df = spark.read.schema(S.STG_TERMINALS).parquet(*([path] if isinstance(path, str) else path))
     else:
-        df = _text_reader(spark, S.STG_TERMINALS).csv(path)
-    return _clean(df)
+        df = text_options(spark.read, S.STG_TERMINALS).csv(path)
+    return clean(df)
 
 
 _BLACKLIST_FILE = T.StructType([
@@ -103,8 +104,8 @@ def read_blacklist(spark: SparkSession, path: str | list[str], fmt: str = "csv")
     if fmt == "parquet":
         df = spark.read.schema(_BLACKLIST_FILE).parquet(*([path] if isinstance(path, str) else path))
     else:
-        df = _text_reader(spark, _BLACKLIST_FILE).csv(path)
-    return _clean(df).select(F.col("date").alias("entry_dt"), F.col("passport").alias("passport_num"))
+        df = text_options(spark.read, _BLACKLIST_FILE).csv(path)
+    return clean(df).select(F.col("date").alias("entry_dt"), F.col("passport").alias("passport_num"))
 
 
 # --- discovery and the consumption ledger --------------------------------------------
@@ -139,24 +140,39 @@ def unconsumed(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class DayFeeds:
+    """What arrived for one date; a feed is None when a second or late delivery lacks it."""
+
     load_dt: _dt.datetime
-    transactions: DataFrame
-    terminals: DataFrame
-    blacklist: DataFrame
+    transactions: DataFrame | None
+    terminals: DataFrame | None
+    blacklist: DataFrame | None
     files: list[tuple[str, str]]   # (feed, file_name) consumed by this day
 
 
+GLOBS = {"transactions": TRANSACTIONS_GLOB, "terminals": TERMINALS_GLOB, "blacklist": BLACKLIST_GLOB}
+
+
+def newest_load(ledger: DataFrame) -> _dt.datetime | None:
+    return ledger.agg(F.max("load_dt").alias("d")).first()["d"]
+
+
+def check_complete(by_feed: dict, load_dt: _dt.datetime, newest: _dt.datetime | None) -> None:
+    """A date newer than every load needs all three feeds; a second or late delivery may bring any of them."""
+    missing = [f for f in GLOBS if f not in by_feed]
+    if missing and (newest is None or load_dt > newest):
+        raise ValueError(f"feeds {missing} missing for {load_dt:%Y-%m-%d}")
+
+
 def next_day(spark: SparkSession, directory: str, ledger: DataFrame, terminals_fmt: str = "csv",
              blacklist_fmt: str = "csv") -> DayFeeds | None:
-    """The earliest day with unconsumed files; all three feeds must be there.
+    """The earliest day with unconsumed files, and all of its unconsumed files.
 
     The source takes an arbitrary first match per feed and the date from the
     terminals file alone; here the day is explicit and the feeds must agree.
-    Only file names reach the driver (one row per file), never rows.
+    Only the file names of one day reach the driver, never rows.
     """
-    globs = {"transactions": TRANSACTIONS_GLOB, "terminals": TERMINALS_GLOB, "blacklist": BLACKLIST_GLOB}
     found = None
-    for feed, g in globs.items():
+    for feed, g in GLOBS.items():
         f = feed_files(spark, directory, g, feed)
         found = f if found is None else found.unionByName(f)
     todo = unconsumed(found, ledger)
@@ -166,17 +182,16 @@ def next_day(spark: SparkSession, directory: str, ledger: DataFrame, terminals_f
     first = todo.agg(F.min("load_dt").alias("d")).collect()[0]["d"]
     if first is None:
         return None
-    day = todo.filter(F.col("load_dt") == F.lit(first)).select("feed", "file_name", "path").collect()
+    day = todo.filter(F.col("load_dt") == ts_lit(first)).select("feed", "file_name", "path").collect()
     by_feed: dict[str, list[str]] = {}
     for r in day:
         by_feed.setdefault(r["feed"], []).append(r["path"])
-    missing = [f for f in globs if f not in by_feed]
-    if missing:
-        raise ValueError(f"feeds {missing} missing for {first:%Y-%m-%d}")
+    check_complete(by_feed, first, newest_load(ledger))
+    paths = by_feed.get
     return DayFeeds(
         load_dt=first,
-        transactions=read_transactions(spark, by_feed["transactions"]),
-        terminals=read_terminals(spark, by_feed["terminals"], terminals_fmt),
-        blacklist=read_blacklist(spark, by_feed["blacklist"], blacklist_fmt),
+        transactions=read_transactions(spark, paths("transactions")) if paths("transactions") else None,
+        terminals=read_terminals(spark, paths("terminals"), terminals_fmt) if paths("terminals") else None,
+        blacklist=read_blacklist(spark, paths("blacklist"), blacklist_fmt) if paths("blacklist") else None,
         files=[(r["feed"], r["file_name"]) for r in day],
     )

@@ -6,11 +6,14 @@ Layout under ``root`` (a folder every executor can reach)::
     manifest/run_id=<run>/part-*.parquet   one row per committed run, written last
 
 A run writes each table once and commits by writing its manifest row; a
-failed run leaves no manifest row and its directories are never read.  A
-rerun of a load date gets a new run id and supersedes the earlier run of
-that date, so reruns are idempotent.  The manifest row also keeps the range
-of the run's operation times, so a reader that needs recent operations only
-skips older runs without opening them.
+failed run leaves no manifest row and its directories are never read.  The
+row names the runs it supersedes: a rerun of a load date holds everything the
+earlier run of that date held (its transaction files are a superset), so
+reruns are idempotent and a second delivery adds to the first.  A ``late`` run
+brings operations of a date older than the newest load: it holds facts, ledger
+and report only, and the dimensions stay those of the ``full`` runs.  The
+manifest row also keeps the range of the run's operation times, so a reader
+that needs recent operations only skips older runs without opening them.
 
 Dimension history is stored in two parts, because closed versions never
 change again (every statement of the load only touches open rows):
@@ -31,6 +34,7 @@ import datetime as _dt
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +51,8 @@ MANIFEST = T.StructType([
     # range of the run's operation times: lets readers skip whole runs
     T.StructField("tx_min", T.TimestampNTZType(), True),
     T.StructField("tx_max", T.TimestampNTZType(), True),
+    T.StructField("kind", T.StringType(), True),
+    T.StructField("supersedes", T.ArrayType(T.StringType()), True),
 ])
 
 DIMS = {
@@ -73,6 +79,12 @@ class Run:
     load_dt: _dt.datetime
     tx_min: _dt.datetime | None = None
     tx_max: _dt.datetime | None = None
+    kind: str = "full"
+    supersedes: tuple[str, ...] = ()
+
+
+def _full(runs: list[Run]) -> list[Run]:
+    return [r for r in runs if r.kind == "full"]
 
 
 class Store:
@@ -93,33 +105,26 @@ class Store:
 
     # -- manifest ---------------------------------------------------------------------
     def committed(self) -> list[Run]:
-        """Committed runs, one row each (bounded by the number of loads)."""
-        try:
-            # an empty partition makes a fresh warehouse readable without a
-            # missing-path error; "ignore" only checks that it exists
-            self.spark.createDataFrame([], MANIFEST).write.mode("ignore").parquet(f"{self.root}/manifest/run_id=none")
-        except Exception:  # noqa: BLE001 - a read-only reader still reads below
-            pass
+        """Committed runs, one row each (bounded by the number of loads); reads only."""
         try:
             rows = self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest").collect()
-        except Exception as e:  # noqa: BLE001 - no manifest yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return []
-            raise
-        return sorted((Run(r["run_id"], r["load_dt"], r["tx_min"], r["tx_max"]) for r in rows),
-                      key=lambda r: r.run_id)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []   # a fresh warehouse
+        runs = [Run(r["run_id"], r["load_dt"], r["tx_min"], r["tx_max"], r["kind"] or "full",
+                    tuple(r["supersedes"] or ())) for r in rows]
+        return sorted(runs, key=lambda r: r.run_id)
 
     def effective(self, before: _dt.datetime | None = None) -> list[Run]:
-        """Per load date the latest committed run, for dates before ``before``."""
-        latest: dict[_dt.datetime, Run] = {}
-        for r in self.committed():
-            if before is None or r.load_dt < before:
-                latest[r.load_dt] = r          # run ids sort by load date, then time
-        return [latest[d] for d in sorted(latest)]
+        """Committed runs that no later run supersedes, by load date (then time), for dates before ``before``."""
+        runs = self.committed()
+        gone = {s for r in runs for s in r.supersedes}
+        return [r for r in runs if r.run_id not in gone and (before is None or r.load_dt < before)]
 
     def commit(self, run: Run, semantics: str) -> None:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        row = [(run.run_id, run.load_dt, semantics, now, run.tx_min, run.tx_max)]
+        row = [(run.run_id, run.load_dt, semantics, now, run.tx_min, run.tx_max, run.kind, list(run.supersedes))]
         self.spark.createDataFrame(row, MANIFEST).coalesce(1).write.mode("overwrite").parquet(
             f"{self.root}/manifest/run_id={run.run_id}"
         )
@@ -142,7 +147,7 @@ class Store:
         finds the contradiction in one branch of the union and drops that scan:
         an operator that only modifies open rows never reads the closed parts.
         """
-        schema = DIMS[table]
+        schema, runs = DIMS[table], _full(runs)
         if not runs:
             return self.spark.createDataFrame([], schema).withColumn(PROVENANCE, F.lit(False))
         stored = _with_field(_with_field(schema, "run_id", T.StringType()), "_part", T.StringType())
@@ -166,7 +171,18 @@ class Store:
         stored = _with_field(FACTS[table], "run_id", T.StringType())
         return self._read(table, stored, [r.run_id for r in runs]).drop("run_id")
 
+    def reports(self, runs: list[Run]) -> DataFrame:
+        """The report of every load date: that of its last run."""
+        last = {r.load_dt: r for r in runs}
+        return self.fact("rep_fraud", list(last.values()))
+
+    def staged(self, table: str, schema: T.StructType, runs: list[Run]) -> DataFrame:
+        """What runs staged from their feeds."""
+        stored = _with_field(schema, "run_id", T.StringType())
+        return self._read(table, stored, [r.run_id for r in runs]).drop("run_id")
+
     def meta(self, runs: list[Run]) -> DataFrame:
+        runs = _full(runs)
         if not runs:
             return seed_watermarks(self.spark)
         stored = _with_field(S.META_DATA, "run_id", T.StringType())

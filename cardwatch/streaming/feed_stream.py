@@ -10,8 +10,9 @@ query keeps watching the folder.
 
 Delivery: the file source and its checkpoint make each file part of exactly
 one committed micro-batch; a batch replayed after a crash is recognised by
-the store's ledger (dates whose transaction files are already consumed are
-skipped), so the warehouse sees each day once.  ``clean_source="archive"``
+the store's ledger (files already consumed are skipped), so the warehouse sees
+each file once.  A date split over several batches, or a second file of a date,
+adds to what the date brought before (see ``run_daily``).  ``clean_source="archive"``
 moves consumed files away only after their batch commits (the source moves
 them first and loses them on failure).
 """
@@ -26,17 +27,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cardwatch import schemas as S
+from cardwatch.functions import ts_lit
 from cardwatch.plans.daily import Sources, run_daily
 from cardwatch.plans.report import Windows
 from cardwatch.sources.feeds import (
-    BLACKLIST_GLOB,
-    TERMINALS_GLOB,
+    GLOBS,
     TRANSACTIONS_GLOB,
     DayFeeds,
+    check_complete,
+    clean,
     feed_files,
     load_date_column,
+    newest_load,
     read_blacklist,
     read_terminals,
+    text_options,
+    unconsumed,
 )
 from cardwatch.sources.store import Store
 
@@ -44,15 +50,7 @@ from cardwatch.sources.store import Store
 def transactions_stream(spark: SparkSession, directory: str, clean_source: str | None = None,
                         archive_dir: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """Rows of new transaction files, with their file name and load date."""
-    r = (
-        spark.readStream.schema(S.STG_TRANSACTIONS)
-        .option("header", True)
-        .option("sep", ";")
-        .option("locale", "de-DE")            # decimal comma
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        .option("mode", "FAILFAST")
-        .option("pathGlobFilter", TRANSACTIONS_GLOB)
-    )
+    r = text_options(spark.readStream, S.STG_TRANSACTIONS, decimal_comma=True).option("pathGlobFilter", TRANSACTIONS_GLOB)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if clean_source:
@@ -61,17 +59,7 @@ def transactions_stream(spark: SparkSession, directory: str, clean_source: str |
             r = r.option("sourceArchiveDir", archive_dir)
     df = r.csv(directory)
     name = F.col("_metadata.file_name")
-    return df.select("*", name.alias("_file_name"), load_date_column(name).alias("_load_dt"))
-
-
-def _one(spark: SparkSession, directory: str, glob: str, feed: str, load_dt: _dt.datetime) -> tuple[str, str]:
-    """(path, name) of the single ``feed`` file of a date (listed through Spark,
-    so the folder may be on any file system the cluster reads)."""
-    rows = (feed_files(spark, directory, glob, feed).filter(F.col("load_dt") == F.lit(load_dt))
-            .select("path", "file_name").collect())
-    if len(rows) != 1:
-        raise ValueError(f"expected one {glob} file for {load_dt:%Y-%m-%d} in {directory}, found {len(rows)}")
-    return rows[0]["path"], rows[0]["file_name"]
+    return clean(df, name.alias("_file_name"), load_date_column(name).alias("_load_dt"))
 
 
 def daily_batches(store: Store, directory: str, sources: Callable[[_dt.datetime], Sources],
@@ -85,25 +73,30 @@ def daily_batches(store: Store, directory: str, sources: Callable[[_dt.datetime]
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        days = batch.select("_load_dt", "_file_name").distinct().collect()
-        consumed = {r["file_name"] for r in store.ledger(store.effective()).filter(
-            F.col("feed") == "transactions").select("file_name").collect()}
+        ledger = store.ledger(store.effective())
+        arrived = batch.select(F.lit("transactions").alias("feed"), F.col("_file_name").alias("file_name"), "_load_dt").distinct()
         by_day: dict[_dt.datetime, list[str]] = {}
-        for r in days:
-            if r["_file_name"] not in consumed:
-                by_day.setdefault(r["_load_dt"], []).append(r["_file_name"])
+        for r in unconsumed(arrived, ledger).collect():
+            by_day.setdefault(r["_load_dt"], []).append(r["file_name"])
+        if None in by_day:
+            raise ValueError(f"feed files without a _DDMMYYYY date: {sorted(by_day[None])[:5]}")
+        newest = newest_load(ledger)
         for load_dt in sorted(by_day):
             files = by_day[load_dt]
-            tx = batch.filter(F.col("_file_name").isin(files)).drop("_file_name", "_load_dt")
-            term_path, term_name = _one(spark, directory, TERMINALS_GLOB, "terminals", load_dt)
-            bl_path, bl_name = _one(spark, directory, BLACKLIST_GLOB, "blacklist", load_dt)
+            paths: dict[str, list[str]] = {"transactions": files}
+            names = [("transactions", f) for f in files]
+            for feed in ("terminals", "blacklist"):
+                listed = feed_files(spark, directory, GLOBS[feed], feed).filter(F.col("load_dt") == ts_lit(load_dt))
+                for r in unconsumed(listed, ledger).select("path", "file_name").collect():
+                    paths.setdefault(feed, []).append(r["path"])
+                    names.append((feed, r["file_name"]))
+            check_complete(paths, load_dt, newest)
             feeds = DayFeeds(
                 load_dt=load_dt,
-                transactions=tx,
-                terminals=read_terminals(spark, term_path, terminals_fmt),
-                blacklist=read_blacklist(spark, bl_path, blacklist_fmt),
-                files=[("transactions", f) for f in files]
-                + [("terminals", term_name), ("blacklist", bl_name)],
+                transactions=batch.filter(F.col("_file_name").isin(files)).drop("_file_name", "_load_dt"),
+                terminals=read_terminals(spark, paths["terminals"], terminals_fmt) if "terminals" in paths else None,
+                blacklist=read_blacklist(spark, paths["blacklist"], blacklist_fmt) if "blacklist" in paths else None,
+                files=names,
             )
             run_daily(spark, store, feeds, sources(load_dt), semantics, windows)
 
@@ -113,9 +106,9 @@ def daily_batches(store: Store, directory: str, sources: Callable[[_dt.datetime]
 def start(spark: SparkSession, store: Store, directory: str, sources: Callable[[_dt.datetime], Sources],
           checkpoint: str | None = None, available_now: bool = True, semantics: str = "corrected",
           windows: Windows = Windows(), clean_source: str | None = None,
-          archive_dir: str | None = None) -> StreamingQuery:
+          archive_dir: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the intake query; its checkpoint lives next to the warehouse."""
-    stream = transactions_stream(spark, directory, clean_source, archive_dir)
+    stream = transactions_stream(spark, directory, clean_source, archive_dir, max_files_per_trigger)
     w = (
         stream.writeStream.foreachBatch(daily_batches(store, directory, sources, semantics, windows))
         .option("checkpointLocation", checkpoint or f"{store.root}/_stream_checkpoint")

@@ -1,11 +1,12 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cardwatch.session import checkpoint_dir, local_session  # noqa: E402
+from cardwatch.session import local_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(4, shuffle_partitions=8)
-    checkpoint_dir(s)
+    s.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='cardwatch-test-', dir='/tmp')}")
     yield s
 
 
