@@ -21,8 +21,8 @@ def scratch(spark: SparkSession, name: str) -> str:
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = "file:///tmp/cardwatch-scratch"
-        spark.conf.set("spark.checkpoint.dir", root)
+        sc.setCheckpointDir("file:///tmp/cardwatch-scratch")
+        root = sc.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
