@@ -215,11 +215,32 @@ def missing_keys(hist: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return hist.filter(is_live_open()).join(k, key, "left_anti")
 
 
-def in_list_flag(df: DataFrame, value_col: str, values: DataFrame, alias: str = "in_list") -> DataFrame:
-    """``value IN (SELECT ...)`` as a three-valued column (TRUE, FALSE, or
-    NULL for a NULL value or a no-match against a list holding NULL).
+def own_exchange(keys: DataFrame) -> DataFrame:
+    """A de-duplicated key set as the build side of a join that AQE can split.
+
+    A join on the key an aggregate is partitioned by reuses the aggregate's
+    exchange, and AQE then leaves a hot key of the other side in one task.
+    Dealing the (small) key set out again gives the join an exchange of its own.
+    """
+    return keys.repartition(max(1, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
-    Kept as an IN-subquery so Catalyst plans it as an existence join: it never
-    fans out on duplicate list entries, and AQE may broadcast the list once its
-    measured size allows."""
-    return df.withColumn(alias, F.col(value_col).isin(values.select(values.columns[0]).distinct()))
+
+def in_list_flag(df: DataFrame, value_col: str, values: DataFrame, alias: str = "in_list") -> DataFrame:
+    """``value IN (SELECT ...)`` as a three-valued column.
+
+    TRUE for a listed value; FALSE for any value against an empty list; NULL
+    for a NULL value, and for an unlisted one when the list holds a NULL;
+    else FALSE.  (Spark projects an IN-subquery as a two-valued existence
+    test.)  A left join to the distinct list never fans out, and AQE may split
+    a hot value; the two facts about the list are one-row aggregates."""
+    listed = values.select(F.col(values.columns[0]).alias("_listed"))
+    rows = listed.agg(F.count(F.lit(1)).alias("n")).scalar()
+    nulls = listed.agg(F.count(F.when(F.col("_listed").isNull(), 1)).alias("n")).scalar()
+    keys = own_exchange(listed.filter(F.col("_listed").isNotNull()).distinct())
+    flag = (
+        F.when(F.col("_listed").isNotNull(), F.lit(True))
+        .when(rows == 0, F.lit(False))
+        .when(F.col(value_col).isNull() | (nulls > 0), F.lit(None).cast("boolean"))
+        .otherwise(F.lit(False))
+    )
+    return df.join(keys, F.col(value_col) == F.col("_listed"), "left").withColumn(alias, flag).drop("_listed")

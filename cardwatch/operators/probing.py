@@ -121,33 +121,43 @@ def _complete_groups(cols: dict, window: int, out: list) -> None:
 
 
 def _sweep(window: int):
-    """Streams a partition sorted by (card, bin, time); keeps one group in hand."""
+    """Streams a partition sorted by (card, bin, time); keeps one group in hand.
+
+    The open group is a list of slices, joined once when its end is seen; only
+    a new batch is searched for group ends, so the work is linear in the rows."""
 
     def run(batches):
-        carry = None
+        held: list = []
         for b in batches:
             cols = {c: b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in _COLS}
-            if carry is not None:
-                cols = {c: np.concatenate((carry[c], cols[c])) for c in _COLS}
             n = len(cols["_t"])
             if n == 0:
                 continue
             card, gbin = cols["card_num"], cols["_bin"]
-            last = n - 1
-            while last > 0 and card[last - 1] == card[n - 1] and gbin[last - 1] == gbin[n - 1]:
-                last -= 1
+            starts = np.flatnonzero((card[1:] != card[:-1]) | (gbin[1:] != gbin[:-1])) + 1
+            if held and (held[-1]["card_num"][-1] != card[0] or held[-1]["_bin"][-1] != gbin[0]):
+                starts = np.concatenate(([0], starts))
+            if not len(starts):
+                held.append(cols)
+                continue
             out: list = []
-            _complete_groups({c: v[:last] for c, v in cols.items()}, window, out)
-            carry = {c: v[last:] for c, v in cols.items()}
+            first, last = starts[0], starts[-1]
+            _complete_groups(_joined(held + [{c: v[:first] for c, v in cols.items()}]), window, out)
+            _complete_groups({c: v[first:last] for c, v in cols.items()}, window, out)
+            held = [{c: v[last:] for c, v in cols.items()}]
             yield from out
-        if carry is not None:
+        if held:
             out = []
-            _complete_groups(carry, window, out)
+            _complete_groups(_joined(held), window, out)
             yield from out
 
     return run
 
 
+def _joined(parts: list) -> dict:
+    return {c: np.concatenate([p[c] for p in parts]) for c in _COLS}
+
+
 def _points(tx: DataFrame, big_w: int) -> tuple[DataFrame, DataFrame]:
     """(rows, points): the usable rows, and their distinct (card, time, amount,
     result) points.  Copies decide the same way (a repeated REJECT adds
@@ -180,6 +190,11 @@ def _sweep_points(points: DataFrame, big_w: int) -> DataFrame:
         .withColumn("_bin", F.col("_bin") + F.col("_shift"))
         .withColumn("_halo", F.col("_shift") == 1)
     )
+    # a pattern takes two REJECTs and an own SUCCESS: other groups never leave the JVM
+    own = F.count(F.when(~F.col("_rej") & ~F.col("_halo"), 1))
+    tries = F.count(F.when(F.col("_rej"), 1))
+    live = groups.groupBy("card_num", "_bin").agg(own.alias("own"), tries.alias("tries")).filter("own > 0 AND tries > 1")
+    groups = groups.join(live.select("card_num", "_bin"), ["card_num", "_bin"], "left_semi")
     # partitions sized by AQE from the measured shuffle output (a column-only
     # repartition may be coalesced), so the count follows the data at any scale
     spark = points.sparkSession
@@ -196,12 +211,6 @@ def probing_points(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> Dat
     return _sweep_points(points, big_w)
 
 
-def point_key(amount_scale: int = 2) -> Column:
-    """The point key of an operation row, to test membership in :func:`probing_points`."""
-    return F.struct(
-        F.col("card_num"), epoch_us("trans_date"), (F.col("amt") * F.lit(10 ** amount_scale)).cast("long"))
-
-
 def probing_hits(tx: DataFrame, window: _dt.timedelta = S.PROBE_WINDOW) -> DataFrame:
     """(trans_id, card_num, c_us, m_us) for every SUCCESS operation that
     completes a falling REJECT, REJECT, SUCCESS pattern within ``window``."""

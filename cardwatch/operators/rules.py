@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cardwatch import schemas as S
 from cardwatch.functions import ts_lit
+from cardwatch.operators.joins import own_exchange
 
 
 def rule_passport(blacklist: DataFrame, load_dt: _dt.datetime) -> Column:
@@ -25,12 +26,16 @@ def rule_passport(blacklist: DataFrame, load_dt: _dt.datetime) -> Column:
 
 
 def flag_blacklisted(clients: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """``_bl_listed`` = ``passport_num IN (blacklist)`` (three-valued), computed
-    on the clients dimension: once per client version instead of once per
-    operation, and never keyed by a passport that may carry a third of all
-    operations."""
-    listed = blacklist.select("passport_num").distinct()     # copies collapse map-side
-    return clients.withColumn("_bl_listed", F.col("passport_num").isin(listed))
+    """``_bl_listed``: the passport is in the blacklist (NULL and no match are
+    both FALSE, as a CASE branch takes them), computed on the clients
+    dimension: once per client version instead of once per operation.  A left
+    join to the distinct list, so clients that share one passport can be split."""
+    listed = own_exchange(blacklist.select(F.col("passport_num").alias("_bl_passport")).distinct())
+    return (
+        clients.join(listed, F.col("passport_num") == F.col("_bl_passport"), "left")
+        .withColumn("_bl_listed", F.col("_bl_passport").isNotNull())
+        .drop("_bl_passport")
+    )
 
 
 def rule_passport_listed(load_dt: _dt.datetime) -> Column:
@@ -47,7 +52,7 @@ def blacklist_since(blacklist: DataFrame) -> DataFrame:
 
 def with_blacklist_since(df: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Adds ``_bl_since``; apply it to the clients dimension before the fact join."""
-    b = blacklist_since(blacklist)
+    b = own_exchange(blacklist_since(blacklist))
     return df.join(b, df.passport_num == b._bl_passport, "left").drop("_bl_passport")
 
 

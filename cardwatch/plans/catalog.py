@@ -13,8 +13,9 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from cardwatch import schemas as S
-from cardwatch.functions import concat_nullable
+from cardwatch.functions import concat_nullable, ts_lit
 from cardwatch.operators.extract import (
     advance_watermarks,
     incremental_extract,
@@ -33,7 +34,10 @@ from cardwatch.operators.rules import (
     with_blacklist_since,
 )
 from cardwatch.operators.scd2 import (
+    ACCOUNTS,
+    CARDS,
     CLIENTS,
+    TERMINALS,
     scd2_close,
     scd2_delete,
     scd2_insert,
@@ -79,7 +83,7 @@ def _advanced_meta(t: DriverTables) -> DataFrame:
     deltas = {
         S.WM_ACCOUNTS: incremental_extract(t.acc_src, S.BEGINNING),
         S.WM_CARDS: incremental_extract(t.cards_src, S.BEGINNING),
-        S.WM_CLIENTS: incremental_extract(t.src, S.BEGINNING),
+        S.WM_CLIENTS: incremental_extract(t.src_all, S.BEGINNING),
     }
     return advance_watermarks(
         t.meta_seed, deltas, LOAD_DT + _dt.timedelta(days=1),
@@ -92,7 +96,7 @@ def q_incremental_extract(spark, d):
 
 
 def q_key_snapshot(spark, d):
-    return _keys(_t(spark, d))
+    return key_snapshot(_t(spark, d).src_all, "client_id")
 
 
 def q_scd2_insert(spark, d):
@@ -175,6 +179,51 @@ def q_in_blacklist_flag(spark, d):
                         "in_blacklist")
 
 
+def q_in_list_with_nulls(spark, d):
+    """NULL values against a list that holds NULLs: TRUE or NULL, never FALSE."""
+    t = _t(spark, d)
+    late = F.when(F.col("entry_dt") > ts_lit(BLACKLIST_WATERMARK), F.col("passport_num"))
+    return in_list_flag(t.cl.select("client_id", "first_name"), "first_name", t.bl.select(late.alias("p")), "listed")
+
+
+def q_in_empty_list(spark, d):
+    """Any value, NULL included, against an empty list: FALSE."""
+    t = _t(spark, d)
+    none = t.bl.filter(F.col("entry_dt") > ts_lit(S.OPEN_END)).select("passport_num")
+    return in_list_flag(t.cl.select("client_id", "first_name"), "first_name", none, "listed")
+
+
+def q_rule_amount_probing_20min(spark, d):
+    return probing_anchor(_t(spark, d).tx_dense, S.PROBE_WINDOW)
+
+
+def q_rule_amount_probing_20min_per_card(spark, d):
+    return probing_ids(_t(spark, d).tx_dense, S.PROBE_WINDOW)
+
+
+def _kept(src: DataFrame, key: str) -> DataFrame:
+    """A source from which every 13th key was deleted."""
+    return src.filter(F.rtrim(key).cast("long") % 13 != 0)
+
+
+def q_scd2_full_accounts(spark, d):
+    t = _t(spark, d)
+    src = _kept(t.acc_src, "account")
+    return scd2_load(t.acc_hist, incremental_extract(src, CLIENTS_WATERMARK), key_snapshot(src, "account"), LOAD_DT, ACCOUNTS)
+
+
+def q_scd2_full_cards(spark, d):
+    t = _t(spark, d)
+    src = _kept(t.cards_src, "card_num")
+    return scd2_load(t.cards_hist, incremental_extract(src, CLIENTS_WATERMARK), key_snapshot(src, "card_num"), LOAD_DT, CARDS)
+
+
+def q_terminals_full(spark, d):
+    t = _t(spark, d)
+    hist = snapshot_scd2(t.term_hist, t.term_file, LOAD_DT)
+    return scd2_delete(hist, key_snapshot(t.term_file, "terminal_id"), LOAD_DT, TERMINALS)
+
+
 def q_rule_passport(spark, d):
     t = _t(spark, d)
     j = dim_chain_join(t.tx, t.cards, t.acc, flag_blacklisted(t.cl, t.bl), extra=("_bl_listed",))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from cardwatch import schemas as S
 from cardwatch.functions import concat_nullable, plus_days, ts_lit
 from cardwatch.operators.joins import asof_dim_chain, dim_chain_join
-from cardwatch.operators.probing import point_key, probing_anchor, probing_points
+from cardwatch.operators.probing import probing_anchor, probing_hits
 from cardwatch.operators.rules import (
     classify,
     event_label,
@@ -53,21 +53,30 @@ def _after(df: DataFrame, ts: _dt.datetime) -> DataFrame:
     return df.filter(F.col("trans_date") > ts_lit(ts))
 
 
-def rule_columns(tx: DataFrame, terminals: DataFrame, load_dt: _dt.datetime, windows: Windows,
-                 per_card: bool, asof_terminals: bool = False) -> tuple[Column, Column]:
-    """R3 and R4 as boolean columns over rows of ``tx`` after ``load_dt``."""
+def rule_hits(tx: DataFrame, terminals: DataFrame, load_dt: _dt.datetime, windows: Windows,
+              asof_terminals: bool = False) -> DataFrame:
+    """(trans_id, _r3, _r4): operations that R3 or R4 flag per card, one row each."""
+    recent3 = _after(tx, load_dt - windows.city)
+    recent4 = _after(tx, load_dt - windows.probe)
+    v = velocity_ids(city_ops(recent3, terminals, asof=asof_terminals), windows.city, windows.sub_bins)
+    p = probing_hits(recent4, windows.probe)
+    one = v.select("trans_id", F.lit(True).alias("_r3"), F.lit(False).alias("_r4")).unionByName(
+        p.select("trans_id", F.lit(False).alias("_r3"), F.lit(True).alias("_r4")))
+    return one.groupBy("trans_id").agg(F.max("_r3").alias("_r3"), F.max("_r4").alias("_r4"))
+
+
+def with_rules(rows: DataFrame, tx: DataFrame, terminals: DataFrame, load_dt: _dt.datetime, windows: Windows,
+               per_card: bool, asof_terminals: bool = False) -> DataFrame:
+    """``rows`` with R3 and R4 as the boolean columns ``_r3`` and ``_r4``.
+
+    Per card: one left join by operation id to the flagged operations."""
     if per_card:
-        recent3 = _after(tx, load_dt - windows.city)
-        recent4 = _after(tx, load_dt - windows.probe)
-        v = velocity_ids(city_ops(recent3, terminals, asof=asof_terminals), windows.city, windows.sub_bins)
-        pts = probing_points(recent4, windows.probe).select("card_num", "c_us", "c_cents")
-        scale = getattr(tx.schema["amt"].dataType, "scale", 2)
-        r4 = (F.col("oper_result") == F.lit(S.RESULT_SUCCESS)) & point_key(scale).isin(pts)
-        return F.col("trans_id").isin(v), r4
+        hits = rule_hits(tx, terminals, load_dt, windows, asof_terminals)
+        return rows.join(hits, "trans_id", "left").fillna(False, ["_r3", "_r4"])
     recent = _after(tx, load_dt)
     a3 = velocity_anchor(city_ops(recent, terminals, asof=asof_terminals), windows.city, windows.sub_bins)
     a4 = probing_anchor(recent, windows.probe)
-    return F.col("trans_date") == a3.scalar(), F.col("trans_date") == a4.scalar()
+    return rows.withColumns({"_r3": F.col("trans_date") == a3.scalar(), "_r4": F.col("trans_date") == a4.scalar()})
 
 
 def _report(rows: DataFrame, event_type: Column, load_dt: _dt.datetime) -> DataFrame:
@@ -88,9 +97,9 @@ def classified(tx: DataFrame, cards: DataFrame, accounts: DataFrame, clients: Da
     """Operations after the load date with their event type (source's R1/R2)."""
     clients = flag_blacklisted(clients, blacklist)
     rows = dim_chain_join(_after(tx, load_dt), cards, accounts, clients, extra=("_bl_listed",))
-    r3, r4 = rule_columns(tx, terminals, load_dt, windows, per_card)
-    et = classify(rule_passport_listed(load_dt), rule_contract(load_dt), r3, r4)
-    return rows.withColumn("event_type", et)
+    rows = with_rules(rows, tx, terminals, load_dt, windows, per_card)
+    et = classify(rule_passport_listed(load_dt), rule_contract(load_dt), F.col("_r3"), F.col("_r4"))
+    return rows.withColumn("event_type", et).drop("_r3", "_r4")
 
 
 def fraud_report(tx: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame, terminals: DataFrame,
@@ -119,9 +128,9 @@ def classified_asof(tx: DataFrame, cards_hist: DataFrame, accounts_hist: DataFra
     terminals_hist = _valid_after(terminals_hist, load_dt - windows.city)
     clients_hist = with_blacklist_since(clients_hist, blacklist)
     rows = asof_dim_chain(_after(tx, load_dt), cards_hist, accounts_hist, clients_hist, extra=("_bl_since",))
-    r3, r4 = rule_columns(tx, terminals_hist, load_dt, windows, per_card=True, asof_terminals=True)
-    et = classify(rule_passport_corrected(), rule_contract_corrected(), r3, r4)
-    return rows.withColumn("event_type", et)
+    rows = with_rules(rows, tx, terminals_hist, load_dt, windows, per_card=True, asof_terminals=True)
+    et = classify(rule_passport_corrected(), rule_contract_corrected(), F.col("_r3"), F.col("_r4"))
+    return rows.withColumn("event_type", et).drop("_r3", "_r4")
 
 
 def fraud_report_asof(tx: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame, clients_hist: DataFrame,

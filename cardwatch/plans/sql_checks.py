@@ -87,10 +87,13 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         FROM customer WHERE c_custkey % 17 = 0""", ()),
     "hist": (f"""SELECT {_client_cols()}, TIMESTAMP '2020-01-01' AS effective_from, {OPEN} AS effective_to,
         'N' AS deleted_flg FROM customer WHERE c_custkey % 10 <> 0""", ()),
-    "src": (f"""SELECT {_client_cols(_UPDATED)},
+    "src": ("SELECT * FROM src_all WHERE CAST(client_id AS BIGINT) % 13 <> 0", ("src_all",)),
+    "src_all": (f"""SELECT {_client_cols(_UPDATED)},
         CASE WHEN c_custkey % 10 = 0 THEN TIMESTAMP '2024-01-10' ELSE TIMESTAMP '2020-01-01' END AS create_dt,
         CASE WHEN {_UPDATED} THEN TIMESTAMP '2024-01-12' END AS update_dt
-        FROM customer WHERE c_custkey % 13 <> 0""", ()),
+        FROM customer""", ()),
+    "tx_dense": ("""SELECT * REPLACE (TIMESTAMP '2024-01-01' + to_microseconds(
+            (epoch_us(trans_date) - epoch_us(TIMESTAMP '2024-01-01')) // 72) AS trans_date) FROM tx""", ("tx",)),
     # --- derived -------------------------------------------------------------------
     "delta": (f"SELECT * FROM src WHERE COALESCE(update_dt, create_dt) > {CLIENTS_WM}", ("src",)),
     "keys": ("SELECT client_id FROM src", ("src",)),
@@ -225,7 +228,7 @@ upd AS (
         WHERE COALESCE(update_dt, create_dt) > {BEGIN}) AS new_dt, true AS guarded
     UNION ALL SELECT 'dim_cards_hist', (SELECT max(COALESCE(update_dt, create_dt)) FROM cards_src
         WHERE COALESCE(update_dt, create_dt) > {BEGIN}), true
-    UNION ALL SELECT 'dim_clients_hist', (SELECT max(COALESCE(update_dt, create_dt)) FROM src
+    UNION ALL SELECT 'dim_clients_hist', (SELECT max(COALESCE(update_dt, create_dt)) FROM src_all
         WHERE COALESCE(update_dt, create_dt) > {BEGIN}), true
     UNION ALL SELECT 'dim_terminals_hist', {DT_NEXT}, true
     UNION ALL SELECT 'fact_passport_blacklist', (SELECT max(entry_dt) FROM bl WHERE entry_dt > {BEGIN}), false
@@ -238,7 +241,7 @@ advanced AS (
 
 
 def _with_meta(body: str) -> str:
-    base = with_views("SELECT 1", "acc_src", "cards_src", "src", "bl", "stg_tx")
+    base = with_views("SELECT 1", "acc_src", "cards_src", "src_all", "bl", "stg_tx")
     return base.replace("\nSELECT 1", f",\n{_META}\n{body}")
 
 
@@ -286,9 +289,56 @@ _ASOF = f"""SELECT tx.*, c.account_num, a.valid_to, l.client_id, l.last_name, l.
 _R1_CORRECTED = """(EXISTS (SELECT 1 FROM bl WHERE bl.passport_num = j.passport_num AND bl.entry_dt <= j.trans_date)
           OR j.passport_valid_to < j.trans_date)"""
 
+_TRIPLES_20 = VIEWS["r4_triples"][0].replace("FROM tx a", "FROM tx_dense a").replace("JOIN tx ", "JOIN tx_dense ").replace(
+    PROBE_W, "INTERVAL 20 MINUTE")
+
+
+def _scd2_full(hist: str, src: str, key: str, source_key: str, attrs: dict[str, str]) -> str:
+    """Insert, close, tombstone of a dimension whose every 13th key was deleted from the source."""
+    names = ", ".join(attrs)
+    own = ", ".join(f"h.{a}" for a in attrs)
+    gone = f"k.key IS NULL AND h.effective_to = {OPEN} AND h.deleted_flg = 'N'"
+    return with_views("SELECT 1", hist, src).replace("\nSELECT 1", f""",
+kept AS (SELECT * FROM {src} WHERE CAST(RTRIM({source_key}) AS BIGINT) % 13 <> 0),
+chg AS (SELECT * FROM kept WHERE COALESCE(update_dt, create_dt) > {CLIENTS_WM}),
+d1 AS (SELECT {key}, {names}, effective_from, effective_to, deleted_flg FROM {hist}
+    UNION ALL SELECT {source_key}, {', '.join(attrs.values())}, COALESCE(update_dt, create_dt), {OPEN}, 'N' FROM chg),
+d2 AS (SELECT h.{key}, {own}, h.effective_from,
+        CASE WHEN d.{source_key} IS NOT NULL AND h.effective_to = {OPEN} AND h.effective_from < COALESCE(d.update_dt, {BEGIN})
+             THEN d.update_dt - INTERVAL 1 DAY ELSE h.effective_to END AS effective_to, h.deleted_flg
+    FROM d1 h LEFT JOIN chg d ON h.{key} = d.{source_key}),
+k AS (SELECT DISTINCT {source_key} AS key FROM kept)
+SELECT h.{key}, {own}, h.effective_from, CASE WHEN {gone} THEN {DT_NEXT} ELSE h.effective_to END AS effective_to, h.deleted_flg
+FROM d2 h LEFT JOIN k ON h.{key} = k.key
+UNION ALL SELECT h.{key}, {own}, {DT}, {OPEN}, 'Y' FROM d2 h LEFT JOIN k ON h.{key} = k.key WHERE {gone}""")
+
+
+def _terminals_full() -> str:
+    own = "h.terminal_type, h.terminal_city, h.terminal_address"
+    gone = f"k.terminal_id IS NULL AND h.effective_to = {OPEN} AND h.deleted_flg = 'N'"
+    inner = SQL["snapshot_scd2"]
+    return f"""WITH loaded AS ({inner}), file AS ({with_views('SELECT terminal_id FROM term_file', 'term_file')})
+SELECT h.terminal_id, {own}, h.effective_from, CASE WHEN {gone} THEN {DT_NEXT} ELSE h.effective_to END AS effective_to, h.deleted_flg
+FROM loaded h LEFT JOIN (SELECT DISTINCT terminal_id FROM file) k ON h.terminal_id = k.terminal_id
+UNION ALL SELECT h.terminal_id, {own}, {DT}, {OPEN}, 'Y'
+FROM loaded h LEFT JOIN (SELECT DISTINCT terminal_id FROM file) k ON h.terminal_id = k.terminal_id WHERE {gone}"""
+
+
 SQL: dict[str, str] = {
+    "in_list_with_nulls": with_views(
+        f"""SELECT client_id, first_name, first_name IN (SELECT CASE WHEN entry_dt > {BLACKLIST_WM} THEN passport_num END FROM bl)
+            AS listed FROM cl""", "cl", "bl"),
+    "in_empty_list": with_views(
+        f"SELECT client_id, first_name, first_name IN (SELECT passport_num FROM bl WHERE entry_dt > {OPEN}) AS listed FROM cl",
+        "cl", "bl"),
+    "rule_amount_probing_20min": with_views("SELECT 1", "tx_dense").replace(
+        "\nSELECT 1", f", t20 AS ({_TRIPLES_20}) SELECT max(a_dt) AS anchor_dt FROM t20"),
+    "rule_amount_probing_20min_per_card": with_views("SELECT 1", "tx_dense").replace(
+        "\nSELECT 1", f", t20 AS ({_TRIPLES_20}) SELECT DISTINCT c_id AS trans_id FROM t20"),
+    "scd2_full_accounts": _scd2_full("acc_hist", "acc_src", "account_num", "account", {"valid_to": "valid_to", "client": "client"}),
+    "scd2_full_cards": _scd2_full("cards_hist", "cards_src", "card_num", "card_num", {"account_num": "account"}),
     "incremental_extract": with_views("SELECT * FROM delta", "delta"),
-    "key_snapshot": with_views("SELECT client_id FROM keys", "keys"),
+    "key_snapshot": with_views("SELECT client_id FROM src_all", "src_all"),
     "scd2_insert": with_views("SELECT * FROM h1", "h1"),
     "scd2_close": with_views(
         "SELECT * FROM h2",
@@ -346,3 +396,5 @@ SQL: dict[str, str] = {
         "SELECT tx.trans_id, c.account_num FROM tx LEFT JOIN cards c ON tx.card_num = RTRIM(c.card_num)",
         "tx", "cards"),
 }
+
+SQL["terminals_full"] = _terminals_full()

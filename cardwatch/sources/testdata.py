@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch import schemas as S
-from cardwatch.functions import plus_days, plus_years, ts_lit
+from cardwatch.functions import epoch_us, from_epoch_us, plus_days, plus_years, ts_lit
 
 # Fixed parameters of the driver-table scenario: the events span
 # 2024-01-01 .. 2024-01-30, so the load date is in the middle.
@@ -223,7 +223,12 @@ class DriverTables:
     @cached_property
     def src(self) -> DataFrame:
         """Client source table: every 13th customer deleted, some new, some changed."""
-        c = self.table("customer").filter(_mod("c_custkey", 13) != 0)
+        return self.src_all.filter(F.col("client_id").cast("long") % 13 != 0)
+
+    @cached_property
+    def src_all(self) -> DataFrame:
+        """Client source table before any deletion."""
+        c = self.table("customer")
         updated = (_mod("c_custkey", 10) != 0) & (_mod("c_custkey", 7) == 0)
         return c.select(
             *self._client_cols(c, updated),
@@ -231,6 +236,13 @@ class DriverTables:
             F.when(updated, ts_lit("2024-01-12")).alias("update_dt"),
         )
 
+    @cached_property
+    def tx_dense(self) -> DataFrame:
+        """Operations with their times compressed 72-fold (a day becomes 20 minutes)."""
+        start = epoch_us(ts_lit("2024-01-01"))
+        us = start + F.floor((epoch_us("trans_date") - start) / 72)
+        return self.tx.withColumn("trans_date", from_epoch_us(us))
+
     # -- single-version dims for the as-of report -----------------------------------
     @cached_property
     def cards_hist(self) -> DataFrame:
