@@ -164,10 +164,45 @@ def scd2_delete_corrected(hist: DataFrame, keys: DataFrame, load_dt: _dt.datetim
 
 def scd2_load(hist: DataFrame, delta: DataFrame, keys: DataFrame, load_dt: _dt.datetime, spec: DimSpec,
               corrected: bool = False) -> DataFrame:
-    """One dimension's daily load in the source's statement order."""
-    h = scd2_insert(hist, delta, spec)
-    h = scd2_close(h, delta, spec) if not corrected else scd2_close_corrected(h, delta, spec)
-    return scd2_delete(h, keys, load_dt, spec, corrected=corrected)
+    """One dimension's daily load: the source's insert, close and delete in one keyed pass.
+
+    Keys and delta become one change row per key (listed, number of changes,
+    latest change time); the open rows and the inserted versions are joined to
+    it once, and each yields itself, closed or kept, and its tombstone if its
+    key is gone.  Equal to :func:`scd2_insert`, :func:`scd2_close` (or
+    :func:`scd2_close_corrected`) and :func:`scd2_delete` one after the other.
+    """
+    u = change_ts() if corrected else F.col("update_dt")
+    none = F.lit(None).cast("timestamp_ntz")
+    changes = (
+        keys.select(F.col(keys.columns[0]).alias(spec.key), F.lit(1).alias("_p"), F.lit(0).alias("_n"), none.alias("_u"))
+        .unionByName(delta.select(F.col(spec.source_key).alias(spec.key), F.lit(0).alias("_p"), F.lit(1).alias("_n"), u.alias("_u")))
+        .groupBy(spec.key)
+        .agg(F.max("_p").alias("_p"), F.sum("_n").alias("_n"), F.max("_u").alias("_u"))
+    )
+    open_rows, rest = _split(hist, is_open())
+    new = _new_versions(delta, spec, spec.source_key, spec.source_attrs, change_ts())
+    j = open_rows.unionByName(new, allowMissingColumns=True).join(changes, spec.key, "left")
+    changed_at = F.col("_u") if corrected else F.coalesce(F.col("_u"), ts_lit(S.BEGINNING))
+    matched = (F.col("_n") > 0) & (F.col("effective_from") < changed_at)
+    j = j.withColumn(
+        "_to",
+        F.when(matched & (F.col("_n") > 1), _one_match("delta")).when(matched, minus_days("_u", 1)).otherwise(F.col("effective_to")),
+    )
+    gone = (
+        F.col("_to").eqNullSafe(ts_lit(S.OPEN_END)) & F.col("deleted_flg").eqNullSafe(F.lit(S.FLAG_LIVE))
+        & (F.coalesce(F.col("_p"), F.lit(0)) == 0)
+    )
+    close_at = minus_days(ts_lit(load_dt), 1) if corrected else plus_days(ts_lit(load_dt), 1)
+    # a NULL key is never in the closing UPDATE's key list: it gets a tombstone but stays open
+    own = {"effective_to": F.when(gone & F.col(spec.key).isNotNull(), close_at).otherwise(F.col("_to"))}
+    kept = {c: F.col(c) for c in [spec.key, *spec.attrs]}
+    tomb = kept | {"effective_from": ts_lit(load_dt), "effective_to": ts_lit(S.OPEN_END), "deleted_flg": F.lit(S.FLAG_DELETED)}
+    types = {f.name: f.dataType for f in hist.schema.fields}
+    row = F.struct(*[own.get(c, F.col(c)).alias(c) for c in hist.columns])
+    tombstone = F.struct(*[tomb.get(c, F.lit(None)).cast(types[c]).alias(c) for c in hist.columns])
+    rows = j.select(F.explode(F.when(gone, F.array(row, tombstone)).otherwise(F.array(row))).alias("_r")).select("_r.*")
+    return rest.unionByName(rows)
 
 
 def scd2_close_corrected(hist: DataFrame, delta: DataFrame, spec: DimSpec) -> DataFrame:

@@ -9,7 +9,7 @@ from cardwatch.operators.extract import incremental_extract, key_snapshot
 from cardwatch.operators.probing import probing_ids
 from cardwatch.operators.scd2 import CLIENTS, scd2_load
 from cardwatch.operators.velocity import city_ops, velocity_ids
-from cardwatch.plans.catalog import q_fraud_report
+from cardwatch.plans.catalog import q_classify_per_card, q_fraud_report, q_fraud_report_asof, q_scd2_full
 from cardwatch.plans.daily import run_daily
 from cardwatch.sources.feeds import next_day
 from cardwatch.sources.store import Store
@@ -64,3 +64,17 @@ def test_dimension_load_skips_closed_history(spark, tmp_path):
     scans = [ln for ln in txt.splitlines() if ln.startswith("PartitionFilters:")]
     assert scans, txt
     assert all("_part" in ln and "= open" in ln for ln in scans), scans
+
+
+def test_report_has_no_existence_join(spark, sf_small):
+    for build in (q_fraud_report_asof, q_classify_per_card):
+        txt = plan(build(spark, sf_small))
+        assert "ExistenceJoin" not in txt and "CartesianProduct" not in txt
+        # R3 and R4 hits come in by one left join on the operation id
+        tree = txt.split("\n\n\n")[0]
+        assert tree.count("MapInArrow") == 1, tree
+
+
+def test_dimension_load_is_one_keyed_pass(spark, sf_small):
+    tree = plan(q_scd2_full(spark, sf_small)).split("\n\n\n")[0]
+    assert tree.count("Join") == 1, tree
