@@ -12,8 +12,9 @@
 3. *Pairs.*  Each list pairs its members with its smallest document, a long one
    also with two chosen by hash.  The links found make components.  Lists whose
    members then lie in several components pair the members outside the largest
-   one with all others, so every pair of a list is either joined already or
-   tested; no list is cut.
+   one with all others, unless the parity bitmaps of their shingles rule the pair
+   out; so every pair of a list is joined already, ruled out by that exact bound,
+   or tested.  No list is cut.
 4. *Filter and verify.*  The bottom-k sketch of the union estimates the
    similarity of a pair; what passes is verified on the full sets.
 
@@ -24,7 +25,8 @@ bound is exact.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z.  A text with fewer words
 than a shingle has its whole sequence as one shingle; a null or empty text has
-no set, is linked with nothing and is kept.  Repeated rows are copies.  An empty
+no set, is linked with nothing and is kept, as is a row without a doc_id.
+Repeated rows are copies.  An empty
 table gives an empty table; further columns are ignored.
 """
 
@@ -33,6 +35,8 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +48,7 @@ from cardwatch.llm import scan as S
 from cardwatch.llm.components import components
 from cardwatch.llm.spark_io import text_columns, written
 
-SKETCH = 32
+SKETCH = 48
 MISS = 1e-10
 LONG_LIST = 32
 
@@ -101,21 +105,42 @@ def _sets(words: int):
         for c in S.chunks(batches):
             h, first = shingle_sets(c, words)
             sets = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([c.ids, sets], names=["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([c.ids, sets, *map(pa.array, parity(h, first))], names=["doc_id", "shingles", *PARITY])
 
     return run
 
 
+def parity(h: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Bitmaps of ``64 * len(PARITY)`` bits: whether an odd number of a set's hashes falls on the bit."""
+    bit, word = S.U64(1) << (h & S.U64(63)), (h >> S.U64(6)) % S.U64(len(PARITY))
+    some = np.flatnonzero(np.diff(first))
+    out = []
+    for k in range(len(PARITY)):
+        own = np.zeros(len(first) - 1, dtype=np.uint64)
+        if len(some):
+            own[some] = np.bitwise_xor.reduceat(np.where(word == k, bit, S.U64(0)), first[some])
+        out.append(own.view(np.int64))
+    return out
+
+
+PARITY = [f"p{k}" for k in range(8)]
+SETS = "doc_id long, shingles array<long>, " + ", ".join(f"{p} long" for p in PARITY)
+
+
 def _lists(reps: DataFrame, percent: int) -> DataFrame:
     """(value, id, n): the inverted lists of the rarest retained values, lists of one left out."""
     t = shared_at_least(SKETCH, percent)
-    values = reps.select("id", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
+    values = reps.select("id", F.explode("sketch").alias("value"))
     shared = written(values.groupBy("value").agg(F.count("*").alias("held")).filter("held > 1"), "held")
-    need = F.least(F.ceil(F.col("k") * percent / 100), F.lit(t))
+    # a set smaller than a sketch is retained whole, a partner at most its size * 100 / percent
+    missed = F.greatest(F.floor(F.col("n") * 100 / percent) - SKETCH, F.lit(0))
+    need = F.when(F.col("n") < SKETCH, F.ceil(F.col("n") * percent / 100) - missed).otherwise(F.lit(t))
+    need = F.greatest(need, F.least(F.ceil(F.col("k") * percent / 100), F.lit(t)))
     return (
         values.join(shared, "value")
-        .groupBy("id", "n", "k")
+        .groupBy("id")
         .agg(F.sort_array(F.collect_list(F.struct("held", "value"))).alias("rare"))
+        .join(reps.select("id", "n", F.size("sketch").alias("k")), "id")
         # values that no other document retains are the rarest, and are in no list
         .withColumn("take", (F.col("k") - need + 1) - (F.col("k") - F.size("rare")))
         .filter("take > 0")
@@ -152,8 +177,13 @@ def _star_pairs(lists: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _rest_pairs(lists: DataFrame, labels: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one list that lie in different components and are not tested yet."""
+def _rest_pairs(lists: DataFrame, labels: DataFrame, tested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one list that lie in different components, can be similar and are not tested yet.
+
+    A shingle that one set of a pair alone has flips one bit of the other's
+    parity bitmap, so the sets differ in at least as many shingles as their
+    bitmaps differ in bits.
+    """
     held = lists.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id")
     )
@@ -161,15 +191,19 @@ def _rest_pairs(lists: DataFrame, labels: DataFrame, tested: DataFrame, percent:
     largest = parts.groupBy("value").agg(
         F.count("*").alias("parts"), F.max_by("component", F.struct("part", "component")).alias("largest")
     ).filter("parts > 1").drop("parts")
-    mixed = written(held.join(largest, "value"), "mixed")
+    bits = sets.select(F.col("doc_id").alias("id"), *PARITY)
+    mixed = written(held.join(largest, "value").join(bits, "id"), "mixed")
     outside = mixed.filter("component != largest").select(
-        "value", F.col("id").alias("x"), F.col("n").alias("m"), F.col("component").alias("other")
-    )
+        "value", F.col("id").alias("x"), F.col("n").alias("m"), F.col("component").alias("other"),
+        *(F.col(p).alias(f"x{p}") for p in PARITY),
+    )
+    differ = reduce(add, (F.bit_count(F.col(p).bitwiseXOR(F.col(f"x{p}"))) for p in PARITY))
     pairs = (
         mixed.join(outside, "value")
         # a pair outside the largest component is met from both ends; one is enough
         .filter((F.col("component") != F.col("other")) & _alike("n", "m", percent))
         .filter((F.col("component") == F.col("largest")) | (F.col("id") < F.col("x")))
+        .filter(differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent))
         .withColumnRenamed("id", "y")
     )
     return _ordered(pairs).join(tested, ["a", "b"], "left_anti")
@@ -185,10 +219,8 @@ def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return both.filter(found * SKETCH >= F.size(union) * t).select("a", "b")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full shingle sets reach the similarity."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = written(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(words), "doc_id long, shingles array<long>").dropDuplicates(["doc_id"]), "sets")
     side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
@@ -211,20 +243,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     )
     lists = written(_lists(reps, percent), "lists")
 
+    listed = lists.select(F.col("id").alias("doc_id")).distinct()
+    sets = written(
+        docs.join(listed, "doc_id", "left_semi").mapInArrow(_sets(words), SETS).dropDuplicates(["doc_id"]),
+        "sets",
+    )
     star = written(_star_pairs(lists, percent), "pairs")
-    links = written(_verified(written(_estimated(star, reps, percent), "likely"), docs, words, percent), "found")
+    links = written(_verified(_estimated(star, reps, percent), sets, percent), "found")
     labels = components(links)
-    rest = written(_estimated(_rest_pairs(lists, labels, star, percent), reps, percent), "likely")
+    rest = written(_estimated(_rest_pairs(lists, labels, star, sets, percent), reps, percent), "likely")
     if rest.take(1):
-        links = links.union(written(_verified(rest, docs, words, percent), "found"))
+        links = links.union(written(_verified(rest, sets, percent), "found"))
         labels = components(links)
 
-    out = (
-        sketches.select("doc_id", "n_shingles", "class")
-        .join(classes, "class", "left")
-        .join(labels.withColumnRenamed("node", "id"), "id", "left")
-    )
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    linked = some.join(classes, "class").join(labels.withColumnRenamed("node", "id"), "id", "left")
+    alone = sketches.filter("n_shingles = 0 OR doc_id IS NULL")
+    return (
+        linked.select("doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
+        .union(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
