@@ -73,48 +73,6 @@ def valid_at(ts: Column, prefix: str = "") -> Column:
     return (ts >= ef) & (ts < plus_days(et, 1)) & (fl == F.lit(S.FLAG_LIVE))
 
 
-def _versions(dim: DataFrame, key: str, cols: list[str], prefix: str) -> DataFrame:
-    return dim.select(
-        F.col(key).alias(f"{prefix}key"),
-        *[F.col(c).alias(f"{prefix}{c}") for c in cols],
-        F.col("effective_from").alias(f"{prefix}effective_from"),
-        F.col("effective_to").alias(f"{prefix}effective_to"),
-        F.col("deleted_flg").alias(f"{prefix}deleted_flg"),
-    )
-
-
-def asof_join(left: DataFrame, dim: DataFrame, left_key: Column, dim_key: str, ts_col: str,
-              cols: list[str], prefix: str) -> DataFrame:
-    """Left join to the dimension version valid at ``left[ts_col]``.
-
-    An equi-join on the key with the validity test as its residual condition:
-    each key has few versions, so the residual costs a handful of comparisons.
-    """
-    v = _versions(dim, dim_key, cols, prefix)
-    cond = (left_key == F.col(f"{prefix}key")) & valid_at(F.col(ts_col), prefix)
-    out = left.join(v, cond, "left")
-    return out.drop(f"{prefix}key", f"{prefix}effective_to", f"{prefix}deleted_flg")
-
-
-def asof_dim_chain_sequential(tx: DataFrame, cards_hist: DataFrame, accounts_hist: DataFrame,
-                              clients_hist: DataFrame, ts_col: str = "trans_date",
-                              extra: tuple[str, ...] = ()) -> DataFrame:
-    """The dimension chain as of the operation time, one as-of join per
-    dimension (the fact is shuffled once per dimension).  Reference form for
-    :func:`asof_dim_chain`."""
-    j = asof_join(tx, cards_hist.withColumn("card_num", card_key("card_num")), F.col("card_num"),
-                  "card_num", ts_col, ["account_num"], "c_")
-    j = asof_join(j, accounts_hist, F.col("c_account_num"), "account_num", ts_col, ["valid_to", "client"], "a_")
-    j = asof_join(j, clients_hist, F.col("a_client"), "client_id", ts_col, list(CLIENT_COLS + tuple(extra)), "l_")
-    return j.select(
-        *tx.columns,
-        F.col("c_account_num").alias("account_num"),
-        F.col("a_valid_to").alias("valid_to"),
-        *[F.col(f"l_{c}").alias(c) for c in CLIENT_COLS + tuple(extra)],
-        F.col("l_effective_from").alias("client_effective_from"),
-    )
-
-
 # time bounds of the gap versions (beyond any date the warehouse stores)
 _T_MIN = _dt.datetime(1, 1, 1)
 _T_MAX = _dt.datetime(9999, 12, 31)
@@ -199,7 +157,7 @@ def asof_dim_chain(tx: DataFrame, cards_hist: DataFrame, accounts_hist: DataFram
     a live version still yields the left join's NULLs), and the fact is then
     joined once, on the card and the interval holding the operation time: one
     shuffle of the fact instead of three.  Equal to
-    :func:`asof_dim_chain_sequential`, overlapping versions included.
+    one as-of join per dimension, overlapping versions included.
     """
     dims = asof_dimension_chain(cards_hist, accounts_hist, clients_hist, extra)
     ts = F.col(ts_col)

@@ -17,14 +17,6 @@ from cardwatch.functions import ts_lit
 from cardwatch.operators.joins import own_exchange
 
 
-def rule_passport(blacklist: DataFrame, load_dt: _dt.datetime) -> Column:
-    """R1 as written: ``valid_to IS NOT NULL AND passport IN (blacklist) OR
-    valid_to < load date`` (AND binds tighter: a listed passport without
-    expiry date is not flagged)."""
-    listed = F.col("passport_num").isin(blacklist.select("passport_num"))
-    return (F.col("passport_valid_to").isNotNull() & listed) | (F.col("passport_valid_to") < ts_lit(load_dt))
-
-
 def flag_blacklisted(clients: DataFrame, blacklist: DataFrame) -> DataFrame:
     """``_bl_listed``: the passport is in the blacklist (NULL and no match are
     both FALSE, as a CASE branch takes them), computed on the clients

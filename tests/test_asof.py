@@ -7,7 +7,8 @@ import random
 import pytest
 
 from cardwatch import schemas as S
-from cardwatch.operators.joins import asof_dim_chain, asof_dim_chain_sequential
+from cardwatch.operators.joins import asof_dim_chain
+from tests.reference_forms import asof_dim_chain_sequential
 
 BASE = dt.datetime(2024, 1, 1)
 

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from cardwatch import schemas as S
 from cardwatch.operators.probing import probing_anchor, probing_ids
+from tests.reference_forms import rule_passport
 from cardwatch.operators.rules import (
     classify,
     rule_contract,
-    rule_passport,
     rule_passport_corrected,
     with_blacklist_since,
 )
