@@ -47,6 +47,7 @@ from cardwatch.operators.scd2 import (
 )
 from cardwatch.operators.velocity import city_ops, velocity_anchor, velocity_ids
 from cardwatch.plans.report import Windows, classified, fraud_report, fraud_report_asof
+from cardwatch.sources.feeds import FEED_OPTIONS, load_date_column
 from cardwatch.sources.testdata import (
     BLACKLIST_WATERMARK,
     CLIENTS_WATERMARK,
@@ -95,6 +96,18 @@ def q_incremental_extract(spark, d):
     return _delta(_t(spark, d))
 
 
+def q_parse_transactions(spark, d):
+    """Feed lines (``;``, decimal comma) rendered from the operations and parsed with the feed readers' options,
+    with the load date of their file's name."""
+    stamp = F.date_format("transaction_date", "yyyy-MM-dd HH:mm:ss")
+    amount = F.regexp_replace(F.col("amount").cast("string"), r"\.", ",")
+    line = F.concat_ws(";", "transaction_id", stamp, amount, "card_num", "oper_type", "oper_result", "terminal")
+    name = F.concat(F.lit("transactions_"), F.date_format("transaction_date", "ddMMyyyy"), F.lit(".txt"))
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.STG_TRANSACTIONS.fields)
+    rows = _t(spark, d).stg_tx.select(F.from_csv(line, ddl, FEED_OPTIONS).alias("r"), load_date_column(name).alias("load_dt"))
+    return rows.select("r.*", "load_dt")
+
+
 def q_key_snapshot(spark, d):
     return key_snapshot(_t(spark, d).src_all, "client_id")
 
@@ -168,6 +181,20 @@ def q_asof_join(spark, d):
                     "client_effective_from")
 
 
+def q_asof_join_versions(spark, d):
+    """The as-of chain over cards, accounts and clients that all went through an SCD2 load: several versions
+    per key, overlaps of the literal delete, tombstones."""
+    j = asof_dim_chain(_t(spark, d).tx, q_scd2_full_cards(spark, d), q_scd2_full_accounts(spark, d),
+                       _clients_after_load(_t(spark, d)))
+    return j.select("trans_id", "trans_date", "account_num", "client_id", "passport_valid_to", "client_effective_from")
+
+
+def q_advance_watermarks_empty_feed(spark, d):
+    """Literal form: a fact feed without new rows sets its watermark to NULL."""
+    t = _t(spark, d)
+    return advance_watermarks(t.meta_seed, {}, None, load_fact_blacklist(t.bl, S.OPEN_END), t.stg_tx, literal=True)
+
+
 def q_anti_join_missing_keys(spark, d):
     t = _t(spark, d)
     return missing_keys(t.hist, _keys(t), "client_id").select("client_id", "effective_from")

@@ -325,6 +325,9 @@ FROM loaded h LEFT JOIN (SELECT DISTINCT terminal_id FROM file) k ON h.terminal_
 
 
 SQL: dict[str, str] = {
+    "parse_transactions": with_views(
+        """SELECT transaction_id, date_trunc('second', transaction_date) AS transaction_date, amount, card_num, oper_type,
+            oper_result, terminal, date_trunc('day', transaction_date)::TIMESTAMP AS load_dt FROM stg_tx""", "stg_tx"),
     "in_list_with_nulls": with_views(
         f"""SELECT client_id, first_name, first_name IN (SELECT CASE WHEN entry_dt > {BLACKLIST_WM} THEN passport_num END FROM bl)
             AS listed FROM cl""", "cl", "bl"),
@@ -398,3 +401,13 @@ SQL: dict[str, str] = {
 }
 
 SQL["terminals_full"] = _terminals_full()
+SQL["asof_join_versions"] = (
+    with_views("SELECT 1", "tx", "h3")
+    .replace("\nSELECT 1", f",\nch AS ({SQL['scd2_full_cards']}),\nah AS ({SQL['scd2_full_accounts']})\n" + """
+SELECT trans_id, trans_date, account_num, client_id, passport_valid_to, client_effective_from FROM ("""
+             + _ASOF.replace("cards_hist", "ch").replace("acc_hist", "ah") + ") x")
+)
+SQL["advance_watermarks_empty_feed"] = _with_meta(f"""SELECT CASE table_name WHEN 'fact_passport_blacklist'
+        THEN (SELECT max(entry_dt) FROM bl WHERE entry_dt > {OPEN})
+        WHEN 'fact_transactions' THEN (SELECT max(transaction_date) FROM stg_tx) ELSE last_update_dt END AS last_update_dt,
+    dbname, table_name FROM meta""")

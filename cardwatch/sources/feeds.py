@@ -53,22 +53,16 @@ def load_date_column(file_name: Column | None = None) -> Column:
     return F.when(digits != "", F.to_timestamp_ntz(digits, F.lit("ddMMyyyy")))
 
 
-def text_options(reader, schema: T.StructType, sep: str = ";", decimal_comma: bool = False):
+#: The feed dialect's options.  With a comma-decimal locale "1234,56" parses as 1234.56; under the default locale it
+#: would silently become 123456.00.
+TEXT_OPTIONS = {"sep": ";", "mode": "FAILFAST", "timestampNTZFormat": _TS_FORMAT, "dateFormat": _DATE_FORMAT}
+FEED_OPTIONS = TEXT_OPTIONS | {"locale": "de-DE"}
+
+
+def text_options(reader, schema: T.StructType, decimal_comma: bool = False):
     """The feed dialect on a batch or stream reader: explicit schema, checked header, fail fast."""
-    r = (
-        reader.schema(schema)
-        .option("header", True)
-        .option("sep", sep)
-        .option("mode", "FAILFAST")
-        .option("enforceSchema", False)
-        .option("timestampNTZFormat", _TS_FORMAT)
-        .option("dateFormat", _DATE_FORMAT)
-    )
-    if decimal_comma:
-        # with a comma-decimal locale "1234,56" parses as 1234.56; under the
-        # default locale it would silently become 123456.00
-        r = r.option("locale", "de-DE")
-    return r
+    options = FEED_OPTIONS if decimal_comma else TEXT_OPTIONS
+    return reader.schema(schema).options(header=True, enforceSchema=False, **options)
 
 
 def clean(df: DataFrame, *more: Column) -> DataFrame:
