@@ -40,7 +40,7 @@ from cardwatch.session import ship_package
 REVISIT_BYTES = 100
 ARCHIVE_BYTES = 32 << 20
 #: Captures in a range of the merged index.
-RANGE_ROWS = 200_000
+RANGE_ROWS = 25_000
 EPOCH = "2024-01-01 00:00:00"
 
 CAPTURE = "run string, row int, page_id long, url string, url_key string, captured string, record_type string, refers_to long, stored_bytes long, stored_digest string"
@@ -251,8 +251,11 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     response = index.filter("record_type = 'response' AND page_id IS NOT NULL").select(
         F.col("page_id").alias("refers_to"), F.col("stored_bytes").alias("full_bytes"), F.col("stored_digest").alias("full_digest")
     )
-    response = response.dropDuplicates(["refers_to"])
-    return index.join(response, "refers_to", "left").select(
+    # written, so that a page that many others refer to can be split
+    response = written(response.dropDuplicates(["refers_to"]), "responses")
+    alone = index.filter("refers_to IS NULL").withColumns({"full_bytes": F.lit(None).cast("long"), "full_digest": F.lit(None).cast("string")})
+    revisits = index.filter("refers_to IS NOT NULL").join(response, "refers_to", "left")
+    return revisits.unionByName(alone).select(
         "page_id",
         F.coalesce("full_bytes", "stored_bytes").alias("payload_bytes"),
         F.coalesce("full_digest", "stored_digest").alias("payload_digest"),
