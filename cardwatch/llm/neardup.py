@@ -10,9 +10,10 @@
    documents share (boilerplate) stay out of the lists unless a document has
    nothing else.
 3. *Pairs.*  Each list pairs its members with its smallest document, a long one
-   also with two chosen by hash.  The links found make components.  Lists whose
-   members then lie in several components pair the members outside the largest
-   one with all others, unless the parity bitmaps of their shingles rule the pair
+   also with two chosen by hash.  The links found make components.  Where the
+   members then lie in several components, each one outside the largest is paired
+   with one of it, another in every list; and what is left apart is paired with
+   all others, unless the parity bitmaps of their shingles rule the pair
    out; so every pair of a list is joined already, ruled out by that exact bound,
    or tested.  No list is cut.
 4. *Filter and verify.*  The bottom-k sketch of the union estimates the
@@ -177,13 +178,8 @@ def _star_pairs(lists: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _rest_pairs(lists: DataFrame, labels: DataFrame, tested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one list that lie in different components, can be similar and are not tested yet.
-
-    A shingle that one set of a pair alone has flips one bit of the other's
-    parity bitmap, so the sets differ in at least as many shingles as their
-    bitmaps differ in bits.
-    """
+def _mixed(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows of lists that hold several components, with each list's largest one and the members' bitmaps."""
     held = lists.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id")
     )
@@ -192,18 +188,43 @@ def _rest_pairs(lists: DataFrame, labels: DataFrame, tested: DataFrame, sets: Da
         F.count("*").alias("parts"), F.max_by("component", F.struct("part", "component")).alias("largest")
     ).filter("parts > 1").drop("parts")
     bits = sets.select(F.col("doc_id").alias("id"), *PARITY)
-    mixed = written(held.join(largest, "value").join(bits, "id"), "mixed")
+    return written(held.join(largest, "value").join(bits, "id"), "mixed")
+
+
+def _possible(percent: int):
+    """Sizes and bitmaps that allow the similarity, for (n, p..) and (m, xp..).
+
+    A shingle that one set of a pair alone has flips one bit of the other's
+    parity bitmap, so the sets differ in at least as many shingles as their
+    bitmaps differ in bits.
+    """
+    differ = reduce(add, (F.bit_count(F.col(p).bitwiseXOR(F.col(f"x{p}"))) for p in PARITY))
+    return _alike("n", "m", percent) & (differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent))
+
+
+def _round_pairs(mixed: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """Members outside a list's largest component with one member of it, another for every list."""
+    heads = (
+        mixed.filter("component = largest")
+        .groupBy("value")
+        .agg(F.min_by(F.struct("id", "n", *PARITY), F.xxhash64("id", "value")).alias("h"))
+        .select("value", F.col("h.id").alias("x"), F.col("h.n").alias("m"), *(F.col(f"h.{p}").alias(f"x{p}") for p in PARITY))
+    )
+    pairs = mixed.filter("component != largest").join(heads, "value").filter(_possible(percent)).withColumnRenamed("id", "y")
+    return _ordered(pairs).join(tested, ["a", "b"], "left_anti")
+
+
+def _rest_pairs(mixed: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one list that lie in different components, can be similar and are not tested yet."""
     outside = mixed.filter("component != largest").select(
         "value", F.col("id").alias("x"), F.col("n").alias("m"), F.col("component").alias("other"),
         *(F.col(p).alias(f"x{p}") for p in PARITY),
     )
-    differ = reduce(add, (F.bit_count(F.col(p).bitwiseXOR(F.col(f"x{p}"))) for p in PARITY))
     pairs = (
         mixed.join(outside, "value")
         # a pair outside the largest component is met from both ends; one is enough
-        .filter((F.col("component") != F.col("other")) & _alike("n", "m", percent))
+        .filter((F.col("component") != F.col("other")) & _possible(percent))
         .filter((F.col("component") == F.col("largest")) | (F.col("id") < F.col("x")))
-        .filter(differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent))
         .withColumnRenamed("id", "y")
     )
     return _ordered(pairs).join(tested, ["a", "b"], "left_anti")
@@ -251,10 +272,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     star = written(_star_pairs(lists, percent), "pairs")
     links = written(_verified(_estimated(star, reps, percent), sets, percent), "found")
     labels = components(links)
-    rest = written(_estimated(_rest_pairs(lists, labels, star, sets, percent), reps, percent), "likely")
-    if rest.take(1):
-        links = links.union(written(_verified(rest, sets, percent), "found"))
-        labels = components(links)
+    tested = star
+    for pairs_of in (_round_pairs, _rest_pairs):
+        pairs = written(pairs_of(_mixed(lists, labels, sets), tested, percent), "pairs")
+        tested = tested.union(pairs)
+        found = written(_verified(_estimated(pairs, reps, percent), sets, percent), "found")
+        if found.take(1):
+            links = links.union(found)
+            labels = components(links)
 
     linked = some.join(classes, "class").join(labels.withColumnRenamed("node", "id"), "id", "left")
     alone = sketches.filter("n_shingles = 0 OR doc_id IS NULL")
