@@ -29,7 +29,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs are deleted; a document that had lines and has none left goes."""
-    cleaned = line_dedup(docs).filter("n_removed = 0 OR n_removed < n_lines")
+    cleaned = line_dedup(docs, whole=True).filter("n_removed = 0 OR n_removed < n_lines")
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return cleaned.select(*docs.columns)

@@ -10,6 +10,7 @@ import zlib
 
 import pytest
 
+import corpus_pipeline
 from cardwatch.llm import bpe as bpe_module
 from cardwatch.llm import linededup, neardup, substrings, warc
 from cardwatch.llm.bpe import Automaton, default_vocabulary, encode_decode
@@ -218,6 +219,49 @@ def test_line_dedup(spark, plain, min_words):
     assert line_dedup(odd.limit(0)).count() == 0
 
 
+def brute_whole_lines(plain, min_words):
+    """Texts without the later copies of runs of any number of lines."""
+    lines = {i: [x for x in (plain[i] or "").split("\n") if SPACE_WORD.search(x)] for i in sorted(plain)}
+    runs = [(i, p, h) for i, ls in lines.items() for p in range(len(ls)) for h in range(1, len(ls) - p + 1)]
+    first, gone = {}, collections.defaultdict(set)
+    for i, p, h in runs:
+        run = tuple(lines[i][p : p + h])
+        if first.setdefault(run, (i, p)) < (i, p) and sum(len(SPACE_WORD.findall(x)) for x in run) >= min_words:
+            gone[i].update(range(p, p + h))
+    out = {}
+    for i, text in plain.items():
+        k, left = -1, []
+        for x in (text or "").split("\n"):
+            k += bool(SPACE_WORD.search(x))
+            if not (SPACE_WORD.search(x) and k in gone[i]):
+                left.append(x)
+        out[i] = (len(gone[i]), "\n".join(left))
+    return out
+
+
+@pytest.mark.parametrize("min_words", [20, 7, 5, 1])
+def test_line_dedup_of_whole_runs(spark, plain, min_words):
+    rnd = random.Random(11)
+    short = ["a b c", "d e", "f", "", "  ", "g h i j k l", "m n", "o " * 30]
+    plain = {i: t for i, t in plain.items() if i < 30}
+    for _ in range(25):
+        plain[len(plain)] = "\n".join(rnd.choice(short) for _ in range(rnd.randint(0, 30)))
+    df = spark.createDataFrame(list(plain.items()), "doc_id long, text string").repartition(3)
+    got = by_id(line_dedup(df, min_words, whole=True))
+    for i, (removed, text) in brute_whole_lines(plain, min_words).items():
+        assert (removed, sha(text)) == (got[i].n_removed, got[i].text_sha256), i
+    odd = spark.createDataFrame([(None, "x y\nx y"), (1, "a b\nc"), (1, "a b\nc")], "doc_id long, text string")
+    assert sorted(r.n_removed for r in line_dedup(odd, 2, whole=True).collect()) == [0, 0, 0]
+    assert line_dedup(odd.limit(0), whole=True).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [[9, 9, 9], [44, 3, 3], [1] * 31])
+def test_pipeline_deletes_whole_runs(spark, sizes):
+    run = "\n".join(" ".join(f"r{k}w{j}" for j in range(n)) for k, n in enumerate(sizes))
+    df = spark.createDataFrame([(1, f"one\n{run}"), (2, f"two\n{run}\nend")], "doc_id long, text string")
+    assert by_id(corpus_pipeline.lines(spark, df, ""))[2].text == "two\nend"
+
+
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer
