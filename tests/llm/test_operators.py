@@ -223,10 +223,14 @@ def brute_whole_lines(plain, min_words):
     """Texts without the later copies of runs of any number of lines."""
     lines = {i: [x for x in (plain[i] or "").split("\n") if SPACE_WORD.search(x)] for i in sorted(plain)}
     runs = [(i, p, h) for i, ls in lines.items() for p in range(len(ls)) for h in range(1, len(ls) - p + 1)]
-    first, gone = {}, collections.defaultdict(set)
+    first, gone, held = {}, collections.defaultdict(set), collections.defaultdict(set)
+    for i, p, h in runs:
+        held[tuple(lines[i][p : p + h])].add(i)
     for i, p, h in runs:
         run = tuple(lines[i][p : p + h])
-        if first.setdefault(run, (i, p)) < (i, p) and sum(len(SPACE_WORD.findall(x)) for x in run) >= min_words:
+        words = sum(len(SPACE_WORD.findall(x)) for x in run)
+        shared = words >= linededup.SHARED_WORDS and len(held[run]) >= linededup.SHARED_DOCS
+        if first.setdefault(run, (i, p)) < (i, p) and (words >= min_words or shared):
             gone[i].update(range(p, p + h))
     out = {}
     for i, text in plain.items():
@@ -262,6 +266,17 @@ def test_pipeline_deletes_whole_runs(spark, sizes):
     assert by_id(corpus_pipeline.lines(spark, df, ""))[2].text == "two\nend"
 
 
+def test_pipeline_deletes_short_lines_that_many_documents_share(spark):
+    n = linededup.SHARED_DOCS
+    texts = {i: f"own {i}\nread more on our own page\n\nthree words, then\ntwo more" for i in range(n)}
+    texts |= {n + i: f"other {i}\nstands in too few documents\nLes." for i in range(n - 1)}
+    texts[100] = "\n".join(f"stands often in one document\nline {i}" for i in range(n))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = by_id(corpus_pipeline.lines(spark, df, ""))
+    assert got[0].text == texts[0] and {got[i].text for i in range(1, n)} == {f"own {i}\n" for i in range(1, n)}
+    assert all(got[i].text == texts[i] for i in texts if i >= n)
+
+
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer
