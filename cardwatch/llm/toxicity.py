@@ -98,6 +98,8 @@ def sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
     """(doc_id, text, toxic): at most ``size`` labelled documents of either class that are not held out."""
     seen = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     seen = seen.filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+    # labels without a document must not use up the bound
+    seen = seen.join(docs.select("doc_id"), "doc_id", "left_semi")
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = seen.filter("toxic = 1").orderBy(*order).limit(size).union(seen.filter("toxic = 0").orderBy(*order).limit(size))
     # at most 2 * size rows

@@ -22,6 +22,7 @@ from cardwatch.llm.neardup import near_duplicates
 from cardwatch.llm.repetition import quality_rules
 from cardwatch.llm.substrings import remove_repeats
 from cardwatch.llm.tokencounts import token_counts
+from cardwatch.llm.toxicity import sample
 from cardwatch.llm.warc import LoserTree, archive_round_trip
 
 SPACE_WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -509,6 +510,13 @@ def test_toxicity(spark):
     assert toxicity_scores(docs.limit(0), lab).count() == 0
 
 
+def test_labels_without_a_document_use_up_no_sample(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3000)], "doc_id long, toxic int")
+    rows = sample(docs, labels, 5).collect()
+    assert sorted(r.toxic for r in rows) == [0] * 5 + [1] * 5
+
+
 def test_counterfactual_swaps_calm_group_mentions(spark):
     """A group named mostly in toxic texts does not make a neutral mention toxic once swaps are penalised."""
     from cardwatch.llm.toxicity import swaps, toxicity_scores
