@@ -72,4 +72,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_bpe_codec, op3_near_duplicates, op4_toxicity, op5_warc_merge, op6_line_dedup, op7_license_scan, op8_token_counts, op9_quality_rules, op10_substring_dedup)}
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.exactdup import exact_duplicates
+
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.filteraudit import filter_audit
+
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cardwatch.llm.fim import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_bpe_codec, op3_near_duplicates, op4_toxicity, op5_warc_merge, op6_line_dedup, op7_license_scan, op8_token_counts, op9_quality_rules, op10_substring_dedup, op11_exact_dedup, op12_filter_audit, op13_fill_in_middle)}

@@ -109,9 +109,64 @@ SELECT d.doc_id, COALESCE(n, 0)::BIGINT AS n_shingles, least(d.doc_id, COALESCE(
 FROM docs d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of ON d.doc_id = x"""
 
 
+_EXACT = """
+WITH d AS (SELECT doc_id, sha256(regexp_replace(COALESCE(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+    row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)"""
+
+_AUDIT = f"""
+WITH RECURSIVE d AS (SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS t,
+    regexp_extract_all(COALESCE(text, ''), {_WORD}) AS ws FROM documents),
+judged AS (SELECT part, len(ws) < 200 AS a, 100 * len(list_distinct(ws)) < 50 * len(ws) AS b,
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+    COALESCE(doc_id > min(doc_id) OVER (PARTITION BY sha256(t)), false) AS e,
+    EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1) AS good,
+    EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 1) AS toxic FROM d),
+cells AS (SELECT part, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END, CASE WHEN c THEN 'C' ELSE '' END,
+    CASE WHEN d THEN 'D' ELSE '' END, CASE WHEN e THEN 'E' ELSE '' END) AS fails, count(*) AS n,
+    count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM judged GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (SELECT '' AS o UNION ALL SELECT o || f FROM orders, letters WHERE NOT contains(o, f)),
+steps AS (SELECT o AS filter_order, s::INT AS step, o[s:s] AS f, o[1:s - 1] AS earlier FROM orders, range(1, 6) r(s) WHERE length(o) = 5),
+counted AS (SELECT part, filter_order, step, f,
+    sum(n) FILTER (WHERE NOT contains(fails, f) AND translate(fails, earlier, '') = fails) AS kept,
+    sum(n) FILTER (WHERE contains(fails, f) AND translate(fails, earlier, '') = fails) AS removed,
+    sum(n) FILTER (WHERE contains(fails, f) AND translate(fails, earlier, '') <> fails) AS redundant,
+    sum(n) FILTER (WHERE fails = f) AS unique_fails,
+    sum(good) FILTER (WHERE contains(fails, f) AND translate(fails, earlier, '') = fails) AS good_lost,
+    sum(toxic) FILTER (WHERE contains(fails, f) AND translate(fails, earlier, '') = fails) AS toxic_lost
+    FROM cells, steps GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, COALESCE(kept, 0)::BIGINT AS kept, COALESCE(removed, 0)::BIGINT AS removed,
+    COALESCE(redundant, 0)::BIGINT AS redundant, COALESCE(unique_fails, 0)::BIGINT AS unique_fails,
+    COALESCE(good_lost, 0)::BIGINT AS good_lost, COALESCE(toxic_lost, 0)::BIGINT AS toxic_lost,
+    (sum(COALESCE(removed, 0)) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM counted"""
+
+
+def _middle() -> str:
+    number = lambda k: (
+        f"list_sum(list_transform(range(1, 9), lambda i: (instr('0123456789abcdef', h[{8 * k} + i:{8 * k} + i]) - 1) * (16 ** (8 - i))::BIGINT))::BIGINT")
+    return f"""
+WITH d AS (SELECT doc_id, COALESCE(text, '') AS t, sha256('1:' || COALESCE(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (SELECT doc_id, t, length(t)::BIGINT AS n, {number(0)} % (length(t) + 1) AS x, {number(1)} % (length(t) + 1) AS y,
+    {number(2)} % 100 AS p, {number(3)} % 100 AS q FROM d),
+cut AS (SELECT doc_id, t, n, least(x, y) AS lo, greatest(x, y) AS hi,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR p >= 90 THEN 'plain'
+        WHEN q < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, substr(t, 1, lo) AS a, substr(t, lo + 1, hi - lo) AS m, substr(t, hi + 1) AS z FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lo END::BIGINT AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN hi - lo END::BIGINT AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m
+        ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM parts"""
+
+
 SQL: dict[str, str] = {
     "op3_near_duplicates": _NEAR,
     "op6_line_dedup": _lines(),
     "op9_quality_rules": _quality(),
     "op10_substring_dedup": _REPEATED_WINDOWS,
+    "op11_exact_dedup": _EXACT,
+    "op12_filter_audit": _AUDIT,
+    "op13_fill_in_middle": _middle(),
 }

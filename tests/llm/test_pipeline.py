@@ -34,5 +34,5 @@ def test_whole_run_equals_its_stages(spark, sf_small):
 def test_registered(spark):
     names = entry.queries()
     assert "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert set(entry.oracle_sql()) <= set(names)
