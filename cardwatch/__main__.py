@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 from cardwatch.plans.daily import Sources, report_of, run_daily
 from cardwatch.plans.report import with_labels
 from cardwatch.session import tune
-from cardwatch.sources.feeds import next_day
+from cardwatch.sources.feeds import FORMATS, next_day
 from cardwatch.sources.store import Store
 from cardwatch.sources.tables import source_parquet, source_table
 
@@ -41,8 +41,8 @@ def main(argv: list[str] | None = None) -> int:
     ld.add_argument("--cards", required=True)
     ld.add_argument("--clients", required=True)
     ld.add_argument("--semantics", choices=["corrected", "literal"], default="corrected")
-    ld.add_argument("--terminals-format", choices=["csv", "parquet"], default="csv")
-    ld.add_argument("--blacklist-format", choices=["csv", "parquet"], default="csv")
+    ld.add_argument("--terminals-format", choices=FORMATS, default="auto")
+    ld.add_argument("--blacklist-format", choices=FORMATS, default="auto")
     rp = sub.add_parser("report", help="print the report of one load date")
     rp.add_argument("--warehouse", required=True)
     rp.add_argument("--date", required=True, help="YYYY-MM-DD")

@@ -47,7 +47,7 @@ from cardwatch.operators.scd2 import (
 )
 from cardwatch.operators.velocity import city_ops, velocity_anchor, velocity_ids
 from cardwatch.plans.report import Windows, classified, fraud_report, fraud_report_asof
-from cardwatch.sources.feeds import FEED_OPTIONS, load_date_column
+from cardwatch.sources.feeds import BLACKLIST_FILE, FEED_OPTIONS, clean, load_date_column
 from cardwatch.sources.testdata import (
     BLACKLIST_WATERMARK,
     CLIENTS_WATERMARK,
@@ -55,6 +55,7 @@ from cardwatch.sources.testdata import (
     PROBE_WINDOW_TESTDATA,
     DriverTables,
 )
+from cardwatch.sources.workbook import to_workbooks, workbook_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 WINDOWS = Windows(probe=PROBE_WINDOW_TESTDATA)
@@ -108,6 +109,19 @@ def q_parse_transactions(spark, d):
     return rows.select("r.*", "load_dt")
 
 
+def q_parse_terminals(spark, d):
+    """Terminal workbooks made of the terminal file's rows, read back (S3)."""
+    files = to_workbooks(_t(spark, d).term_file.select(*S.STG_TERMINALS.fieldNames()))
+    return clean(workbook_rows(files, S.STG_TERMINALS))
+
+
+def q_parse_blacklist(spark, d):
+    """Blacklist workbooks made of the list's rows, dates as serials, read back."""
+    rows = _t(spark, d).bl.select(F.col("entry_dt").cast("timestamp_ntz").alias("date"), F.col("passport_num").alias("passport"))
+    listed = clean(workbook_rows(to_workbooks(rows), BLACKLIST_FILE))
+    return listed.select(F.col("date").alias("entry_dt"), F.col("passport").alias("passport_num"))
+
+
 def q_key_snapshot(spark, d):
     return key_snapshot(_t(spark, d).src_all, "client_id")
 

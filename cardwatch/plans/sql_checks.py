@@ -328,6 +328,8 @@ SQL: dict[str, str] = {
     "parse_transactions": with_views(
         """SELECT transaction_id, date_trunc('second', transaction_date) AS transaction_date, amount, card_num, oper_type,
             oper_result, terminal, date_trunc('day', transaction_date)::TIMESTAMP AS load_dt FROM stg_tx""", "stg_tx"),
+    "parse_terminals": with_views("SELECT terminal_id, terminal_type, terminal_city, terminal_address FROM term_file", "term_file"),
+    "parse_blacklist": with_views("SELECT entry_dt, passport_num FROM bl", "bl"),
     "in_list_with_nulls": with_views(
         f"""SELECT client_id, first_name, first_name IN (SELECT CASE WHEN entry_dt > {BLACKLIST_WM} THEN passport_num END FROM bl)
             AS listed FROM cl""", "cl", "bl"),

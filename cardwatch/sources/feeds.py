@@ -1,8 +1,8 @@
 """Daily flat-file feeds.
 
 * transactions: ``;``-separated text with a header and a decimal *comma*;
-* terminals: full snapshot of the terminal list, one file per day;
-* passport blacklist: cumulative list of (date, passport).
+* terminals: full snapshot of the terminal list, one workbook (or text or parquet file) per day;
+* passport blacklist: cumulative list of (date, passport), in the same formats.
 
 Files carry their date as ``..._DDMMYYYY.<ext>``.  Readers take explicit
 schemas, fail fast on a malformed row, and check the header against the
@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 
 from cardwatch import schemas as S
 from cardwatch.functions import empty_as_null, ts_lit
+from cardwatch.sources.workbook import read_workbook
 
 # Feed name patterns and the date format inside file names.
 TRANSACTIONS_GLOB = "tra*"
@@ -78,28 +80,48 @@ def read_transactions(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return clean(text_options(spark.read, S.STG_TRANSACTIONS, decimal_comma=True).csv(path))
 
 
-def read_terminals(spark: SparkSession, path: str | list[str], fmt: str = "csv") -> DataFrame:
-    """stg_terminals rows (S3).  Workbooks are not decoded; deliver CSV or parquet."""
-    if fmt == "parquet":
-        df = spark.read.schema(S.STG_TERMINALS).parquet(*([path] if isinstance(path, str) else path))
-    else:
-        df = text_options(spark.read, S.STG_TERMINALS).csv(path)
-    return clean(df)
+FORMATS = ("auto", "csv", "parquet", "xlsx")
 
 
-_BLACKLIST_FILE = T.StructType([
+def _format_of(path: str) -> str:
+    ext = path.rpartition(".")[2].lower()
+    return ext if ext in ("parquet", "xlsx") else "csv"
+
+
+def _read(spark: SparkSession, path: str | list[str], schema: T.StructType, fmt: str) -> DataFrame:
+    """Files of one feed, each in the format given, or (``auto``) in that of its extension."""
+    if fmt not in FORMATS:
+        raise ValueError(f"feed format must be one of {FORMATS}")
+    by_format: dict[str, list[str]] = {}
+    for p in [path] if isinstance(path, str) else path:
+        by_format.setdefault(_format_of(p) if fmt == "auto" else fmt, []).append(p)
+    parts = []
+    for kind, paths in sorted(by_format.items()):
+        if kind == "xlsx":
+            parts.append(read_workbook(spark, paths, schema))
+        elif kind == "parquet":
+            parts.append(spark.read.schema(schema).parquet(*paths))
+        else:
+            parts.append(text_options(spark.read, schema).csv(paths))
+    return clean(reduce(DataFrame.unionByName, parts))
+
+
+def read_terminals(spark: SparkSession, path: str | list[str], fmt: str = "auto") -> DataFrame:
+    """stg_terminals rows (S3) of workbooks, ``;`` text or parquet."""
+    return _read(spark, path, S.STG_TERMINALS, fmt)
+
+
+#: Columns of the blacklist's files.
+BLACKLIST_FILE = T.StructType([
     T.StructField("date", T.TimestampNTZType(), True),
     T.StructField("passport", T.StringType(), True),
 ])
 
 
-def read_blacklist(spark: SparkSession, path: str | list[str], fmt: str = "csv") -> DataFrame:
-    """(entry_dt, passport_num) from the blacklist file's (date, passport)."""
-    if fmt == "parquet":
-        df = spark.read.schema(_BLACKLIST_FILE).parquet(*([path] if isinstance(path, str) else path))
-    else:
-        df = text_options(spark.read, _BLACKLIST_FILE).csv(path)
-    return clean(df).select(F.col("date").alias("entry_dt"), F.col("passport").alias("passport_num"))
+def read_blacklist(spark: SparkSession, path: str | list[str], fmt: str = "auto") -> DataFrame:
+    """(entry_dt, passport_num) from the blacklist file's (date, passport) (S2): a workbook, ``;`` text or parquet."""
+    df = _read(spark, path, BLACKLIST_FILE, fmt)
+    return df.select(F.col("date").alias("entry_dt"), F.col("passport").alias("passport_num"))
 
 
 # --- discovery and the consumption ledger --------------------------------------------
@@ -157,8 +179,8 @@ def check_complete(by_feed: dict, load_dt: _dt.datetime, newest: _dt.datetime |
         raise ValueError(f"feeds {missing} missing for {load_dt:%Y-%m-%d}")
 
 
-def next_day(spark: SparkSession, directory: str, ledger: DataFrame, terminals_fmt: str = "csv",
-             blacklist_fmt: str = "csv") -> DayFeeds | None:
+def next_day(spark: SparkSession, directory: str, ledger: DataFrame, terminals_fmt: str = "auto",
+             blacklist_fmt: str = "auto") -> DayFeeds | None:
     """The earliest day with unconsumed files, and all of its unconsumed files.
 
     The source takes an arbitrary first match per feed and the date from the

@@ -63,8 +63,8 @@ def transactions_stream(spark: SparkSession, directory: str, clean_source: str |
 
 
 def daily_batches(store: Store, directory: str, sources: Callable[[_dt.datetime], Sources],
-                  semantics: str = "corrected", windows: Windows = Windows(), terminals_fmt: str = "csv",
-                  blacklist_fmt: str = "csv") -> Callable[[DataFrame, int], None]:
+                  semantics: str = "corrected", windows: Windows = Windows(), terminals_fmt: str = "auto",
+                  blacklist_fmt: str = "auto") -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: one daily load per file date in the batch.
 
     ``sources(load_dt)`` returns the source tables as of that load.  Only the
