@@ -178,9 +178,10 @@ def own_exchange(keys: DataFrame) -> DataFrame:
 
     A join on the key an aggregate is partitioned by reuses the aggregate's
     exchange, and AQE then leaves a hot key of the other side in one task.
-    Dealing the (small) key set out again gives the join an exchange of its own.
+    Dealing the key set out again, in as many partitions as AQE finds its size
+    to need, gives the join an exchange of its own.
     """
-    return keys.repartition(max(1, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return keys.hint("rebalance")
 
 
 def in_list_flag(df: DataFrame, value_col: str, values: DataFrame, alias: str = "in_list") -> DataFrame:
@@ -190,10 +191,10 @@ def in_list_flag(df: DataFrame, value_col: str, values: DataFrame, alias: str =
     for a NULL value, and for an unlisted one when the list holds a NULL;
     else FALSE.  (Spark projects an IN-subquery as a two-valued existence
     test.)  A left join to the distinct list never fans out, and AQE may split
-    a hot value; the two facts about the list are one-row aggregates."""
+    a hot value; the two facts about the list are one one-row aggregate."""
     listed = values.select(F.col(values.columns[0]).alias("_listed"))
-    rows = listed.agg(F.count(F.lit(1)).alias("n")).scalar()
-    nulls = listed.agg(F.count(F.when(F.col("_listed").isNull(), 1)).alias("n")).scalar()
+    of_list = listed.agg(F.struct(F.count("*").alias("rows"), F.count(F.when(F.col("_listed").isNull(), 1)).alias("nulls")).alias("f")).scalar()
+    rows, nulls = of_list["rows"], of_list["nulls"]
     keys = own_exchange(listed.filter(F.col("_listed").isNotNull()).distinct())
     flag = (
         F.when(F.col("_listed").isNotNull(), F.lit(True))
