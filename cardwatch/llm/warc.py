@@ -3,12 +3,15 @@
 *Write.*  Every page becomes a record.  Of records with equal payloads of at
 least ``REVISIT_BYTES`` bytes the one with the smallest page_id is a response and
 the others are revisits of it; smaller ones are all responses.  Pages are dealt
-to archives of about ``ARCHIVE_BYTES`` of payload, sorted by URL key and time, and
-written by Spark's text sink as gzip files, each a locally sorted capture run.
+to archives of about ``ARCHIVE_BYTES`` of payload (larger ones beyond ``ARCHIVES``
+archives, up to ``MOST_BYTES``), sorted by URL key and time, and written by Spark's
+text sink as gzip files, each a locally sorted capture run.
 
-*Read.*  Archives are read as binary files and parsed by Content-Length; the
-payload digests are taken from the bytes read.  A revisit's length and digest
-are those of the response it refers to.
+*Read.*  Archives are read as binary files and parsed as streams by
+Content-Length, one record in memory; the payload digests are taken from the
+bytes read.  A revisit names the page it refers to and the digest of its payload;
+its length and digest are those of the response with that page and digest, so
+pages that share a page_id and differ in their html stay apart.
 
 *Merge.*  The captures are dealt to ranges of (URL key, time, page_id); in each
 range a loser tree merges the runs' sorted slices, so (index_part, index_row) is
@@ -28,6 +31,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 from collections.abc import Iterable, Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 
@@ -38,12 +42,12 @@ from cardwatch.llm.spark_io import scratch, written
 from cardwatch.session import ship_package
 
 REVISIT_BYTES = 100
-ARCHIVE_BYTES = 32 << 20
+ARCHIVE_BYTES, MOST_BYTES, ARCHIVES = 32 << 20, 512 << 20, 10_000
 #: Captures in a range of the merged index.
 RANGE_ROWS = 25_000
 EPOCH = "2024-01-01 00:00:00"
 
-CAPTURE = "run string, row int, page_id long, url string, url_key string, captured string, record_type string, refers_to long, stored_bytes long, stored_digest string"
+CAPTURE = "run string, row int, page_id long, url string, url_key string, captured string, record_type string, refers_to long, stored_bytes long, stored_digest string, named_digest string"
 INDEXED = CAPTURE + ", index_part int, index_row int"
 
 
@@ -105,7 +109,7 @@ def _text_of_record():
 def write_archives(pages: DataFrame, path: str) -> int:
     """Write the archives; returns how many runs were asked for."""
     size = pages.agg(F.sum(F.octet_length("html").cast("long") + 512)).first()[0] or 0
-    runs = max(1, -(-size // ARCHIVE_BYTES))
+    runs = max(1, -(-size // min(max(ARCHIVE_BYTES, size // ARCHIVES), max(ARCHIVE_BYTES, MOST_BYTES))))
     (
         records(pages)
         .repartition(runs, "page_id", "url")
@@ -118,21 +122,19 @@ def write_archives(pages: DataFrame, path: str) -> int:
     return runs
 
 
-def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, payload) of the records of an uncompressed archive."""
-    at = 0
-    while at < len(archive):
-        end = archive.index(b"\r\n\r\n", at)
-        version, *lines = archive[at:end].decode().split("\r\n")
-        if not version.startswith("WARC/"):
+def parse(archive: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, payload) of the records of an uncompressed archive, read as a stream."""
+    while version := archive.readline():
+        if not version.startswith(b"WARC/"):
             raise ValueError("not the start of a record")
-        headers = dict(x.split(": ", 1) for x in lines)
-        body = end + 4
-        stop = body + int(headers["Content-Length"])
-        if archive[stop : stop + 4] != b"\r\n\r\n":
+        headers = {}
+        while (line := archive.readline().decode().rstrip("\r\n")):
+            name, _, value = line.partition(": ")
+            headers[name] = value
+        payload = archive.read(int(headers["Content-Length"]))
+        if archive.read(4) != b"\r\n\r\n":
             raise ValueError("a record must end with two line ends")
-        yield headers, archive[body:stop]
-        at = stop + 4
+        yield headers, payload
 
 
 def _page(name: str | None) -> int | None:
@@ -144,18 +146,21 @@ def _captures(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for path, content in zip(b.column("path").to_pylist(), b.column("content"), strict=True):
             rows = []
-            for k, (h, payload) in enumerate(parse(gzip.decompress(content.as_py()))):
+            for k, (h, payload) in enumerate(parse(gzip.open(pa.BufferReader(content.as_buffer())))):
                 refers = _page(h.get("WARC-Refers-To"))
                 rows.append((
                     path, k, _page(h["WARC-Record-ID"]), h["WARC-Target-URI"], h["X-Url-Key"], h["WARC-Date"], h["WARC-Type"],
-                    refers, len(payload), hashlib.sha256(payload).hexdigest(),
+                    refers, len(payload), hashlib.sha256(payload).hexdigest(), h["WARC-Payload-Digest"].removeprefix("sha256:"),
                 ))
+                if len(rows) == 10_000:
+                    yield _batch(rows, _CAPTURE)
+                    rows = []
             yield _batch(rows, _CAPTURE)
 
 
 _CAPTURE = pa.schema([
     ("run", pa.string()), ("row", pa.int32()), ("page_id", pa.int64()), ("url", pa.string()), ("url_key", pa.string()), ("captured", pa.string()),
-    ("record_type", pa.string()), ("refers_to", pa.int64()), ("stored_bytes", pa.int64()), ("stored_digest", pa.string()),
+    ("record_type", pa.string()), ("refers_to", pa.int64()), ("stored_bytes", pa.int64()), ("stored_digest", pa.string()), ("named_digest", pa.string()),
 ])
 _INDEXED = _CAPTURE.append(pa.field("index_part", pa.int32())).append(pa.field("index_row", pa.int32()))
 
@@ -249,12 +254,12 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     write_archives(pages, path)
     index = written(merged_index(read_archives(spark, path)), "index")
     response = index.filter("record_type = 'response' AND page_id IS NOT NULL").select(
-        F.col("page_id").alias("refers_to"), F.col("stored_bytes").alias("full_bytes"), F.col("stored_digest").alias("full_digest")
+        F.col("page_id").alias("refers_to"), F.col("stored_digest").alias("named_digest"), F.col("stored_bytes").alias("full_bytes")
     )
     # written, so that a page that many others refer to can be split
-    response = written(response.dropDuplicates(["refers_to"]), "responses")
+    response = written(response.dropDuplicates(["refers_to", "named_digest"]), "responses").withColumn("full_digest", F.col("named_digest"))
     alone = index.filter("refers_to IS NULL").withColumns({"full_bytes": F.lit(None).cast("long"), "full_digest": F.lit(None).cast("string")})
-    revisits = index.filter("refers_to IS NOT NULL").join(response, "refers_to", "left")
+    revisits = index.filter("refers_to IS NOT NULL").join(response, ["refers_to", "named_digest"], "left")
     return revisits.unionByName(alone).select(
         "page_id",
         F.coalesce("full_bytes", "stored_bytes").alias("payload_bytes"),

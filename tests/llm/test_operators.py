@@ -452,6 +452,8 @@ def test_warc_round_trip(spark, monkeypatch):
     bodies = ["x" * 120, "é\r\n\r\nWARC/1.1\r\n\r\n" * 10, "short", "", None, "y" * 99, "y" * 100]
     rows = [(i, f"http://WWW.h{rnd.randrange(3)}.org/P{rnd.randrange(3)}?q#f", rnd.choice(bodies), "z") for i in range(40)]
     rows += [(None, "q\r\nw", "x" * 120, "z"), rows[3], (50, None, "x" * 120, "z")]
+    # one page_id with several payloads, and revisits of each of them
+    rows += [(5, "u", "a" * 200, "z"), (5, "u", "b" * 300, "z"), (57, "v", "a" * 200, "z"), (58, "v", "b" * 300, "z"), (59, "v", "b" * 300, "z"), (57, "v", "c" * 100, "z")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, digest string")
     got = archive_round_trip(df).collect()
     assert len(got) == len(rows)
