@@ -9,21 +9,21 @@ their first 2h lines.  Suffixes of equal rank are an interval of the suffix
 array whose longest common prefix has 2h lines or more.  A run that occurs once
 drops out, so the table shrinks to the repeats.
 
-A repeated run of h = 1, 2, 4, .. lines with ``min_words`` words or more is kept
-where it stands first (smallest doc_id, then line) and is deleted everywhere
-else; adjoining and overlapping runs add up to the maximal repeated run.  Runs
-of ``min_words`` lines or more always have that many words and are covered by
-shorter runs, so doubling stops there.
-
-With ``whole`` the floor holds for the maximal repeated run, of any number of
-lines.  Each line of such a run lies in a window of the run that has
+A maximal repeated run of ``min_words`` words or more, of any number of lines, is
+kept where it stands first (smallest doc_id, then line) and is deleted everywhere
+else.  Each line of such a run lies in a window of the run that has
 ``min_words`` words and loses them without its first or without its last line,
 so it is enough to judge those windows: at most two a line, of at most
-``min_words`` lines.  A window of h to 2h lines is the pair of ranks of its
-first and its last h lines.  Shorter runs are judged by their documents too:
-windows of ``SHARED_WORDS`` words that stand in ``SHARED_DOCS`` documents or
-more are boilerplate, and later copies go; below both floors repeats may be
-chance and stay.
+``min_words`` lines, so doubling stops there.  A window of h to 2h lines is the
+pair of ranks of its first and its last h lines.  Shorter runs are judged by
+their documents too: windows of ``SHARED_WORDS`` words that stand in
+``SHARED_DOCS`` documents or more are boilerplate, and later copies go; below
+both floors repeats may be chance and stay.
+
+A line, run or window may hold a third of all rows.  The tables of runs carry
+their number of places; those with more than one ``HOT_SHARE``-th of all (at
+most ``HOT_SHARE`` of them) are copied ``SALTS`` times, and their places are dealt
+over the copies by doc_id.
 
 Lines without a word are neither compared nor deleted.  Lines are equal when
 their bytes are.  A null text stays null, an empty one empty; rows without a
@@ -47,8 +47,9 @@ from cardwatch.llm.spark_io import text_columns, written
 
 MIN_WORDS = 20
 SHARED_WORDS, SHARED_DOCS = 5, 20
+HOT_SHARE, SALTS = 2000, 64
 ADDED = {"n_lines": "long", "n_removed": "long", "n_runs": "long", "text_sha256": "string"}
-LINE_SCHEMA = "doc_id long, line int, hash long, bytes int, words int"
+LINE_SCHEMA = "doc_id long, line int, hash long, bytes int, windows array<struct<lines: int, long: boolean>>"
 
 
 def worded_lines(c: S.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,60 +90,50 @@ def windows_of(words: np.ndarray, text: np.ndarray, min_words: int) -> pa.ListAr
     return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(size.astype(np.int32)), pa.array(long)], names=["lines", "long"]))
 
 
-def _lines(batches: Iterable[pa.RecordBatch], min_words: int | None = None) -> Iterator[pa.RecordBatch]:
+def _lines(batches: Iterable[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     for c in S.chunks(batches):
         start, end, words, text = worded_lines(c)
-        more = {} if min_words is None else {"windows": windows_of(words, text, min_words)}
         yield pa.RecordBatch.from_arrays(
             [
                 c.ids.take(pa.array(text)),
                 pa.array(_number(text, len(c)).astype(np.int32)),
                 pa.array(S.hash_runs(c.buf, start, end).astype(np.int64)),
                 pa.array((end - start).astype(np.int32)),
-                pa.array(words.astype(np.int32)),
-                *more.values(),
+                windows_of(words, text, min_words),
             ],
-            names=["doc_id", "line", "hash", "bytes", "words", *more],
+            names=["doc_id", "line", "hash", "bytes", "windows"],
         )
 
 
-def _ranked(runs: DataFrame, keys: list[str], *more: str) -> DataFrame:
-    """(doc_id, line, rank, words, later, more) of the runs that occur more than once; rank follows the order of the keys."""
+def _salted_join(places: DataFrame, runs: DataFrame, keys: list[str]) -> DataFrame:
+    """Places joined to their runs (written, one row a key, with ``n`` places); places of a hot run spread over its copies."""
+    total = runs.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") * HOT_SHARE > total
+    hot = runs.filter(is_hot).select(*keys, F.lit(True).alias("__hot"))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+    places = places.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt).drop("__hot")
+    copies = F.when(is_hot, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    return places.join(runs.withColumn("__salt", F.explode(copies)).drop("n"), [*keys, "__salt"]).drop("__salt")
+
+
+def _ranked(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """(doc_id, line, rank, windows) of the runs that occur more than once; rank follows the order of the keys."""
     place = F.struct("doc_id", "line")
-    repeats = runs.groupBy(*keys).agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last")
+    repeats = runs.groupBy(*keys).agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n")).filter("first != last")
     ranks = written(
-        repeats.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*keys, "first", F.monotonically_increasing_id().alias("rank")),
+        repeats.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*keys, "n", F.monotonically_increasing_id().alias("rank")),
         "ranks",
     )
-    return written(
-        runs.join(ranks, keys).select("doc_id", "line", "rank", "words", (F.col("first") < place).alias("later"), *more), "suffixes"
-    )
+    return written(_salted_join(runs, ranks, keys).select("doc_id", "line", "rank", "windows"), "suffixes")
 
 
-def _doubled(suffixes: DataFrame, length: int, *more: str) -> DataFrame:
+def _doubled(suffixes: DataFrame, length: int) -> DataFrame:
     """The ranked runs of 2 * length lines, from those of length lines."""
     next_run = Window.partitionBy("doc_id").orderBy("line").rangeBetween(length, length)
     pairs = suffixes.select(
-        "doc_id", "line", F.col("rank").alias("rank1"), F.max("rank").over(next_run).alias("rank2"),
-        (F.col("words") + F.max("words").over(next_run)).alias("words"), *more,
+        "doc_id", "line", F.col("rank").alias("rank1"), F.max("rank").over(next_run).alias("rank2"), "windows"
     ).filter("rank2 IS NOT NULL")
-    return _ranked(pairs, ["rank1", "rank2"], *more)
-
-
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, line, lines): runs of lines that stand earlier too, with min_words words or more."""
-    lines = text_columns(docs).filter("doc_id IS NOT NULL").mapInArrow(_lines, LINE_SCHEMA)
-    suffixes, length = _ranked(lines, ["hash", "bytes"]), 1
-    found = []
-    while True:
-        found.append(suffixes.filter(F.col("later") & (F.col("words") >= min_words)).select("doc_id", "line", F.lit(length).alias("lines")))
-        if length >= min_words or not suffixes.take(1):
-            break
-        suffixes, length = _doubled(suffixes, length), 2 * length
-    out = found[0]
-    for f in found[1:]:
-        out = out.union(f)
-    return out
+    return _ranked(pairs, ["rank1", "rank2"])
 
 
 def _window_ranks(suffixes: DataFrame, length: int) -> DataFrame:
@@ -158,23 +149,24 @@ def _window_ranks(suffixes: DataFrame, length: int) -> DataFrame:
     )
 
 
-def whole_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, line, lines): windows that cover every maximal run that stands earlier too and has min_words words or more, or SHARED_WORDS in SHARED_DOCS documents."""
-    lines = text_columns(docs).filter("doc_id IS NOT NULL").mapInArrow(
-        lambda batches: _lines(batches, min_words), f"{LINE_SCHEMA}, windows array<struct<lines: int, long: boolean>>"
-    )
-    suffixes, length = _ranked(lines, ["hash", "bytes"], "windows"), 1
+    lines = text_columns(docs).filter("doc_id IS NOT NULL").mapInArrow(lambda batches: _lines(batches, min_words), LINE_SCHEMA)
+    suffixes, length = _ranked(lines, ["hash", "bytes"]), 1
     found = _window_ranks(suffixes, length)
     while 2 * length <= min_words and suffixes.take(1):
-        suffixes, length = _doubled(suffixes, length, "windows"), 2 * length
+        suffixes, length = _doubled(suffixes, length), 2 * length
         found = found.union(_window_ranks(suffixes, length))
     found = written(found, "windows")
     keys, place = ["lines", "rank1", "rank2"], F.struct("doc_id", "line")
-    by_doc = found.groupBy(*keys, "doc_id").agg(F.min("line").alias("line"), F.max("line").alias("end"), F.max("long").alias("long"))
+    by_doc = found.groupBy(*keys, "doc_id").agg(
+        F.min("line").alias("line"), F.max("line").alias("end"), F.max("long").alias("long"), F.count("*").alias("n")
+    )
     firsts = by_doc.groupBy(*keys).agg(
-        F.min(place).alias("first"), F.max(F.struct("doc_id", "end")).alias("last"), F.max("long").alias("long"), F.count("*").alias("n_docs")
+        F.min(place).alias("first"), F.max(F.struct("doc_id", "end")).alias("last"), F.max("long").alias("long"), F.count("*").alias("n_docs"), F.sum("n").alias("n")
     ).filter((F.col("n_docs") >= SHARED_DOCS) | (F.col("long") & (F.col("first") != F.col("last"))))
-    return found.drop("long").join(firsts.select(*keys, "first"), keys).filter(F.col("first") < place).select("doc_id", "line", "lines")
+    firsts = written(firsts.select(*keys, "first", "n"), "firsts")
+    return _salted_join(found.drop("long"), firsts, keys).filter(F.col("first") < place).select("doc_id", "line", "lines")
 
 
 def _without(text: bytes, runs: list) -> tuple[int, int, int, bytes]:
@@ -193,12 +185,9 @@ def _without(text: bytes, runs: list) -> tuple[int, int, int, bytes]:
     return len(at), len(drop), stretches, b"\n".join(r for i, r in enumerate(rows) if i not in drop)
 
 
-def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
-    """The documents with later copies of repeated line runs deleted from ``text``, and the columns ADDED (which replace input columns of that name).
-
-    ``whole`` judges maximal runs; otherwise runs of 1, 2, 4, .. lines, as the SQL of op6_line_dedup states them.
-    """
-    runs = (whole_runs if whole else repeated_runs)(docs, min_words).groupBy(F.col("doc_id").alias("__run_doc")).agg(
+def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The documents with later copies of repeated line runs deleted from ``text``, and the columns ADDED (which replace input columns of that name)."""
+    runs = repeated_runs(docs, min_words).groupBy(F.col("doc_id").alias("__run_doc")).agg(
         F.collect_set(F.struct("line", "lines")).alias("__line_runs")
     )
     names = [c for c in docs.columns if c not in ADDED]

@@ -6,7 +6,7 @@ hold those against brute-force versions.
 
 from __future__ import annotations
 
-from cardwatch.llm.linededup import MIN_WORDS
+from cardwatch.llm.linededup import MIN_WORDS, SHARED_DOCS, SHARED_WORDS
 from cardwatch.llm.repetition import LINE_LIMIT, NGRAM_LIMITS
 from cardwatch.llm.substrings import WINDOW
 
@@ -61,27 +61,27 @@ SELECT *, NOT base_failed AND NOT (dup_line_share > {LINE_LIMIT} OR {over}) AS k
 
 
 def _lines() -> str:
-    levels = [1]
-    while levels[-1] < MIN_WORDS:
-        levels.append(2 * levels[-1])
-    ctes, marks = [], []
-    for h in levels:
-        if h > 1:
-            half = h // 2
-            ctes.append(f"""l{h} AS (SELECT a.doc_id, a.i, md5(a.k || b.k) AS k, a.words + b.words AS words
-    FROM l{half} a JOIN l{half} b ON a.doc_id = b.doc_id AND b.i = a.i + {half})""")
-        ctes.append(f"""f{h} AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS place FROM l{h})""")
-        marks.append(f"SELECT DISTINCT doc_id, i + j AS i FROM f{h}, range({h}) r(j) WHERE place > 1 AND words >= {MIN_WORDS}")
-    union = "\nUNION ".join(marks)
+    windows = "\nUNION ".join(
+        f"SELECT doc_id, i, min(j) AS j FROM pairs WHERE words >= {floor} GROUP BY doc_id, i\n"
+        f"UNION SELECT doc_id, max(i) AS i, j FROM pairs WHERE words >= {floor} GROUP BY doc_id, j"
+        for floor in (MIN_WORDS, SHARED_WORDS)
+    )
     return f"""
 WITH split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
     unnest(generate_series(1, len(string_split(text, chr(10))))) AS pos FROM documents),
 counted AS (SELECT *, len(regexp_extract_all(line, {_WORD})) AS words FROM split),
-worded AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i, md5(line) AS k, words
-    FROM counted WHERE words > 0),
-l1 AS (SELECT doc_id, i, k, words FROM worded),
-{(',' + chr(10)).join(ctes)},
-gone AS ({union}),
+worded AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i, md5(line) AS k, words,
+    sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS total FROM counted WHERE words > 0),
+pairs AS (SELECT a.doc_id, a.i, b.i AS j, b.total - a.total + a.words AS words
+    FROM worded a JOIN worded b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i AND a.i + {MIN_WORDS - 1}),
+windows AS ({windows}),
+lists AS (SELECT doc_id, list(k ORDER BY i) AS ks, list(words ORDER BY i) AS ws FROM worded GROUP BY doc_id),
+keyed AS (SELECT w.doc_id, w.i, w.j, md5(array_to_string(ks[w.i:w.j], ',')) AS k, list_sum(ws[w.i:w.j]) AS words
+    FROM windows w JOIN lists USING (doc_id)),
+shared AS (SELECT k, count(DISTINCT doc_id) AS docs FROM keyed GROUP BY k),
+later AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1 AS later FROM keyed),
+gone AS (SELECT DISTINCT doc_id, i + x AS i FROM later JOIN shared USING (k), range({MIN_WORDS}) r(x)
+    WHERE later AND i + x <= j AND (words >= {MIN_WORDS} OR docs >= {SHARED_DOCS})),
 away AS (SELECT w.doc_id, w.pos, w.i FROM worded w JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i),
 runs AS (SELECT doc_id, count(*) AS n_removed, sum((i <> before + 1)::INT) AS n_runs
     FROM (SELECT doc_id, i, COALESCE(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -1) AS before FROM away) x GROUP BY doc_id),

@@ -177,50 +177,6 @@ def test_components_of_a_path(spark):
 
 
 def brute_lines(plain, min_words):
-    lines = {i: [x for x in (plain[i] or "").split("\n") if SPACE_WORD.search(x)] for i in sorted(plain)}
-    sizes = [h for h in (1, 2, 4, 8, 16, 32) if h < 2 * min_words]
-    first = {}
-    for i, ls in lines.items():
-        for h in sizes:
-            for p in range(len(ls) - h + 1):
-                first.setdefault(tuple(ls[p : p + h]), (i, p))
-    out = {}
-    for i, ls in lines.items():
-        gone = set()
-        for h in sizes:
-            for p in range(len(ls) - h + 1):
-                if first[tuple(ls[p : p + h])] < (i, p) and sum(len(SPACE_WORD.findall(x)) for x in ls[p : p + h]) >= min_words:
-                    gone.update(range(p, p + h))
-        k, left = -1, []
-        for x in (plain[i] or "").split("\n"):
-            if SPACE_WORD.search(x):
-                k += 1
-                if k in gone:
-                    continue
-            left.append(x)
-        out[i] = (len(ls), len(gone), "\n".join(left))
-    return out
-
-
-@pytest.mark.parametrize("min_words", [linededup.MIN_WORDS, 5])
-def test_line_dedup(spark, plain, min_words):
-    rnd = random.Random(5)
-    short = ["a b c", "d e", "f", "", "  ", "g h i j k l", "m n"]
-    plain = dict(plain)
-    for i in range(len(plain), len(plain) + 25):
-        plain[i] = "\n".join(rnd.choice(short) for _ in range(rnd.randint(0, 30)))
-    df = spark.createDataFrame([(i, t, "s", 9) for i, t in plain.items()], "doc_id long, text string, source string, n_lines long")
-    got = by_id(line_dedup(df, min_words))
-    for i, (n, removed, text) in brute_lines(plain, min_words).items():
-        r = got[i]
-        assert (n, removed, sha(text), r.source) == (r.n_lines, r.n_removed, r.text_sha256, "s"), i
-        assert r.text == (None if plain[i] is None else text)
-    odd = spark.createDataFrame([(None, "x y\nx y"), (1, "a b\nc"), (1, "a b\nc")], "doc_id long, text string")
-    assert sorted(r.n_removed for r in line_dedup(odd, 2).collect()) == [0, 0, 0]
-    assert line_dedup(odd.limit(0)).count() == 0
-
-
-def brute_whole_lines(plain, min_words):
     """Texts without the later copies of runs of any number of lines."""
     lines = {i: [x for x in (plain[i] or "").split("\n") if SPACE_WORD.search(x)] for i in sorted(plain)}
     runs = [(i, p, h) for i, ls in lines.items() for p in range(len(ls)) for h in range(1, len(ls) - p + 1)]
@@ -240,24 +196,43 @@ def brute_whole_lines(plain, min_words):
             k += bool(SPACE_WORD.search(x))
             if not (SPACE_WORD.search(x) and k in gone[i]):
                 left.append(x)
-        out[i] = (len(gone[i]), "\n".join(left))
+        out[i] = (len(lines[i]), len(gone[i]), "\n".join(left))
     return out
 
 
 @pytest.mark.parametrize("min_words", [20, 7, 5, 1])
-def test_line_dedup_of_whole_runs(spark, plain, min_words):
+def test_line_dedup(spark, plain, min_words):
     rnd = random.Random(11)
     short = ["a b c", "d e", "f", "", "  ", "g h i j k l", "m n", "o " * 30]
     plain = {i: t for i, t in plain.items() if i < 30}
     for _ in range(25):
         plain[len(plain)] = "\n".join(rnd.choice(short) for _ in range(rnd.randint(0, 30)))
-    df = spark.createDataFrame(list(plain.items()), "doc_id long, text string").repartition(3)
-    got = by_id(line_dedup(df, min_words, whole=True))
-    for i, (removed, text) in brute_whole_lines(plain, min_words).items():
-        assert (removed, sha(text)) == (got[i].n_removed, got[i].text_sha256), i
+    # three lines of nine words, twice: repeated as a run only
+    run = "\n".join(f"{k} r s t u v w x y" for k in "abc")
+    plain[len(plain)], plain[len(plain) + 1] = f"first\n{run}\nend", f"{run}\nother"
+    plain = {i: plain.get(i) for i in range(max(plain) + 1)}
+    df = spark.createDataFrame([(i, t, "s", 9) for i, t in plain.items()], "doc_id long, text string, source string, n_lines long").repartition(3)
+    got = by_id(line_dedup(df, min_words))
+    for i, (n, removed, text) in brute_lines(plain, min_words).items():
+        r = got[i]
+        assert (n, removed, sha(text), r.source) == (r.n_lines, r.n_removed, r.text_sha256, "s"), i
+        assert r.text == (None if plain[i] is None else text)
+    assert got[max(plain)].n_removed >= 3
     odd = spark.createDataFrame([(None, "x y\nx y"), (1, "a b\nc"), (1, "a b\nc")], "doc_id long, text string")
-    assert sorted(r.n_removed for r in line_dedup(odd, 2, whole=True).collect()) == [0, 0, 0]
-    assert line_dedup(odd.limit(0), whole=True).count() == 0
+    assert sorted(r.n_removed for r in line_dedup(odd, 2).collect()) == [0, 0, 0]
+    assert line_dedup(odd.limit(0)).count() == 0
+
+
+def test_line_dedup_with_a_hot_line(spark, monkeypatch):
+    """One line in every document, and a hot run in a third of them: the same whatever counts as hot."""
+    rnd = random.Random(12)
+    plain = {i: "\n".join(["common line of boilerplate words here", f"own {i} {rnd.random()}", *(["x " * 12, "y " * 12] if i % 3 == 0 else [])]) for i in range(90)}
+    df = spark.createDataFrame(list(plain.items()), "doc_id long, text string").repartition(4)
+    want = {i: (n, removed, sha(text)) for i, (n, removed, text) in brute_lines(plain, 20).items()}
+    for share in (2, 2000):
+        monkeypatch.setattr(linededup, "HOT_SHARE", share)
+        assert {r.doc_id: (r.n_lines, r.n_removed, r.text_sha256) for r in line_dedup(df).collect()} == want
+    assert sum(removed for _, removed, _ in want.values()) == 89 + 2 * 29
 
 
 @pytest.mark.parametrize("sizes", [[9, 9, 9], [44, 3, 3], [1] * 31])
