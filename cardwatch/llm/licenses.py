@@ -3,9 +3,11 @@
 The licence templates are indexed by word: a posting is (template, position in
 it).  The documents' frequencies of the licence words, counted over the whole
 table, give each word its inverse document frequency.  For every file the
-highest-IDF licence words it holds are looked up; each occurrence names a place
-where its template would start (file position minus template position), and the
-template's postings are intersected there by relative position.  The share of
+rarest words of a template are looked up: as many as leave the others too light
+to reach ``COVERAGE`` by themselves, so every match holds one of them in its own
+place.  Each occurrence names a place where its template would start (file
+position minus template position), and the template's postings are intersected
+there by relative position.  The share of
 the template's IDF weight found at a place is its coverage.  A template is
 reported when its coverage reaches ``COVERAGE`` and its mandatory key phrase
 stands, word by word, in its own place.  A file whose held licence words weigh
@@ -38,16 +40,15 @@ from cardwatch.llm.spark_io import text_columns
 #: Phrases whose every place is counted, with their labels.
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Wordings of licence notices: (label, mandatory key phrase, text).
-TEMPLATES = [
+#: Wordings of licence and rights notices: (label, mandatory key phrase, text).
+NOTICES = [
     ("mit", "mit license", "released under the mit license"),
-    ("mit", "permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
     ("apache", "apache license", "licensed under the apache license version 2 0"),
     ("apache", "apache license", "you may not use this file except in compliance with the license you may obtain a copy of the apache license"),
     ("gpl", "general public license", "this work is licensed under the gnu general public license version 3"),
     ("gpl", "general public license", "under the terms of the gnu general public license as published by the free software foundation"),
     ("lgpl", "lesser general public license", "under the terms of the gnu lesser general public license"),
-    ("bsd", "redistribution and use", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("agpl", "affero general public license", "under the terms of the gnu affero general public license"),
     ("mpl", "mozilla public license", "subject to the terms of the mozilla public license version 2 0"),
     ("cc-by", "cc by 4", "licensed under cc by 4 0"),
     ("cc-by-sa", "cc by sa", "licensed under cc by sa 4 0"),
@@ -55,9 +56,65 @@ TEMPLATES = [
     ("cc-by", "creative commons attribution", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("cc0", "cc0", "licensed under cc0 1 0 universal"),
     ("unlicense", "public domain", "this is free and unencumbered software released into the public domain"),
+    ("proprietary", "all rights reserved", "all rights reserved"),
+    ("proprietary", "proprietary and confidential", "proprietary and confidential"),
+    ("proprietary", "unauthorized copying", "unauthorized copying of this file via any medium is strictly prohibited"),
 ]
-RARE = 8
+
+#: Whole licence texts, in the same form.
+TEXTS = [
+    ("mit", "permission is hereby granted", """
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+        files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
+        modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software
+        is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be
+        included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY
+        KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE
+        AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
+        WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
+        OTHER DEALINGS IN THE SOFTWARE."""),
+    ("mit", "permission is hereby granted", """
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"""),
+    ("bsd", "redistribution and use", """
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+        following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+        the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of
+        the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software
+        without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY
+        EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+        PARTICULAR PURPOSE ARE DISCLAIMED."""),
+    ("bsd", "redistribution and use", """
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met"""),
+    ("isc", "permission to use copy modify and or distribute", """
+        Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+        provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND
+        THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+        FITNESS."""),
+    ("zlib", "altered source versions", """
+        This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for
+        any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose,
+        including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The
+        origin of this software must not be misrepresented; you must not claim that you wrote the original software. 2. Altered source
+        versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not
+        be removed or altered from any source distribution."""),
+    ("apache", "apache license", """
+        Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+        License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law
+        or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR
+        CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and
+        limitations under the License."""),
+    ("gpl", "general public license", """
+        This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
+        published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This
+        program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""),
+]
+TEMPLATES = NOTICES + TEXTS
 COVERAGE = 0.6
+#: Starts of a template that are compared together, in cells of (start, template word).
+CELLS = 1 << 22
 
 SCHEMA = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
@@ -83,6 +140,15 @@ class LicenceIndex:
         for t, terms in enumerate(self.terms_of):
             np.add.at(self.parts[t], terms, self.idf[terms])
         self.weight = self.parts.sum(axis=1)
+        self.anchors = [self._anchors(t) for t in range(len(words))]
+
+    def _anchors(self, t: int) -> np.ndarray:
+        """Places in a template of its rarest words, so many that the other places weigh less than COVERAGE of it."""
+        own = self.terms_of[t]
+        order = np.argsort(-self.idf[own], kind="stable")
+        rest = self.weight[t] - np.cumsum(self.idf[own][order])
+        enough = np.flatnonzero(rest < COVERAGE * self.weight[t] - 1e-9)
+        return order[: enough[0] + 1] if len(enough) else order
 
     @staticmethod
     def _key_place(words: np.ndarray, key: np.ndarray) -> slice:
@@ -105,16 +171,19 @@ class LicenceIndex:
 
     def matches(self, term: np.ndarray, t: int) -> list[tuple[int, float]]:
         """(start, coverage) of a template's matches in one file, from the file's vocabulary entries by position."""
-        own = self.terms_of[t]
-        held = np.intersect1d(own, term)
-        rare = held[np.argsort(-self.idf[held], kind="stable")[:RARE]]
-        starts = [np.flatnonzero(term == own[j]) - j for j in np.flatnonzero(np.isin(own, rare))]
+        own, anchors = self.terms_of[t], self.anchors[t]
+        starts = [np.flatnonzero(term == own[j]) - j for j in anchors]
         starts = np.unique(np.concatenate(starts)) if starts else np.zeros(0, np.int64)
-        out, padded = [], np.concatenate((np.full(len(own), -1), term, np.full(len(own), -1)))
-        for block in np.array_split(starts, len(starts) // 65536 + 1):
+        # a match holds its key phrase in place: other starts go first
+        key = self.key[t]
+        padded = np.concatenate((np.full(len(own), -1), term, np.full(len(own), -1)))
+        for j in range(key.start, key.stop):
+            starts = starts[padded[starts + j + len(own)] == own[j]]
+        out = []
+        for block in np.array_split(starts, len(starts) * len(own) // CELLS + 1):
             same = padded[block[:, None] + np.arange(len(own)) + len(own)] == own
             cover = same @ self.idf[own] / self.weight[t]
-            ok = same[:, self.key[t]].all(axis=1) & (cover >= COVERAGE)
+            ok = cover >= COVERAGE
             out += zip(block[ok].tolist(), cover[ok].tolist(), strict=True)
         return out
 

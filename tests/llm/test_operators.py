@@ -3,6 +3,7 @@ nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns
 
 import collections
 import hashlib
+import math
 import random
 import re
 import struct
@@ -16,7 +17,7 @@ from cardwatch.llm import linededup, neardup, substrings, warc
 from cardwatch.llm.bpe import Automaton, default_vocabulary, encode_decode
 from cardwatch.llm.components import components
 from cardwatch.llm.decontaminate import contaminated, decontaminate, question_and_answer
-from cardwatch.llm.licenses import BASE_PHRASES, licence_scan
+from cardwatch.llm.licenses import BASE_PHRASES, TEMPLATES, licence_scan
 from cardwatch.llm.linededup import line_dedup
 from cardwatch.llm.neardup import near_duplicates
 from cardwatch.llm.repetition import quality_rules
@@ -367,6 +368,49 @@ def test_licence_scan(spark):
     assert got[5].labels == "cc-by-nc" and got[7].labels == "" and got[8].labels == "gpl" and got[11].labels == "gpl,lgpl"
 
 
+def brute_licences(texts, templates):
+    """Labels, matches and best coverage of every template at every place of every text."""
+    words = {i: ALNUM_WORD.findall(lower(t or "")) for i, t in texts.items()}
+    out = {i: (set(), 0, 0.0) for i in texts}
+    for label, key, text in templates:
+        own, phrase = ALNUM_WORD.findall(lower(text)), key.split()
+        at = next(k for k in range(len(own)) if own[k : k + len(phrase)] == phrase)
+        idf = {w: math.log(1 + len(texts) / (1 + sum(w in held for held in map(set, words.values())))) for w in own}
+        weight = sum(idf[w] for w in own)
+        for i, w in words.items():
+            for start in range(1 - len(own), len(w)):
+                there = [k for k, x in enumerate(own) if 0 <= start + k < len(w) and w[start + k] == x]
+                cover = sum(idf[own[k]] for k in there) / weight
+                if cover >= 0.6 and set(range(at, at + len(phrase))) <= set(there):
+                    labels, n, best = out[i]
+                    out[i] = (labels | {label}, n + 1, max(best, cover))
+    return out
+
+
+def test_licence_templates_against_brute_force(spark):
+    """Every template, whole and worn: words lacking at random, in the middle, and rare words that stand elsewhere in the file."""
+    rnd = random.Random(31)
+    long = " ".join(f"term{k}" for k in range(40))
+    templates = [*TEMPLATES, ("house", "term20 term21", long)]
+    texts, filler = {0: None, 1: "", 2: "All rights reserved."}, [f"f{k}" for k in range(50)]
+    for label, _, text in templates:
+        own = ALNUM_WORD.findall(lower(text))
+        for share in (0.0, 0.2, 0.45):
+            worn = [w if rnd.random() >= share else rnd.choice(filler) for w in own]
+            texts[len(texts)] = " ".join([*rnd.choices(filler, k=9), *worn, *rnd.choices(filler, k=5), *(rnd.choices(own, k=9) if share else [])])
+    # eight words lack in their place and stand elsewhere
+    own = long.split()
+    texts[len(texts)] = " ".join(own[:32] + ["x"] * 8 + ["y"] * 7 + own[32:])
+    texts[len(texts)] = " ".join(["x"] * 8 + own[8:] + ["y"] * 5 + own[:8])
+    got = by_id(licence_scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), templates))
+    want = brute_licences(texts, templates)
+    for i, (labels, n, best) in want.items():
+        r = got[i]
+        assert labels <= set(filter(None, r.labels.split(","))) and labels | set(filter(None, r.base_labels.split(","))) == set(filter(None, r.labels.split(","))), i
+        assert r.n_matches == n and (r.score == pytest.approx(max(best, 0.6 if r.n_base else 0.0)))
+    assert [got[i].labels for i in (len(texts) - 2, len(texts) - 1)] == ["house", "house"] and got[2].labels == "proprietary"
+
+
 def test_decontamination(spark):
     rnd = random.Random(11)
     vocab = [f"q{i}" for i in range(200)] + ["the", "of"] * 20
