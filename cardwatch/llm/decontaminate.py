@@ -18,19 +18,25 @@ pivots of a batch of passages moved at once, in numpy.
 
 A retrieved item is verified on the whole document: the shares of the 5-grams of
 its question (all but the last line, or the last sentence) and of its answer
-(the rest) found there must both reach ``OVERLAP``.
-
-The index is built by the driver and sent to the executors for at most
-``SHARD_BYTES`` of item text at a time; a larger benchmark is searched shard by
-shard, each with its own statistics.  Words are lower-cased runs of ASCII letters,
-digits and non-ASCII characters.  Items of fewer than ``MIN_ITEM_WORDS`` words
-identify nothing and are not searched for.  Null or empty texts match nothing;
-repeated documents give repeated rows, repeated items none; empty tables give
-an empty table; further columns are ignored.
+(the rest) found there must both reach ``OVERLAP``.  An answer of fewer than
+``SHORT_ANSWER`` words may also be verified word by word: by the share of its
+words that stand right behind a stretch of the question.  An item of fewer than
+``SHORT_ITEM`` words must stand there whole, word by word.
+
+The statistics are global: one aggregate counts the entries of every term, so an
+entry's scores do not depend on how the benchmark is cut.  The items are dealt to
+shards of about ``SHARD_BYTES`` of text; each shard's index is built by a task and
+written to the shared folder.  The driver hands one index at a time to the
+executors, so what it holds is bounded, and the documents are read once per shard.
+Words are lower-cased runs of ASCII letters, digits and non-ASCII characters.
+Items without a word match nothing, as do null or empty texts; repeated documents
+give repeated rows, repeated items none; empty tables give an empty table; further
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterable, Iterator
 from functools import reduce
@@ -38,11 +44,11 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwatch.llm import scan as S
-from cardwatch.llm.spark_io import text_columns
+from cardwatch.llm.spark_io import text_columns, written
 from cardwatch.session import ship_package
 
 ENTRY = 64
@@ -52,7 +58,7 @@ THRESHOLD = 0.5
 COMMON = 0.25
 GRAM = 5
 OVERLAP = 0.6
-MIN_ITEM_WORDS = 8
+SHORT_ITEM, SHORT_ANSWER = 8, 10
 SHARD_BYTES = 8 << 20
 #: Postings looked at together.
 BATCH = 1 << 20
@@ -78,20 +84,51 @@ def _grams(h: np.ndarray) -> tuple[int, np.ndarray]:
     return n, np.unique(S.ngrams(h, n))
 
 
+def _entries(h: np.ndarray) -> list[np.ndarray]:
+    return [h[at : at + ENTRY] for at in range(0, len(h), ENTRY)]
+
+
+class Part:
+    """What a document must hold of a question or answer: its n-grams, and the words of a short answer."""
+
+    def __init__(self, h: np.ndarray, n: int, by_word: bool = False):
+        self.n, self.grams = n, np.unique(S.ngrams(h, n))
+        self.words, self.reach = (np.unique(h), 2 * len(h) + 2) if by_word else (None, 0)
+
+    def share(self, grams: np.ndarray) -> float:
+        return float(np.isin(self.grams, grams).mean())
+
+    def share_behind(self, h: np.ndarray, question: Part) -> float:
+        """Largest share of the words that stand within reach of the end of a stretch of the question's grams."""
+        if self.words is None:
+            return 0.0
+        at = np.flatnonzero(np.isin(S.ngrams(h, question.n), question.grams))
+        ends = at[np.append(np.diff(at) > 1, True)] + question.n if len(at) else at
+        return max((float(np.isin(self.words, h[e : e + self.reach]).mean()) for e in ends.tolist()), default=0.0)
+
+
+def _parts(text: str, h: np.ndarray) -> tuple[Part, Part]:
+    if len(h) < SHORT_ITEM:
+        whole = Part(h, len(h))
+        return whole, whole
+    question, answer = (_words(p) for p in question_and_answer(text))
+    return Part(question, min(GRAM, len(question))), Part(answer, min(GRAM, len(answer)), len(answer) < min(SHORT_ANSWER, len(h)))
+
+
 class Index:
-    """Impact-ordered blocks over the entries of some test items."""
+    """Impact-ordered blocks over the entries of some test items, with the statistics of all of them."""
 
-    def __init__(self, items: list[tuple[int | None, str]]):
+    def __init__(self, items: list[tuple[int | None, str]], counted: dict[int, int], n_entries: int, mean: float):
         self.ids, self.parts, entries, self.item = [], [], [], []
         for item_id, text in sorted({(i, t) for i, t in items if t}, key=lambda x: (x[0] is None, x[0] or 0, x[1])):
             h = _words(text)
-            if len(h) < MIN_ITEM_WORDS:
+            if not len(h):
                 continue
-            for at in range(0, len(h), ENTRY):
-                entries.append(h[at : at + ENTRY])
+            for e in _entries(h):
+                entries.append(e)
                 self.item.append(len(self.ids))
             self.ids.append(item_id)
-            self.parts.append([_grams(_words(p)) for p in question_and_answer(text)])
+            self.parts.append(_parts(text, h))
         self.item = np.array(self.item, dtype=np.int64)
         self.n = len(entries)
         if not self.n:
@@ -101,9 +138,9 @@ class Index:
         entry = np.repeat(np.arange(self.n), lens)
         pair, tf = np.unique(term * self.n + entry, return_counts=True)
         term, entry = pair // self.n, pair % self.n
-        df = np.bincount(term)
-        idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
-        impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lens[entry] / lens.mean()))
+        df = np.array([counted[h] for h in self.vocab.astype(np.int64).tolist()])
+        idf = np.log(1 + (n_entries - df + 0.5) / (df + 0.5))
+        impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lens[entry] / mean))
         own = np.bincount(entry, weights=impact, minlength=self.n)
         self.impact, self.entry = impact / own[entry], entry
         self.first = np.searchsorted(term, np.arange(len(self.vocab) + 1))
@@ -184,39 +221,73 @@ class Index:
             best[t, i] = max(s, best.get((t, i), 0.0))
         out, held = [], {}
         for (t, i), s in best.items():
-            shares = []
-            for size, grams in self.parts[i]:
+            h, (question, answer) = w.hash[w.first[t] : w.first[t + 1]], self.parts[i]
+            for size in {question.n, answer.n}:
                 if (t, size) not in held:
-                    h = w.hash[w.first[t] : w.first[t + 1]]
                     held = {k: v for k, v in held.items() if k[0] == t} | {(t, size): np.unique(S.ngrams(h, size))}
-                shares.append(float(np.isin(grams, held[t, size]).mean()))
-            if min(shares) >= OVERLAP:
-                out.append((t, i, s, *shares))
+            asked = question.share(held[t, question.n])
+            if asked < OVERLAP:
+                continue
+            said = answer.share(held[t, answer.n])
+            if said < OVERLAP:
+                said = max(said, answer.share_behind(h, question))
+            if said >= OVERLAP:
+                out.append((t, i, s, asked, said))
         return out
 
 
+def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, term, entries that hold it); the term null: entries and their words in all."""
+    for b in batches:
+        shard, term, n, words = [], [], [], []
+        for s, text in zip(b.column("shard").to_pylist(), b.column("text").to_pylist(), strict=True):
+            entries = _entries(_words(text))
+            held, times = np.unique(np.concatenate([np.unique(e) for e in entries]), return_counts=True) if entries else ([], [])
+            shard += [s] * (len(held) + 1)
+            term += [*np.asarray(held, dtype=np.uint64).astype(np.int64).tolist(), None]
+            n += [*np.asarray(times).tolist(), len(entries)]
+            words += [0] * len(held) + [sum(map(len, entries))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(shard, pa.int32()), pa.array(term, pa.int64()), pa.array(n, pa.int64()), pa.array(words, pa.int64())],
+            names=["shard", "term", "n", "words"],
+        )
+
+
 def _shards(docs: DataFrame, items: DataFrame) -> Iterator:
     """The index of each shard of the items, on every executor."""
     spark = docs.sparkSession
     items = items.select(items["item_id"].cast("long").alias("item_id"), items["text"].cast("string").alias("text"))
     items = items.filter("text IS NOT NULL").distinct()
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    for k in range(shards):
-        # about SHARD_BYTES of text
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).collect()
-        yield spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in rows]))
+    items = written(items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int")), "items")
+    counted = items.select("shard", "text").mapInArrow(_counts, "shard int, term long, n long, words long")
+    counted = written(counted.groupBy("shard", "term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")), "terms")
+    n_entries, words = counted.filter("term IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    mean = words / max(1, n_entries)
+    terms = counted.filter("term IS NOT NULL").select("shard", "term", F.sum("n").over(Window.partitionBy("term")).alias("df"))
+
+    def build(own: pa.Table, df: pa.Table) -> pa.Table:
+        rows = list(zip(own.column("item_id").to_pylist(), own.column("text").to_pylist(), strict=True))
+        held = dict(zip(df.column("term").to_pylist(), df.column("df").to_pylist(), strict=True))
+        index = pickle.dumps(Index(rows, held, n_entries, mean))
+        return pa.table({"shard": own.column("shard").slice(0, 1), "index": pa.array([index], pa.large_binary()).cast(pa.binary())})
+
+    built = written(items.groupBy("shard").cogroup(terms.groupBy("shard")).applyInArrow(build, "shard int, index binary"), "indexes")
+    for row in built.select("shard").sort("shard").collect():
+        yield spark.sparkContext.broadcast(bytes(built.filter(F.col("shard") == row["shard"]).first()["index"]))
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row per document and test item it holds; one pass over the documents per shard, no shuffle."""
     docs = text_columns(docs)
-    return reduce(DataFrame.union, [docs.mapInArrow(_search(index), SCHEMA) for index in _shards(docs, items)])
+    none = docs.sparkSession.createDataFrame([], SCHEMA)
+    return reduce(DataFrame.union, [docs.mapInArrow(_search(index), SCHEMA) for index in _shards(docs, items)] or [none])
 
 
 def _search(index):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Index = index.value
+        own: Index = pickle.loads(index.value)
         for c in S.chunks(batches) if own.n else ():
             got = own.search(c)
             text, item, *numbers = [list(x) for x in zip(*got, strict=True)] if got else [[]] * 5
@@ -242,7 +313,7 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def _clean(index):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Index = index.value
+        own: Index = pickle.loads(index.value)
         for b in batches:
             keep, at = np.ones(b.num_rows, dtype=bool), 0
             for c in S.chunks([b]) if own.n else ():

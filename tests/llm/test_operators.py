@@ -416,16 +416,22 @@ def test_decontamination(spark):
     vocab = [f"q{i}" for i in range(200)] + ["the", "of"] * 20
     say = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
     items = [(i, f"{say(rnd.randint(8, 30))}.\n{say(rnd.randint(3, 20))}.") for i in range(30)]
-    items += [(100, "Too short."), (101, None), (102, say(200) + ". " + say(50)), items[3]]
+    items += [(100, "Too short."), (101, None), (102, say(200) + ". " + say(50)), items[3], (103, "..."), (104, "seven words that stand in one text")]
+    items += [(105, "solitary"), (106, say(20) + ".\none two three four five."), (107, say(20) + ".\nlonely.")]
     texts = {i: say(rnd.randint(1, 300)) for i in range(40)} | {40: None, 41: "", 42: "the " * 4000}
     planted = {}
     for i in range(50, 75):
-        k = rnd.choice([x for x in items if x[1] and x[0] != 100])
+        k = rnd.choice([x for x in items if x[1] and x[0] < 100 or x[0] == 102])
         text = k[1].upper() if i % 2 else k[1].replace(".\n", " -- ")
         planted[i] = k[0]
         texts[i] = say(rnd.randint(0, 150)) + " " + text + " " + say(rnd.randint(0, 150))
     half = items[5][1].split(".\n")
     texts[80] = say(50) + " " + half[0] + " " + say(50)   # the question without its answer
+    # items of one to seven words, and one word edited in a short answer
+    short, edited, lonely = (next(x for i, x in items if i == k) for k in (104, 106, 107))
+    texts |= {81: say(60) + " too SHORT! " + say(20), 82: say(30) + " " + short + " " + say(30), 83: short.replace("that", "which") + " " + say(9)}
+    texts |= {84: say(70) + " solitary " + say(70), 85: say(20) + " " + edited.replace("three", "3") + " " + say(9), 86: lonely.replace("lonely", "alone") + " " + say(20)}
+    planted |= {81: 100, 82: 104, 84: 105, 85: 106}
     d = spark.createDataFrame([(i, t, 1) for i, t in texts.items()], "doc_id long, text string, item_id long")
     b = spark.createDataFrame(items, "item_id long, text string")
 
@@ -433,34 +439,71 @@ def test_decontamination(spark):
         w = ALNUM_WORD.findall(lower(t))
         return w, lambda n: {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
 
+    bm25 = brute_bm25(texts, items)
     want = set()
     for i, t in texts.items():
+        held, gram = grams(t or "")
         for k, x in items:
-            if not x or len(ALNUM_WORD.findall(x.lower())) < 8:
+            own, own_gram = grams(x or "")
+            if not own or bm25[i, k] < 0.5:
                 continue
-            shares = []
-            for part in question_and_answer(x):
-                w, own = grams(part)
-                n = min(5, len(w))
-                shares.append(len(own(n) & grams(t or "")[1](n)) / len(own(n)))
+            if len(own) < 8:
+                if own_gram(len(own)) <= gram(len(own)):
+                    want.add((i, k))
+                continue
+            (asked, question), (said, answer) = ((min(5, len(w)), w) for w in (grams(p)[0] for p in question_and_answer(x)))
+            share = lambda n, w: len({tuple(w[j : j + n]) for j in range(len(w) - n + 1)} & gram(n)) / len({tuple(w[j : j + n]) for j in range(len(w) - n + 1)})
+            shares = [share(asked, question), share(said, answer)]
+            if len(answer) < min(10, len(own)):
+                mine = {tuple(question[j : j + asked]) for j in range(len(question) - asked + 1)}
+                at = [j for j in range(len(held) - asked + 1) if tuple(held[j : j + asked]) in mine]
+                ends = [j + asked for j in at if j + 1 not in at]
+                shares[1] = max([shares[1], *(len(set(answer) & set(held[e : e + 2 * len(answer) + 2])) / len(set(answer)) for e in ends)])
             if min(shares) >= 0.6:
                 want.add((i, k))
     got = contaminated(d, b).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+    assert all(r.score == pytest.approx(bm25[r.doc_id, r.item_id]) for r in got)
     assert set(planted.items()) <= want and not any(i < 50 or i == 80 for i, _ in want)
     left = decontaminate(d, b)
     assert left.columns == d.columns and {r.doc_id for r in left.collect()} == set(texts) - set(planted)
     assert contaminated(d, b.limit(0)).count() == 0 and decontaminate(d.limit(0), b).count() == 0
 
 
+def brute_bm25(texts, items):
+    """Best score of a passage against an entry, as a share of the entry's own, by (text, item)."""
+    split = lambda t: ALNUM_WORD.findall(lower(t or ""))
+    entries = [(k, w[p : p + 64]) for k, w in {(k, tuple(split(x))) for k, x in items} for p in range(0, len(w), 64)]
+    df = collections.Counter(x for _, e in entries for x in set(e))
+    mean = sum(len(e) for _, e in entries) / len(entries)
+
+    def impacts(e):
+        tf = collections.Counter(e)
+        return {x: math.log(1 + (len(entries) - df[x] + 0.5) / (df[x] + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(e) / mean)) for x, n in tf.items()}
+
+    best, scored = collections.defaultdict(float), [(k, impacts(e)) for k, e in entries]
+    for i, t in texts.items():
+        w = split(t)
+        for p in range(0, max(1, len(w) - 64), 64):
+            held = set(w[p : p + 128])
+            for k, own in scored:
+                best[i, k] = max(best[i, k], sum(v for x, v in own.items() if x in held) / sum(own.values()))
+    return best
+
+
 def test_decontamination_in_shards(spark, monkeypatch):
+    """The same rows and scores however the benchmark is cut."""
     import cardwatch.llm.decontaminate as module
 
-    monkeypatch.setattr(module, "SHARD_BYTES", 200)
-    words = [[f"s{i}x{k}" for k in range(20)] for i in range(12)]
+    rnd = random.Random(8)
+    words = [[f"s{i}x{k}" if rnd.random() < 0.7 else f"common{rnd.randrange(9)}" for k in range(20)] for i in range(12)]
     b = spark.createDataFrame([(i, " ".join(w[:14]) + ". " + " ".join(w[14:])) for i, w in enumerate(words)], "item_id long, text string")
-    d = spark.createDataFrame([(i, "a b c " + " ".join(w) + " d e f") for i, w in enumerate(words)], "doc_id long, text string")
-    assert {(r.doc_id, r.item_id) for r in contaminated(d, b).collect()} == {(i, i) for i in range(12)}
+    d = spark.createDataFrame([(i, "a b c " + " ".join(w[:-2]) + " d e f common3") for i, w in enumerate(words)], "doc_id long, text string")
+    whole = sorted(map(tuple, contaminated(d, b).collect()))
+    assert {(r[0], r[1]) for r in whole} == {(i, i) for i in range(12)} and any(r[2] < 1 for r in whole)
+    for size in (200, 700):
+        monkeypatch.setattr(module, "SHARD_BYTES", size)
+        assert sorted(map(tuple, contaminated(d, b).collect())) == whole
     assert decontaminate(d, b).count() == 0
 
 
