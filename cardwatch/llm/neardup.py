@@ -27,8 +27,10 @@ bound is exact.
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z.  A text with fewer words
 than a shingle has its whole sequence as one shingle; a null or empty text has
 no set, is linked with nothing and is kept, as is a row without a doc_id.
-Repeated rows are copies.  An empty
-table gives an empty table; further columns are ignored.
+Repeated rows are copies.  Rows that share a doc_id and differ in text are one
+document: the one whose set has the smallest digest is compared, and copies of
+any of them belong to it.  An empty table gives an empty table; further columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -83,6 +85,11 @@ def shingle_sets(c: S.Chunk, words: int) -> tuple[np.ndarray, np.ndarray]:
     return h, np.searchsorted(text, np.arange(len(c) + 1))
 
 
+def class_of(h: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Digest of every set."""
+    return [hashlib.blake2b(h[a:b].tobytes(), digest_size=16).digest() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+
+
 def _sketches(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in S.chunks(batches):
@@ -92,7 +99,7 @@ def _sketches(words: int):
                 [
                     c.ids,
                     pa.array(np.diff(first).astype(np.int64)),
-                    pa.array([hashlib.blake2b(h[a:b].tobytes(), digest_size=16).digest() for a, b in spans], pa.binary()),
+                    pa.array(class_of(h, first), pa.binary()),
                     pa.array([h[a : min(b, a + SKETCH)].astype(np.int64) for a, b in spans], pa.list_(pa.int64())),
                 ],
                 names=["doc_id", "n_shingles", "class", "sketch"],
@@ -103,10 +110,15 @@ def _sketches(words: int):
 
 def _sets(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in S.chunks(batches):
-            h, first = shingle_sets(c, words)
-            sets = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([c.ids, sets, *map(pa.array, parity(h, first))], names=["doc_id", "shingles", *PARITY])
+        for b in batches:
+            at = 0
+            for c in S.chunks([b]):
+                h, first = shingle_sets(c, words)
+                wanted = b.column("class").slice(at, len(c)).to_pylist()
+                at += len(c)
+                sets = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.astype(np.int64)))
+                out = pa.RecordBatch.from_arrays([c.ids, sets, *map(pa.array, parity(h, first))], names=["doc_id", "shingles", *PARITY])
+                yield out.filter(pa.array([x == y for x, y in zip(class_of(h, first), wanted, strict=True)], pa.bool_()))
 
     return run
 
@@ -258,15 +270,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     classes = written(some.groupBy("class").agg(F.min("doc_id").alias("id")), "classes")
     reps = written(
         some.join(classes.select("id"), some["doc_id"] == classes["id"], "left_semi")
-        .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
-        .dropDuplicates(["id"]),
+        .groupBy(F.col("doc_id").alias("id"))
+        .agg(F.min(F.struct("class", F.col("n_shingles").alias("n"), "sketch")).alias("least"))
+        .select("id", "least.*"),
         "representatives",
     )
     lists = written(_lists(reps, percent), "lists")
 
-    listed = lists.select(F.col("id").alias("doc_id")).distinct()
+    listed = lists.select("id").distinct().join(reps.select("id", "class"), "id").withColumnRenamed("id", "doc_id")
     sets = written(
-        docs.join(listed, "doc_id", "left_semi").mapInArrow(_sets(words), SETS).dropDuplicates(["doc_id"]),
+        docs.join(listed, "doc_id").mapInArrow(_sets(words), SETS).dropDuplicates(["doc_id"]),
         "sets",
     )
     star = written(_star_pairs(lists, percent), "pairs")

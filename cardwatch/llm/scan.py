@@ -9,6 +9,7 @@ Memory is a small multiple of the batch's text: batches are cut by bytes.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -145,6 +146,20 @@ def chunks(batches: Iterable[pa.RecordBatch], most: int = CHUNK_BYTES, key: str
     for b in batches:
         if b.num_rows:
             yield from table_chunks(b.column(key), b.column(text), most)
+    give_back()
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker serves many tasks, of several operators, and keeps its high-water mark."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # another C library: nothing to trim
+    _trim = None
 
 
 @dataclass

@@ -47,13 +47,24 @@ STEPS = 300
 RATE = 0.3
 THRESHOLD = 0.7
 
-#: Words that name groups of people, and the neutral words they are swapped for.
-IDENTITY = [
-    "women", "men", "christians", "muslims", "jews", "hindus", "buddhists", "atheists", "immigrants", "refugees",
-    "gay", "lesbian", "transgender", "straight", "black", "white", "asian", "latino", "disabled", "elderly",
-    "femmes", "hommes", "musulmans", "juifs", "frauen", "muslime", "juden", "mujeres", "hombres", "musulmanes",
-]
-NEUTRAL = ["people", "persons"]
+#: Words that name groups of people, by language and word class, each list with a neutral word of its kind.
+GROUPS = [
+    (("women", "men", "girls", "boys"), "people"),
+    (("christians", "muslims", "jews", "hindus", "buddhists", "atheists"), "believers"),
+    (("immigrants", "refugees", "foreigners", "natives"), "residents"),
+    (("gay", "lesbian", "transgender", "straight"), "ordinary"),
+    (("black", "white", "asian", "latino"), "human"),
+    (("disabled", "elderly", "young", "deaf"), "adult"),
+    (("femmes", "hommes", "filles"), "personnes"),
+    (("musulmans", "juifs", "chrétiens"), "croyants"),
+    (("frauen", "männer", "mädchen"), "menschen"),
+    (("muslime", "juden", "christen"), "gläubige"),
+    (("mujeres", "hombres", "niñas"), "personas"),
+    (("musulmanes", "judíos", "cristianos"), "creyentes"),
+]
+#: The next word of the same list, and the list's neutral word, of each term.
+OTHER = {t: terms[(i + 1) % len(terms)] for terms, _ in GROUPS for i, t in enumerate(terms)}
+NEUTRAL = {t: neutral for terms, neutral in GROUPS for t in terms}
 
 
 def slots_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -82,16 +93,14 @@ def features_of(texts: list[bytes], wanted: np.ndarray | None = None) -> tuple[n
 
 
 def swaps(text: str) -> list[str]:
-    """The text with its identity terms swapped, once by another group and once by a neutral word; none without a term."""
+    """The text with its identity terms swapped, once by another group of the same language and word class and once by a neutral word of them; none without a term."""
     low = text.lower()
     if not _TERMS.search(low):
         return []
-    other = {t: IDENTITY[(i + 7) % len(IDENTITY)] for i, t in enumerate(IDENTITY)}
-    neutral = {t: NEUTRAL[i % len(NEUTRAL)] for i, t in enumerate(IDENTITY)}
-    return [_TERMS.sub(lambda m, to=to: to[m.group()], low) for to in (other, neutral)]
+    return [_TERMS.sub(lambda m, to=to: to[m.group()], low) for to in (OTHER, NEUTRAL)]
 
 
-_TERMS = re.compile(r"\b(?:" + "|".join(IDENTITY) + r")\b")
+_TERMS = re.compile(r"\b(?:" + "|".join(OTHER) + r")\b")
 
 
 def sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
@@ -102,8 +111,9 @@ def sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
     seen = seen.join(docs.select("doc_id"), "doc_id", "left_semi")
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = seen.filter("toxic = 1").orderBy(*order).limit(size).union(seen.filter("toxic = 0").orderBy(*order).limit(size))
-    # at most 2 * size rows
-    return written(docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), "labelled")
+    # at most 2 * size rows; of several texts of a document the smallest
+    rows = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
+    return written(rows, "labelled")
 
 
 def _feature_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -583,9 +583,13 @@ def test_labels_without_a_document_use_up_no_sample(spark):
 
 def test_counterfactual_swaps_calm_group_mentions(spark):
     """A group named mostly in toxic texts does not make a neutral mention toxic once swaps are penalised."""
-    from cardwatch.llm.toxicity import swaps, toxicity_scores
+    from cardwatch.llm.toxicity import GROUPS, swaps, toxicity_scores
 
-    assert swaps("no group here") == [] and len(swaps("All WOMEN and gay men")) == 2
+    assert swaps("no group here") == [] and swaps("All WOMEN and gay men") == ["all men and lesbian girls", "all people and ordinary people"]
+    for terms, neutral in GROUPS:  # within the list: language and word class stay
+        for t in terms:
+            other, plain = swaps(f"the {t.upper()}, they say")
+            assert other.split()[1].strip(",") in set(terms) - {t} and plain.split()[1] == f"{neutral},"
     rnd = random.Random(8)
     say = lambda n: " ".join(f"w{rnd.randrange(300)}" for _ in range(n))
     rows, labels = [], []
