@@ -7,6 +7,8 @@ writing each result to the shared folder, so a lost executor costs one stage.
 
 Every stage works on all rows of its input and keeps clean documents as they
 are.  Null and empty texts pass every filter; rows without a doc_id are kept.
+Rows that repeat a doc_id and a text are one row after the near-duplicate stage;
+rows that share a doc_id and differ in text go or stay together there.
 """
 
 from __future__ import annotations
@@ -36,10 +38,20 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity of 0.8 or more): the smallest doc_id."""
-    kept = near_duplicates(docs, words=5, percent=80).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    own = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return own.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
+    """One document of each group of near copies (five-word shingles, similarity of 0.8 or more): the smallest doc_id.
+
+    The line stage cuts passages out of later copies, after which they are no
+    longer alike; so the documents still here are first compared by their texts
+    in ``documents``, and what is left by the texts at hand.
+    """
+    uncut = table(spark, sf_dir, "documents").join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    for texts in (uncut, docs):
+        kept = near_duplicates(texts.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), words=5, percent=80)
+        kept = written(kept.filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "kept")
+        other = docs.filter("doc_id IS NULL")
+        docs = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").unionByName(other)
+    with_id = docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
+    return with_id.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
