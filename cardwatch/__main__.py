@@ -20,6 +20,7 @@ from pyspark.sql import SparkSession
 from cardwatch.plans.daily import Sources, report_of, run_daily
 from cardwatch.plans.report import with_labels
 from cardwatch.session import tune
+from cardwatch.sources.compaction import compact, vacuum
 from cardwatch.sources.feeds import FORMATS, next_day
 from cardwatch.sources.store import Store
 from cardwatch.sources.tables import source_parquet, source_table
@@ -49,10 +50,18 @@ def main(argv: list[str] | None = None) -> int:
     rp.add_argument("--out", help="folder to write the report to instead of printing it")
     rp.add_argument("--format", choices=["csv", "parquet"], default="csv")
     rp.add_argument("--labels", action="store_true", help="event sentences instead of codes")
+    cp = sub.add_parser("compact", help="merge the folders of old runs")
+    cp.add_argument("--warehouse", required=True)
+    cp.add_argument("--vacuum-days", type=int, help="also delete folders out of use for so many days")
     args = ap.parse_args(argv)
 
     spark = tune(SparkSession.builder.appName("cardwatch").getOrCreate())
     store = Store(spark, args.warehouse)
+    if args.cmd == "compact":
+        print(f"{len(compact(store))} units written")
+        if args.vacuum_days is not None:
+            print(f"{len(vacuum(store, _dt.timedelta(days=args.vacuum_days)))} folders deleted")
+        return 0
     if args.cmd == "report":
         df = report_of(store, _dt.datetime.fromisoformat(args.date))
         df = with_labels(df) if args.labels else df

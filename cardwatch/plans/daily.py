@@ -73,6 +73,7 @@ def run_daily(spark: SparkSession, store: Store, feeds: DayFeeds, sources: Sourc
         raise ValueError("semantics must be 'corrected' or 'literal'")
     load_dt = feeds.load_dt
     effective = store.effective()
+    version = store.read_version()
     same = [r for r in effective if r.load_dt == load_dt]
     later = [r for r in effective if r.load_dt > load_dt]
     known = _files(store, same)
@@ -81,8 +82,9 @@ def run_daily(spark: SparkSession, store: Store, feeds: DayFeeds, sources: Sourc
         if len(new) != len(feeds.files) or not new:
             raise ValueError(f"{len(later)} later load(s) already committed; rerun them after this date")
         return _late(spark, store, feeds, semantics, windows, effective)
-    base = store.effective(before=load_dt)
-    run = Run(store.new_run_id(load_dt), load_dt, supersedes=tuple(r.run_id for r in same))
+    base = [r for r in effective if r.load_dt < load_dt]
+    run = Run(store.new_run_id(load_dt), load_dt, supersedes=tuple(r.run_id for r in same), reports=(load_dt,),
+              read_version=version)
     return _full_load(spark, store, _with_earlier(store, feeds, same, known), sources, semantics, windows, base, run)
 
 
