@@ -35,6 +35,7 @@ from cardwatch.operators.scd2 import (
     snapshot_scd2,
     snapshot_scd2_corrected,
 )
+from cardwatch.plans.late import load_late
 from cardwatch.plans.report import Windows, fraud_report, fraud_report_asof
 from cardwatch.sources.feeds import LEDGER, DayFeeds
 from cardwatch.sources.store import Run, Store
@@ -64,10 +65,10 @@ def run_daily(spark: SparkSession, store: Store, feeds: DayFeeds, sources: Sourc
       the date is loaded together with what the date brought before (the union
       of the transaction files); a rerun over a superset of its transaction
       files replaces them.  Either way the new run supersedes the earlier one.
-    * A date older than the newest load: a late delivery.  Its new operations
-      are appended and that date's report is rebuilt; the dimensions are
-      already past that date and stay as they are.  Files of an old date that
-      are already loaded can't be run again.
+    * A date older than the newest load: a late delivery.  Its rows go where they
+      would stand had they come in time, and what they alter in later dates is
+      rebuilt (see ``plans.late``).  Files of an old date that are already loaded
+      can't be run again.
     """
     if semantics not in ("corrected", "literal"):
         raise ValueError("semantics must be 'corrected' or 'literal'")
@@ -81,7 +82,7 @@ def run_daily(spark: SparkSession, store: Store, feeds: DayFeeds, sources: Sourc
     if later:
         if len(new) != len(feeds.files) or not new:
             raise ValueError(f"{len(later)} later load(s) already committed; rerun them after this date")
-        return _late(spark, store, feeds, semantics, windows, effective)
+        return _late(spark, store, feeds, semantics, windows, effective, version)
     base = [r for r in effective if r.load_dt < load_dt]
     run = Run(store.new_run_id(load_dt), load_dt, supersedes=tuple(r.run_id for r in same), reports=(load_dt,),
               read_version=version)
@@ -118,17 +119,22 @@ def _with_earlier(store: Store, feeds: DayFeeds, same: list[Run], known: set[tup
 
 
 def _late(spark: SparkSession, store: Store, feeds: DayFeeds, semantics: str, windows: Windows,
-          effective: list[Run]) -> Run:
-    """Append a late delivery's operations and rebuild its date's report."""
-    run = Run(store.new_run_id(feeds.load_dt), feeds.load_dt, kind="late")
+          effective: list[Run], version: int) -> Run:
+    """Put a late delivery where it belongs and rebuild what it alters (``plans.late``)."""
+    run = Run(store.new_run_id(feeds.load_dt), feeds.load_dt, kind="late", reports=(feeds.load_dt,),
+              feeds=("transactions",) if feeds.transactions is not None else (), read_version=version)
     tx = feeds.transactions
     stg = store.write("stg_transactions", run, tx if tx is not None else spark.createDataFrame([], S.STG_TRANSACTIONS))
     store.write("fact_transactions", run, load_fact_transactions(stg))
-    # later lists and snapshots hold what a late blacklist or terminal file says
+    # written again below if the delivery brings entries
     store.write("fact_passport_blacklist", run, spark.createDataFrame([], S.FACT_PASSPORT_BLACKLIST))
     run = _bounded(run, stg)
-    facts = [r for r in effective if r.load_dt <= run.load_dt] + [run]
-    return _publish(spark, store, run, feeds.files, semantics, windows, facts, effective)
+    if semantics == "literal":
+        facts = [r for r in effective if r.load_dt <= run.load_dt] + [run]
+        return _publish(spark, store, run, feeds.files, semantics, windows, facts, effective)
+    run = load_late(store, run, stg, feeds.terminals, feeds.blacklist, effective, windows)
+    _record(spark, store, run, feeds.files)
+    return store.commit(run, semantics)
 
 
 def _bounded(run: Run, stg_tx: DataFrame) -> Run:
@@ -151,9 +157,12 @@ def _publish(spark: SparkSession, store: Store, run: Run, files: list[tuple[str,
     args = (tx, hist["dim_cards_hist"], hist["dim_accounts_hist"], hist["dim_clients_hist"], terms, bl, load_dt)
     report = fraud_report if semantics == "literal" else fraud_report_asof
     store.write("rep_fraud", run, report(*args, windows=windows))
-    store.write("ledger", run, spark.createDataFrame([(f, n, load_dt, run.run_id) for f, n in files], LEDGER))
-    store.commit(run, semantics)
-    return run
+    _record(spark, store, run, files)
+    return store.commit(run, semantics)
+
+
+def _record(spark: SparkSession, store: Store, run: Run, files: list[tuple[str, str]]) -> None:
+    store.write("ledger", run, spark.createDataFrame([(f, n, run.load_dt, run.run_id) for f, n in files], LEDGER))
 
 
 def _full_load(spark: SparkSession, store: Store, feeds: DayFeeds, sources: Sources, semantics: str,

@@ -258,13 +258,13 @@ class Store:
         A run that rebased the table stands for all runs committed before it,
         but for the one it replaces.
         """
-        # a run that is not committed yet comes last
-        base = max((r for r in runs if table in r.rebased), key=lambda r: float("inf") if r.version is None else r.version, default=None)
+        place = lambda r: float("inf") if r.version is None else r.version  # noqa: E731  (not committed yet: last)
+        base = max((r for r in runs if table in r.rebased), key=place, default=None)
         if base is None:
             return [(r, None) for r in runs]
         instead = dict(base.replaces)
         return [
-            (r, instead.get(r.run_id)) for r in runs if r is base or r.run_id in instead or r.version is None or r.version > base.version
+            (r, instead.get(r.run_id)) for r in runs if r is base or r.run_id in instead or place(r) > place(base)
         ]
 
     def _placed(self, table: str, parts: list[tuple[Run, str | None]]) -> list[str]:
