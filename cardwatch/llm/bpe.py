@@ -15,9 +15,17 @@ and when, and the arcs taken out of it (``removed``); an arc as the arc it was
 added along and when.  :meth:`Automaton.arc` follows these links, so the tables
 grow with the number of merges and not with its square.
 
-Encoding walks a byte trie of the arc labels over a pre-split word and follows
-the automaton's arcs; one path spells the word, and its labels are the word's
-tokens.  Decoding emits the labels of the arcs.
+Encoding reads a pre-split word byte by byte through a transition table, without
+going back.  One path of the automaton spells any string, so each prefix of a
+word has one last token.  A byte state is the longest end of the prefix that
+begins a label (a node of the labels' trie) with the last tokens of the prefixes
+that end inside it; a byte takes the node along its arc, or along the arc of the
+next shorter end (the default arcs of a trie with failure links), and the
+new prefix's last token is the one label ending here that the automaton has an arc
+for behind the token before it.  A transition is worked out when it is first met
+and then is an entry of the table (state, byte) -> state, which holds the
+token too; the table is bounded by ``STATES``.  The tokens are read off from the
+end of the word.  Decoding emits the labels of the arcs.
 
 A chunk of texts is pre-split by vectorised rules equal to the byte-level
 pattern (``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``);
@@ -51,12 +59,14 @@ from pyspark.sql import DataFrame, SparkSession
 from cardwatch.llm import scan as S
 from cardwatch.llm.spark_io import text_columns
 
+START = -1
 LETTER, NUMBER, OTHER, SPACE, BREAK = range(5)
 #: The code points of the Unicode property White_Space.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Distinct words remembered by a worker.
 REMEMBERED = 2_000_000
-ARCS_REMEMBERED = 1_000_000
+#: Byte states of the transition table of a worker.
+STATES = 200_000
 
 
 def default_vocabulary() -> str:
@@ -101,7 +111,6 @@ class Automaton:
         self.left, self.right = [-1] * n, [-1] * n
         self.made = [-1] * n  # the gadget that made the token; -1 for bytes
         self.removed: dict[int, int] = {}
-        self._arcs: dict[int, bool] = {}
         exists = {vocab[x] for x in letters}
         for k, (u, v) in enumerate((vocab[a], vocab[b]) for a, b in merges):
             w = vocab[self._spell(spec, u, v, vocab)]
@@ -110,6 +119,7 @@ class Automaton:
                 self.removed[u * n + v] = k
                 exists.add(w)
         self._trie(exists)
+        self._clear()
         self.classes = code_point_classes()
         lens = np.fromiter(map(len, self.label), np.int64, n)
         self.label_len, self.label_at = lens, np.cumsum(lens) - lens
@@ -123,28 +133,49 @@ class Automaton:
         return self._token[u] + self._token[v]
 
     def _trie(self, tokens: set[int]) -> None:
-        """A byte trie of the labels; of each node the longest label on its path, of each label the next shorter prefix."""
+        """A byte trie of the labels with failure links; of each node its depth and the labels that end there, longest first."""
         self.children: list[dict[int, int]] = [{}]
-        parent, token_at = [-1], [-1]
-        for t in tokens:
+        self.depth, own = [0], [-1]
+        for t in sorted(tokens):
             node = 0
             for b in self.label[t]:
                 deeper = self.children[node].get(b)
                 if deeper is None:
                     deeper = self.children[node][b] = len(self.children)
                     self.children.append({})
-                    parent.append(node)
-                    token_at.append(-1)
+                    self.depth.append(self.depth[node] + 1)
+                    own.append(-1)
                 node = deeper
-            token_at[node] = t
-        self.longest, self.shorter, self.length = [-1] * len(parent), [-1] * self.size, [len(x) for x in self.label]
-        for node in range(1, len(parent)):  # a node comes after its parent
-            above, t = self.longest[parent[node]], token_at[node]
-            self.longest[node] = above if t < 0 else t
-            if t >= 0:
-                self.shorter[t] = above
+            own[node] = t
+        self.length = [len(x) for x in self.label]
+        self.fail, self.ends = [0] * len(own), [()] * len(own)
+        level = [0]
+        while level:  # a level of the trie at a time: every shorter end is done
+            below = []
+            for node in level:
+                for b, deeper in self.children[node].items():
+                    self.fail[deeper] = self._node_after(self.fail[node], b) if node else 0
+                    shorter = self.ends[self.fail[deeper]]
+                    self.ends[deeper] = shorter if own[deeper] < 0 else (own[deeper], *shorter)
+                    below.append(deeper)
+            level = below
         del self._token
 
+    def _node_after(self, node: int, b: int) -> int:
+        """The longest end that begins a label, after one more byte."""
+        while (deeper := self.children[node].get(b)) is None:
+            if not node:
+                return 0
+            node = self.fail[node]
+        return deeper
+
+    def _clear(self) -> None:
+        """An empty transition table: state 0 is the start of a word."""
+        self._states: dict[tuple, int] = {(0, (START,)): 0}
+        self._of, self._last = [(0, (START,))], [START]
+        self._next: dict[int, int] = {}
+        self._arcs = {}
+
     def _forget(self) -> None:
         """The remembered words: sorted hashes, and where each one's tokens stand in the arena."""
         self.known = np.zeros(0, dtype=np.uint64)
@@ -152,11 +183,11 @@ class Automaton:
         self.arena = array("I")
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("known", "known_at", "known_len", "arena", "_arcs")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "known_at", "known_len", "arena", "_arcs", "_states", "_of", "_last", "_next")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
-        self._arcs = {}
+        self._clear()
         self._forget()
 
     def _arc(self, x: int, y: int, t: int) -> bool:
@@ -174,56 +205,48 @@ class Automaton:
                 t, x = made[x], self.right[x]
 
     def arc(self, x: int, y: int) -> bool:
+        """Whether the state behind token x has an arc y."""
         key = x * self.size + y
         known = self._arcs.get(key)
         if known is None:
-            if len(self._arcs) >= ARCS_REMEMBERED:
-                self._arcs.clear()
             known = self._arcs[key] = self._arc(x, y, len(self.made))
         return known
 
+    def _transition(self, state: int, b: int) -> int:
+        """Work out the table's entry for a state and a byte."""
+        node, last = self._of[state]
+        node = self._node_after(node, b)
+        for t in self.ends[node]:
+            before = last[-self.length[t]]
+            if before == START or self.arc(before, t):
+                break
+        else:
+            raise ValueError("the vocabulary can't spell this word")
+        # the last tokens of the prefixes that end inside the node, and of the one it begins behind
+        key = (node, (*last, t)[-self.depth[node] - 1 :])
+        after = self._states.get(key)
+        if after is None:
+            after = self._states[key] = len(self._of)
+            self._of.append(key)
+            self._last.append(t)
+        self._next[state << 8 | b] = after
+        return after
+
     def encode_word(self, word: bytes) -> list[int]:
-        """Tokens of one pre-split word: the path of the automaton that spells it.
-
-        Longer labels are tried first, then the labels that are their prefixes.
-        A prefix of the word has one correct token sequence, so a byte position
-        is reached by one path only: once left, it is dead.
-        """
-        n, size, arcs, children, longest, shorter, length = (
-            len(word), self.size, self._arcs, self.children, self.longest, self.shorter, self.length,
-        )
-        out: list[int] = []
-        at, dead, t = 0, None, -1
-        while at < n:
-            if t < 0:  # first visit of this position
-                node, i = 0, at
-                while i < n:
-                    i += 1
-                    deeper = children[node].get(word[i - 1])
-                    if deeper is None:
-                        break
-                    node = deeper
-                t = longest[node]
-            while t >= 0:
-                if dead is None or at + length[t] not in dead:
-                    if not out:
-                        break
-                    ok = arcs.get(out[-1] * size + t)
-                    if self.arc(out[-1], t) if ok is None else ok:
-                        break
-                t = shorter[t]
-            if t >= 0:
-                out.append(t)
-                at += length[t]
-                t = -1
-            else:
-                dead = dead or set()
-                dead.add(at)
-                back = out.pop()
-                at -= length[back]
-                t = shorter[back]
-                if t < 0 and not out:
-                    raise ValueError("the vocabulary can't spell this word")
+        """Tokens of one pre-split word: one look-up a byte, then the last token of the whole, of what is before it, and so on."""
+        if len(self._of) > STATES:
+            self._clear()
+        table, last, length = self._next, self._last, self.length
+        state, ends = 0, []
+        for b in word:
+            after = table.get(state << 8 | b)
+            state = self._transition(state, b) if after is None else after
+            ends.append(last[state])
+        out, at = [], len(word)
+        while at:
+            out.append(ends[at - 1])
+            at -= length[ends[at - 1]]
+        out.reverse()
         return out
 
     def split(self, c: S.Chunk) -> tuple[np.ndarray, np.ndarray]:

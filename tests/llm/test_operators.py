@@ -290,7 +290,7 @@ def test_a_hash_collision_cannot_pass(monkeypatch, library):
     machine._forget()
 
 
-def test_automaton_gadgets_on_a_tiny_vocabulary():
+def test_automaton_gadgets_on_a_tiny_vocabulary(monkeypatch):
     """All words over a two-letter alphabet: the automaton's one path is what applying the merges in order gives."""
     letters = {v: k for k, v in bpe_module.byte_letters().items()}
     vocab = {letters[b]: b for b in range(256)}
@@ -319,6 +319,13 @@ def test_automaton_gadgets_on_a_tiny_vocabulary():
         for bits in range(2**n):
             word = "".join("ab"[bits >> k & 1] for k in range(n))
             assert machine.encode_word(word.encode()) == plain_bpe(word), word
+    # the table: a word met again is looked up only, and a full one starts anew
+    monkeypatch.setattr(machine, "_transition", None)
+    assert machine.encode_word(b"abbaabab" * 50) == plain_bpe("abbaabab" * 50)
+    monkeypatch.undo()
+    monkeypatch.setattr(bpe_module, "STATES", 3)
+    for word in ("aabbaab", "bbbabaa", "ab" * 20):
+        assert machine.encode_word(word.encode()) == plain_bpe(word) and len(machine._of) < 60
 
 
 @pytest.mark.parametrize("rule", ["first", "most"])
