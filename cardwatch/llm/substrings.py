@@ -7,7 +7,7 @@ is removed, first copies too.
 Any window of 35 words holds a whole block of ``BLOCK`` = 18 words that begins
 at a multiple of 18 in its document, so a window that stands at two places
 shares that block with both.  Three passes over the documents, in chunks of
-whole texts:
+whole texts, of ``CHUNK_BYTES`` or one longer text each:
 
 1. Every chunk sends the hashes of its non-overlapping blocks (the index) and of
    its rolling 18-word windows (the probes), distinct per chunk, to buckets of
@@ -21,8 +21,8 @@ whole texts:
 
 What is shuffled per word is at most 4 bytes in pass 1, and 8 bytes per window
 near an anchor in pass 2; a value that a chunk holds many times is sent once,
-with a flag.  Texts are written once, bucketed by chunk, and never shuffled.  A
-bucket's size falls with ``spark.sql.shuffle.partitions``.  Two different
+with a flag.  Texts are written once, bucketed by chunk, and never shuffled.  There
+are so many buckets that one stands for ``BUCKET_BYTES`` of text at most.  Two different
 windows are taken for equal with a chance of 2^-64 a pair.
 
 Null and empty texts have no words and no kept text; texts shorter than a
@@ -39,7 +39,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,9 +50,9 @@ from cardwatch.llm.spark_io import scratch, text_columns
 
 WINDOW = 35
 BLOCK = (WINDOW + 1) // 2
-CHUNK_ROWS = 1024
-#: Buckets of the hash space for each shuffle partition.
-BUCKETS = 4
+CHUNK_BYTES, CHUNK_ROWS = 2 << 20, 1024
+#: Buckets of the hash space for each shuffle partition, at least; text that one bucket's values come from, at most.
+BUCKETS, BUCKET_BYTES = 4, 64 << 20
 
 _LOW = 30
 _LOW_MASK = S.U64((1 << _LOW) - 1)
@@ -231,12 +233,29 @@ def _finish(with_text: bool):
 _DONE = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 
 
+def _numbered(most: int):
+    """The rows with a chunk number: a chunk ends with CHUNK_ROWS rows or before the text that takes it over ``most`` bytes."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, rows, held = TaskContext.get().partitionId() << 33, 0, 0
+        for b in batches:
+            numbers = []
+            for size in pc.fill_null(pc.binary_length(b.column("text")), 0).to_pylist():
+                if rows and (rows == CHUNK_ROWS or held + size > most):
+                    chunk, rows, held = chunk + 1, 0, 0
+                rows, held = rows + 1, held + size
+                numbers.append(chunk)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(numbers, pa.int64())], names=["doc_id", "text", "chunk"])
+
+    return run
+
+
 def _chunked(docs: DataFrame, n: int) -> DataFrame:
     """The texts with a chunk number, written to the shared folder bucketed by chunk, so that later passes need no shuffle of them."""
     name = f"llm_chunks_{uuid.uuid4().hex}"
     (
         text_columns(docs)
-        .withColumn("chunk", F.floor(F.monotonically_increasing_id() / CHUNK_ROWS).cast("long"))
+        .mapInArrow(_numbered(CHUNK_BYTES), "doc_id long, text string, chunk long")
         .write.bucketBy(n, "chunk")
         .option("path", scratch(docs.sparkSession, "chunks"))
         .format("parquet")
@@ -249,8 +268,9 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """One row per document: words, removed words, digest of the kept words (and the kept text)."""
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = BUCKETS * n
     d = _chunked(docs, n)
+    size = d.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = max(BUCKETS * n, -(-size // BUCKET_BYTES))
     row = "bucket int, chunk long, blob binary"
     by_chunk = d.groupBy("chunk")
     anchors = d.mapInArrow(_probe_rows(buckets), row).groupBy("bucket").applyInArrow(_anchors, row)

@@ -117,6 +117,16 @@ def test_substring_dedup(docs, plain):
     assert remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_chunks_are_cut_by_bytes(spark, monkeypatch, docs, plain):
+    """No group holds more than its bytes, or one text; the result does not depend on the cuts."""
+    whole = {r.doc_id: r.kept_sha256 for r in remove_repeats(docs).collect()}
+    monkeypatch.setattr(substrings, "CHUNK_BYTES", 700)
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 1000)
+    sizes = substrings._chunked(docs, 4).selectExpr("chunk", "coalesce(octet_length(text), 0) AS n").groupBy("chunk").agg({"n": "sum", "chunk": "count"}).collect()
+    assert all(r["sum(n)"] <= 700 or r["count(chunk)"] == 1 for r in sizes) and len(sizes) > 20
+    assert {r.doc_id: r.kept_sha256 for r in remove_repeats(docs).collect()} == whole
+
+
 def brute_components(plain, words, percent):
     sets = {}
     for i, t in plain.items():
