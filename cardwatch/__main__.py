@@ -21,7 +21,7 @@ from cardwatch.plans.daily import Sources, report_of, run_daily
 from cardwatch.plans.report import with_labels
 from cardwatch.session import tune
 from cardwatch.sources.compaction import compact, vacuum
-from cardwatch.sources.feeds import FORMATS, next_day
+from cardwatch.sources.feeds import FAIL, FORMATS, QUARANTINE, next_day
 from cardwatch.sources.store import Store
 from cardwatch.sources.tables import source_parquet, source_table
 
@@ -44,6 +44,8 @@ def main(argv: list[str] | None = None) -> int:
     ld.add_argument("--semantics", choices=["corrected", "literal"], default="corrected")
     ld.add_argument("--terminals-format", choices=FORMATS, default="auto")
     ld.add_argument("--blacklist-format", choices=FORMATS, default="auto")
+    ld.add_argument("--bad-rows", choices=[FAIL, QUARANTINE], default=FAIL, help="what happens to feed lines that do not parse")
+    ld.add_argument("--max-reject-share", type=float, default=0.01, help="share of a day's lines that may be left out")
     rp = sub.add_parser("report", help="print the report of one load date")
     rp.add_argument("--warehouse", required=True)
     rp.add_argument("--date", required=True, help="YYYY-MM-DD")
@@ -79,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
     )
     while True:
         day = next_day(spark, args.feeds, store.ledger(store.effective()),
-                       args.terminals_format, args.blacklist_format)
+                       args.terminals_format, args.blacklist_format, args.bad_rows, args.max_reject_share)
         if day is None:
             return 0
         run = run_daily(spark, store, day, sources, args.semantics)

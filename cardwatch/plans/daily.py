@@ -114,7 +114,11 @@ def _with_earlier(store: Store, feeds: DayFeeds, same: list[Run], known: set[tup
     bl = earlier if bl is None else earlier.unionByName(bl.select(*earlier.columns)).distinct()
     if term is None:
         term = store.staged("stg_terminals", S.STG_TERMINALS, same)
-    return dataclasses.replace(feeds, transactions=tx, blacklist=bl, terminals=term,
+    rejects = feeds.rejects
+    kept = [r for r in same if "rejects" in r.feeds]
+    if kept and not new_tx >= old_tx:  # what the earlier deliveries left out stays on record
+        rejects = store.rejects(kept) if rejects is None else store.rejects(kept).unionByName(rejects)
+    return dataclasses.replace(feeds, transactions=tx, blacklist=bl, terminals=term, rejects=rejects,
                                files=sorted(known | set(feeds.files)))
 
 
@@ -128,7 +132,7 @@ def _late(spark: SparkSession, store: Store, feeds: DayFeeds, semantics: str, wi
     store.write("fact_transactions", run, load_fact_transactions(stg))
     # written again below if the delivery brings entries
     store.write("fact_passport_blacklist", run, spark.createDataFrame([], S.FACT_PASSPORT_BLACKLIST))
-    run = _bounded(run, stg)
+    run = _quarantined(store, _bounded(run, stg), feeds, [stg])
     if semantics == "literal":
         facts = [r for r in effective if r.load_dt <= run.load_dt] + [run]
         return _publish(spark, store, run, feeds.files, semantics, windows, facts, effective)
@@ -137,6 +141,17 @@ def _late(spark: SparkSession, store: Store, feeds: DayFeeds, semantics: str, wi
     return store.commit(run, semantics)
 
 
+def _quarantined(store: Store, run: Run, feeds: DayFeeds, staged: list[DataFrame]) -> Run:
+    """Write the lines left out next to the staged rows; too large a share fails the load."""
+    if feeds.rejects is None:
+        return run
+    bad = store.write("rejects", run, feeds.rejects).count()
+    good = sum(df.count() for df in staged)
+    if bad > feeds.max_reject_share * (bad + good):
+        raise ValueError(f"{bad} of {bad + good} lines of {feeds.load_dt:%Y-%m-%d} do not parse, over the limit of {feeds.max_reject_share:.1%}")
+    return dataclasses.replace(run, feeds=(*run.feeds, "rejects"))
+
+
 def _bounded(run: Run, stg_tx: DataFrame) -> Run:
     bounds = stg_tx.agg(F.min("transaction_date").alias("lo"), F.max("transaction_date").alias("hi")).first()
     return dataclasses.replace(run, tx_min=bounds["lo"], tx_max=bounds["hi"])
@@ -180,6 +195,8 @@ def _full_load(spark: SparkSession, store: Store, feeds: DayFeeds, sources: Sour
     stg_bl = store.write("stg_passport_blacklist", run, load_fact_blacklist(feeds.blacklist, wm[S.WM_BLACKLIST]))
     stg_term = store.write("stg_terminals", run, feeds.terminals)
 
+    run = _quarantined(store, run, feeds, [stg_tx, stg_term])
+
     deltas: dict[str, DataFrame] = {}
     for table, wm_name, spec, src_name in _DIM_LOADS:
         src = getattr(sources, src_name)

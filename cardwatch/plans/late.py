@@ -167,7 +167,7 @@ def load_late(store: Store, run: Run, stg_tx: DataFrame, terminals: DataFrame |
     date, newest = run.load_dt, max(r.load_dt for r in effective)
     old = sorted(effective, key=lambda r: r.run_id)
     last = [r for r in old if r.load_dt == newest and r.kind == "full"][-1]
-    run = dataclasses.replace(run, feeds=tuple(k for k, v in (("transactions", stg_tx), ("terminals", terminals), ("blacklist", blacklist)) if v is not None))
+    run = dataclasses.replace(run, feeds=run.feeds + tuple(k for k, v in (("terminals", terminals), ("blacklist", blacklist)) if v is not None))
     points, cards = stg_tx.select("card_num", F.col("transaction_date").alias("ts")), None
     rebased: list[str] = []
     beside = f"{run.run_id}-newest"

@@ -117,3 +117,11 @@ WM_TERMINALS = "dim_terminals_hist"
 WM_TRANSACTIONS = "fact_transactions"
 WM_BLACKLIST = "fact_passport_blacklist"
 WATERMARK_TABLES = (WM_ACCOUNTS, WM_CARDS, WM_CLIENTS, WM_TERMINALS, WM_TRANSACTIONS, WM_BLACKLIST)
+
+#: Lines of text feeds that could not be loaded.
+REJECTS = T.StructType([
+    T.StructField("feed", T.StringType(), False),
+    T.StructField("file_name", T.StringType(), True),
+    T.StructField("line", T.StringType(), True),
+    T.StructField("reason", T.StringType(), False),
+])

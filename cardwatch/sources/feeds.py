@@ -67,6 +67,26 @@ def text_options(reader, schema: T.StructType, decimal_comma: bool = False):
     return reader.schema(schema).options(header=True, enforceSchema=False, **options)
 
 
+#: What happens to a line that does not parse: the load fails, or the line goes to the rejects and the rest is loaded.
+FAIL, QUARANTINE = "fail", "quarantine"
+_CORRUPT, _FILE = "_corrupt", "_file"
+
+
+def permissive_text(spark: SparkSession, path: str | list[str], schema: T.StructType, feed: str, decimal_comma: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of ``;`` text: lines that fit the schema, and those that do not, with their file and text.
+
+    The header is checked as ever: a file with other columns fails.
+    """
+    reader = text_options(spark.read, T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType(), True)]), decimal_comma)
+    raw = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT).csv(path).select("*", F.col("_metadata.file_name").alias(_FILE))
+    # the scan must be asked for its columns too (always true): it may not be read for the corrupt lines alone
+    read = F.length(F.concat_ws("", *[F.col(f.name).cast("string") for f in schema.fields])) >= 0
+    bad = raw.filter(F.col(_CORRUPT).isNotNull() & read).select(
+        F.lit(feed).alias("feed"), F.col(_FILE).alias("file_name"), F.col(_CORRUPT).alias("line"), F.lit("malformed").alias("reason")
+    )
+    return raw.filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT), bad
+
+
 def clean(df: DataFrame, *more: Column) -> DataFrame:
     """The warehouse dialect stores '' as NULL; ``more`` columns are added."""
     return df.select(*[
@@ -80,6 +100,17 @@ def read_transactions(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return clean(text_options(spark.read, S.STG_TRANSACTIONS, decimal_comma=True).csv(path))
 
 
+def quarantined_transactions(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of the transactions feed: malformed lines, and lines whose id is no whole number."""
+    rows, bad = permissive_text(spark, path, S.STG_TRANSACTIONS, "transactions", decimal_comma=True)
+    names = S.STG_TRANSACTIONS.fieldNames()
+    no_id = F.col("transaction_id").isNotNull() & F.expr("try_cast(transaction_id AS BIGINT)").isNull()
+    rows = clean(rows)
+    line = F.to_csv(F.struct(*names), {"sep": ";", "timestampNTZFormat": _TS_FORMAT})
+    other = rows.filter(no_id).select(F.lit("transactions").alias("feed"), F.col(_FILE).alias("file_name"), line.alias("line"), F.lit("transaction_id").alias("reason"))
+    return rows.filter(~F.coalesce(no_id, F.lit(False))).select(*names), bad.unionByName(other)
+
+
 FORMATS = ("auto", "csv", "parquet", "xlsx")
 
 
@@ -88,8 +119,11 @@ def _format_of(path: str) -> str:
     return ext if ext in ("parquet", "xlsx") else "csv"
 
 
-def _read(spark: SparkSession, path: str | list[str], schema: T.StructType, fmt: str) -> DataFrame:
-    """Files of one feed, each in the format given, or (``auto``) in that of its extension."""
+def _read(spark: SparkSession, path: str | list[str], schema: T.StructType, fmt: str, feed: str, rejects: list[DataFrame] | None) -> DataFrame:
+    """Files of one feed, each in the format given, or (``auto``) in that of its extension.
+
+    With a list ``rejects`` bad lines of text files are added to it instead of failing the load.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"feed format must be one of {FORMATS}")
     by_format: dict[str, list[str]] = {}
@@ -101,14 +135,18 @@ def _read(spark: SparkSession, path: str | list[str], schema: T.StructType, fmt:
             parts.append(read_workbook(spark, paths, schema))
         elif kind == "parquet":
             parts.append(spark.read.schema(schema).parquet(*paths))
+        elif rejects is not None:
+            rows, bad = permissive_text(spark, paths, schema, feed)
+            parts.append(rows.drop(_FILE))
+            rejects.append(bad)
         else:
             parts.append(text_options(spark.read, schema).csv(paths))
     return clean(reduce(DataFrame.unionByName, parts))
 
 
-def read_terminals(spark: SparkSession, path: str | list[str], fmt: str = "auto") -> DataFrame:
+def read_terminals(spark: SparkSession, path: str | list[str], fmt: str = "auto", rejects: list[DataFrame] | None = None) -> DataFrame:
     """stg_terminals rows (S3) of workbooks, ``;`` text or parquet."""
-    return _read(spark, path, S.STG_TERMINALS, fmt)
+    return _read(spark, path, S.STG_TERMINALS, fmt, "terminals", rejects)
 
 
 #: Columns of the blacklist's files.
@@ -118,9 +156,9 @@ BLACKLIST_FILE = T.StructType([
 ])
 
 
-def read_blacklist(spark: SparkSession, path: str | list[str], fmt: str = "auto") -> DataFrame:
+def read_blacklist(spark: SparkSession, path: str | list[str], fmt: str = "auto", rejects: list[DataFrame] | None = None) -> DataFrame:
     """(entry_dt, passport_num) from the blacklist file's (date, passport) (S2): a workbook, ``;`` text or parquet."""
-    df = _read(spark, path, BLACKLIST_FILE, fmt)
+    df = _read(spark, path, BLACKLIST_FILE, fmt, "blacklist", rejects)
     return df.select(F.col("date").alias("entry_dt"), F.col("passport").alias("passport_num"))
 
 
@@ -163,6 +201,8 @@ class DayFeeds:
     terminals: DataFrame | None
     blacklist: DataFrame | None
     files: list[tuple[str, str]]   # (feed, file_name) consumed by this day
+    rejects: DataFrame | None = None   # lines left out (``S.REJECTS``); None: a bad line fails the load
+    max_reject_share: float = 0.01     # of a delivery's lines; more fail the load
 
 
 GLOBS = {"transactions": TRANSACTIONS_GLOB, "terminals": TERMINALS_GLOB, "blacklist": BLACKLIST_GLOB}
@@ -180,7 +220,7 @@ def check_complete(by_feed: dict, load_dt: _dt.datetime, newest: _dt.datetime |
 
 
 def next_day(spark: SparkSession, directory: str, ledger: DataFrame, terminals_fmt: str = "auto",
-             blacklist_fmt: str = "auto") -> DayFeeds | None:
+             blacklist_fmt: str = "auto", bad_rows: str = FAIL, max_reject_share: float = 0.01) -> DayFeeds | None:
     """The earliest day with unconsumed files, and all of its unconsumed files.
 
     The source takes an arbitrary first match per feed and the date from the
@@ -204,10 +244,18 @@ def next_day(spark: SparkSession, directory: str, ledger: DataFrame, terminals_f
         by_feed.setdefault(r["feed"], []).append(r["path"])
     check_complete(by_feed, first, newest_load(ledger))
     paths = by_feed.get
+    rejects: list[DataFrame] | None = [] if bad_rows == QUARANTINE else None
+    if paths("transactions") and rejects is not None:
+        transactions, bad = quarantined_transactions(spark, paths("transactions"))
+        rejects.append(bad)
+    else:
+        transactions = read_transactions(spark, paths("transactions")) if paths("transactions") else None
     return DayFeeds(
         load_dt=first,
-        transactions=read_transactions(spark, paths("transactions")) if paths("transactions") else None,
-        terminals=read_terminals(spark, paths("terminals"), terminals_fmt) if paths("terminals") else None,
-        blacklist=read_blacklist(spark, paths("blacklist"), blacklist_fmt) if paths("blacklist") else None,
+        transactions=transactions,
+        terminals=read_terminals(spark, paths("terminals"), terminals_fmt, rejects) if paths("terminals") else None,
+        blacklist=read_blacklist(spark, paths("blacklist"), blacklist_fmt, rejects) if paths("blacklist") else None,
         files=[(r["feed"], r["file_name"]) for r in day],
+        rejects=None if rejects is None else reduce(DataFrame.unionByName, rejects, spark.createDataFrame([], S.REJECTS)),
+        max_reject_share=max_reject_share,
     )

@@ -347,6 +347,10 @@ class Store:
         stored = _with_field(schema, "run_id", T.StringType())
         return self._read(table, stored, [r.run_id for r in runs]).withColumn(LOADED, _date_of_folder()).drop("run_id")
 
+    def rejects(self, runs: list[Run]) -> DataFrame:
+        """Feed lines that runs left out."""
+        return self.staged("rejects", S.REJECTS, [r for r in runs if "rejects" in r.feeds])
+
     def meta(self, runs: list[Run]) -> DataFrame:
         parts = [(r, p) for r, p in self._parts("meta_data", runs) if self.bears(r, "meta_data")]
         if not parts:
