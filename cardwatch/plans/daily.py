@@ -5,7 +5,7 @@ rows, load the dimensions (insert, close), the facts, the tombstones, advance
 the watermarks, build the report; then commit.  Every step is a lazy plan;
 each table is written once into the run's directory and read back from the
 files, so a lost executor recomputes from written data, not from the whole
-lineage.  Nothing is visible to readers until the manifest row is written.
+lineage.  Nothing is visible to readers until the commit-log entry is written.
 
 ``semantics="corrected"`` (default) uses the corrected operators (C5c, C7,
 guarded fact watermarks, the as-of report); ``"literal"`` reproduces the
@@ -159,7 +159,7 @@ def _bounded(run: Run, stg_tx: DataFrame) -> Run:
 
 def _publish(spark: SparkSession, store: Store, run: Run, files: list[tuple[str, str]], semantics: str,
              windows: Windows, facts: list[Run], dims: list[Run]) -> Run:
-    """Report over the facts and dimensions of the given runs, ledger, manifest.
+    """Report over the facts and dimensions of the given runs, ledger, commit.
 
     Runs that hold no operation after (load date - longest rule window) are not opened.
     """

@@ -8,7 +8,7 @@ Files carry their date as ``..._DDMMYYYY.<ext>``.  Readers take explicit
 schemas, fail fast on a malformed row, and check the header against the
 schema.  Instead of moving consumed files away (the source renames them into
 an archive before loading, and loses them if the load fails), consumption is
-recorded in a ledger written together with the run's manifest; unconsumed
+recorded in a ledger committed together with the run; unconsumed
 files are found with a ``left_anti`` join against it.
 """
 

@@ -6,7 +6,7 @@ import contextlib
 import io
 
 from cardwatch.operators.extract import incremental_extract, key_snapshot
-from cardwatch.operators.probing import probing_ids
+from cardwatch.operators.probing import probing_ids, probing_points
 from cardwatch.operators.scd2 import CLIENTS, scd2_load
 from cardwatch.operators.velocity import city_ops, velocity_ids
 from cardwatch.plans.catalog import q_classify_per_card, q_fraud_report, q_fraud_report_asof, q_scd2_full
@@ -46,6 +46,13 @@ def test_rule_shuffles_are_keyed_by_card_and_time_bin(spark, sf_small):
     assert "MapInArrow" in p and "hashpartitioning(card_num" in p and "_bin#" in p
 
 
+def test_probing_reads_its_points_once(spark, sf_small):
+    """One exchange by (card, bin) above the one that collapses copies; no second pass over the points."""
+    txt = plan(probing_points(DriverTables(spark, sf_small).tx))
+    keyed = [ln for ln in txt.splitlines() if "hashpartitioning(card_num" in ln and "_bin#" in ln]
+    assert len(keyed) == 1 and txt.split("\n\n\n")[0].count("Exchange") == 2 and "Join" not in txt, txt
+
+
 def test_dimension_load_skips_closed_history(spark, tmp_path):
     feeds = tmp_path / "feeds"
     feeds.mkdir()
