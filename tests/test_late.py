@@ -99,7 +99,7 @@ def world(folder, seed, days=3):
         write_feeds(folder, day, tx, terms, listed)
 
 
-@pytest.mark.parametrize(("seed", "orders"), [(1, [(2, 1, 0), (1, 0, 2)]), (2, [(2, 0, 1)])])
+@pytest.mark.parametrize(("seed", "orders"), [(1, [(2, 1, 0)]), (2, [(2, 0, 1)])])
 def test_any_order_of_arrival_gives_the_same_state(spark, tmp_path, seed, orders):
     src = tmp_path / "all"
     src.mkdir()
