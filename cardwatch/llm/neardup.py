@@ -12,10 +12,11 @@
 3. *Pairs.*  Each list pairs its members with its smallest document, a long one
    also with two chosen by hash.  The links found make components.  Where the
    members then lie in several components, each one outside the largest is paired
-   with one of it, another in every list; and what is left apart is paired with
-   all others, unless the parity bitmaps of their shingles rule the pair
-   out; so every pair of a list is joined already, ruled out by that exact bound,
-   or tested.  No list is cut.
+   with one of it, another in every list.  What is left apart is paired with all
+   others where a list has up to ``FEW_APART`` such members; the members of the
+   other lists meet by the rarest shingles of their full sets (below).  Parity
+   bitmaps rule pairs out before they are tested; so every pair of a list is joined
+   already, ruled out by an exact bound, or tested.  No list is cut.
 4. *Filter and verify.*  The bottom-k sketch of the union estimates the
    similarity of a pair; what passes is verified on the full sets.
 
@@ -24,6 +25,13 @@ so with J at the threshold fewer than t of k are shared with a chance below
 ``MISS`` per pair, the only way to lose a link.  For sets smaller than k the
 bound is exact.
 
+Rarest shingles: a set of n shingles shares at least ``ceil(n * percent / 100)``
+with a partner, so at least one of any other ``n - that + 1`` is among the shared
+ones.  Each set takes its rarest ones, counted over the sets that are compared;
+those that no other set holds take places and meet nothing.  Unlike members of a
+list thus cost rows in proportion to their shingles, not to the pairs.  Sets that
+consist of common shingles but for a few still meet each other.
+
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z.  A text with fewer words
 than a shingle has its whole sequence as one shingle; a null or empty text has
 no set, is linked with nothing and is kept, as is a row without a doc_id.
@@ -38,7 +46,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterable, Iterator
-from functools import reduce
+from functools import partial, reduce
 from operator import add
 
 import numpy as np
@@ -54,6 +62,7 @@ from cardwatch.llm.spark_io import text_columns, written
 SKETCH = 48
 MISS = 1e-10
 LONG_LIST = 32
+FEW_APART = 32
 
 
 def shared_at_least(k: int, percent: int) -> int:
@@ -226,22 +235,57 @@ def _round_pairs(mixed: DataFrame, tested: DataFrame, percent: int) -> DataFrame
     return _ordered(pairs).join(tested, ["a", "b"], "left_anti")
 
 
-def _rest_pairs(mixed: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+def _rest_pairs(mixed: DataFrame, tested: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of one list that lie in different components, can be similar and are not tested yet."""
-    outside = mixed.filter("component != largest").select(
-        "value", F.col("id").alias("x"), F.col("n").alias("m"), F.col("component").alias("other"),
-        *(F.col(p).alias(f"x{p}") for p in PARITY),
-    )
-    pairs = (
-        mixed.join(outside, "value")
+    outside = mixed.filter("component != largest")
+    apart = outside.groupBy("value").agg(F.count("*").alias("apart"))
+    few = mixed.join(apart.filter(F.col("apart") <= FEW_APART).select("value"), "value", "left_semi")
+    other = few.filter("component != largest").select("value", *_other())
+    near = (
+        few.join(other, "value")
+        .filter((F.col("component") != F.col("xcomponent")) & _possible(percent))
         # a pair outside the largest component is met from both ends; one is enough
-        .filter((F.col("component") != F.col("other")) & _possible(percent))
         .filter((F.col("component") == F.col("largest")) | (F.col("id") < F.col("x")))
-        .withColumnRenamed("id", "y")
     )
+    many = mixed.join(apart.filter(F.col("apart") > FEW_APART).select("value"), "value", "left_semi")
+    met = _met_by_rarest(many, sets, percent).filter((F.col("component") != F.col("xcomponent")) & _possible(percent))
+    pairs = near.select("x", F.col("id").alias("y")).union(met.select("x", F.col("id").alias("y")))
     return _ordered(pairs).join(tested, ["a", "b"], "left_anti")
 
 
+def _other() -> list:
+    """The columns of a pair's other member."""
+    renamed = {"id": "x", "n": "m", "component": "xcomponent", **{p: f"x{p}" for p in PARITY}}
+    return [F.col(c).alias(d) for c, d in renamed.items()]
+
+
+def _met_by_rarest(many: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members, one outside its list's largest component, that share one of their rarest shingles."""
+    of_member = ["n", "component", *PARITY]
+    # a member is compared once, however many lists hold it
+    members = written(
+        many.groupBy("id").agg(*(F.first(c).alias(c) for c in of_member), F.max(F.col("component") != F.col("largest")).alias("apart")),
+        "members",
+    )
+    held = members.select("id").join(sets.select(F.col("doc_id").alias("id"), "shingles"), "id")
+    held = written(held.select("id", F.explode("shingles").alias("shingle")), "shingles")
+    common = held.groupBy("shingle").agg(F.count("*").alias("held")).filter("held > 1")
+    rarest = (
+        held.join(common, "shingle")
+        .groupBy("id")
+        .agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("rare"))
+        .join(members, "id")
+        # shingles that no other member holds are the rarest, and meet nothing
+        .withColumn("take", F.size("rare") - F.ceil(F.col("n") * percent / 100) + 1)
+        .filter("take > 0")
+        .withColumn("shingle", F.explode(F.slice("rare", F.lit(1), F.col("take").cast("int"))["shingle"]))
+    )
+    rarest = written(rarest.select("shingle", "id", *of_member, "apart"), "rarest")
+    other = rarest.filter("apart").select("shingle", *_other())
+    # pairs of two members apart are met from both ends; one is enough
+    return rarest.join(other, "shingle").filter((F.col("id") != F.col("x")) & (~F.col("apart") | (F.col("id") < F.col("x"))))
+
+
 def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs whose union sketch allows the similarity."""
     t = shared_at_least(SKETCH, percent)
@@ -286,8 +330,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = written(_verified(_estimated(star, reps, percent), sets, percent), "found")
     labels = components(links)
     tested = star
-    for pairs_of in (_round_pairs, _rest_pairs):
-        pairs = written(pairs_of(_mixed(lists, labels, sets), tested, percent), "pairs")
+    for pairs_of in (_round_pairs, partial(_rest_pairs, sets=sets)):
+        pairs = written(pairs_of(_mixed(lists, labels, sets), tested, percent=percent), "pairs")
         tested = tested.union(pairs)
         found = written(_verified(_estimated(pairs, reps, percent), sets, percent), "found")
         if found.take(1):

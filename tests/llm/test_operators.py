@@ -172,6 +172,63 @@ def test_near_duplicates_in_a_large_group(spark):
     assert 1 < len(set(label.values())) < 160
 
 
+def list_of(spark, sets):
+    """One inverted list that holds all these sets, each its own component: what _rest_pairs takes."""
+    import numpy as np
+    import pandas as pd
+
+    flat = np.concatenate([np.array(sorted(s), dtype=np.uint64) for s in sets])
+    first = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    bits = dict(zip(neardup.PARITY, neardup.parity(flat, first), strict=True))
+    ids = np.arange(len(sets))
+    mixed = pd.DataFrame({"value": 1, "id": ids, "n": np.diff(first), "component": ids, "largest": 0, **bits})
+    full = pd.DataFrame({"doc_id": ids, "shingles": [sorted(s) for s in sets], **bits})
+    longs = ", ".join(f"{p} long" for p in neardup.PARITY)
+    return (
+        spark.createDataFrame(mixed, f"value long, id long, n long, component long, largest long, {longs}"),
+        spark.createDataFrame(full, f"doc_id long, shingles array<long>, {longs}"),
+        spark.createDataFrame([], "a long, b long"),
+    )
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+@pytest.mark.parametrize("percent", [60, 85])
+def test_members_that_stayed_apart_all_meet(spark, monkeypatch, few, percent):
+    """Both ways of pairing find every pair of a list that reaches the similarity."""
+    monkeypatch.setattr(neardup, "FEW_APART", few)
+    rnd = random.Random(percent)
+    shared = [rnd.sample(range(1, 2**62), 12) for _ in range(6)]
+    sets = []
+    while len(sets) < 240:
+        if sets and rnd.random() < 0.5:  # an edit of an earlier one, often near the threshold
+            s = set(rnd.choice(sets))
+            for x in rnd.sample(sorted(s), max(1, len(s) * rnd.randrange(1, 25) // 100)):
+                s.remove(x)
+                s |= {rnd.randrange(1, 2**62) for _ in range(rnd.randrange(2))}
+        else:
+            s = {x for c in rnd.sample(shared, rnd.randrange(3)) for x in c} | {rnd.randrange(1, 2**62) for _ in range(rnd.randrange(1, 30))}
+        if s:
+            sets.append(s)
+    mixed, full, none = list_of(spark, sets)
+    got = neardup._verified(neardup._rest_pairs(mixed, none, full, percent), full, percent)
+    want = {(a, b) for a in range(240) for b in range(a + 1, 240) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    assert len(want) > 50
+    assert sorted((r.a, r.b) for r in got.collect()) == sorted(want)
+
+
+def test_a_long_list_of_unlike_members_is_not_paired_off(spark):
+    """20,000 members that share a passage: only the planted near copies are compared."""
+    rnd = random.Random(3)
+    passage = rnd.sample(range(1, 2**62), 6)
+    sets = [passage + rnd.sample(range(1, 2**62), 14) for _ in range(20000)]
+    planted = [(k, 19999 - k) for k in range(40)]
+    for a, b in planted:
+        sets[b] = sets[a][:-1] + sets[b][-1:]
+    mixed, full, none = list_of(spark, sets)
+    assert neardup._met_by_rarest(mixed, full, 85).count() <= 20 * len(planted)
+    assert sorted((r.a, r.b) for r in neardup._rest_pairs(mixed, none, full, 85).collect()) == planted
+
+
 def test_near_duplicates_edges(spark):
     df = spark.createDataFrame([(None, "a b c d"), (1, "a b c d"), (1, "a b c d"), (2, "A B c d"), (3, None), (4, "")], "doc_id long, text string")
     rows = sorted(map(tuple, near_duplicates(df, 3, 85).collect()), key=str)
