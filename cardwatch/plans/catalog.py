@@ -23,6 +23,7 @@ from cardwatch.operators.extract import (
     read_watermark,
 )
 from cardwatch.operators.facts import load_fact_blacklist, load_fact_transactions
+from cardwatch.operators.digests import missing_keys_by_digest, scd2_delete_by_digest
 from cardwatch.operators.joins import asof_dim_chain, dim_chain_join, in_list_flag, missing_keys, trimmed_key_join
 from cardwatch.operators.probing import probing_anchor, probing_ids
 from cardwatch.operators.rules import (
@@ -141,6 +142,12 @@ def q_scd2_delete(spark, d):
     return scd2_delete(t.hist, _keys(t), LOAD_DT, CLIENTS)
 
 
+def q_scd2_delete_by_digest(spark, d):
+    """C5 again; rows whose group of keys agrees with the source pass through without a shuffle."""
+    t = _t(spark, d)
+    return scd2_delete_by_digest(t.hist, _keys(t), LOAD_DT, CLIENTS)
+
+
 def q_scd2_delete_corrected(spark, d):
     t = _t(spark, d)
     return scd2_delete(t.hist, _keys(t), LOAD_DT, CLIENTS, corrected=True)
@@ -214,6 +221,12 @@ def q_anti_join_missing_keys(spark, d):
     return missing_keys(t.hist, _keys(t), "client_id").select("client_id", "effective_from")
 
 
+def q_missing_keys_by_digest(spark, d):
+    """J2 again; only keys of groups whose digests differ are joined."""
+    t = _t(spark, d)
+    return missing_keys_by_digest(t.hist, _keys(t), "client_id").select("client_id", "effective_from")
+
+
 def q_in_blacklist_flag(spark, d):
     t = _t(spark, d)
     return in_list_flag(t.cl.select("client_id", "passport_num"), "passport_num", t.bl.select("passport_num"),

@@ -413,3 +413,5 @@ SQL["advance_watermarks_empty_feed"] = _with_meta(f"""SELECT CASE table_name WHE
         THEN (SELECT max(entry_dt) FROM bl WHERE entry_dt > {OPEN})
         WHEN 'fact_transactions' THEN (SELECT max(transaction_date) FROM stg_tx) ELSE last_update_dt END AS last_update_dt,
     dbname, table_name FROM meta""")
+SQL["missing_keys_by_digest"] = SQL["anti_join_missing_keys"]
+SQL["scd2_delete_by_digest"] = SQL["scd2_delete"]

@@ -18,7 +18,7 @@ def con(sf_small):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL) and set(QUERIES) <= set(E.queries())
-    assert len(QUERIES) == 44
+    assert len(QUERIES) == 46
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
