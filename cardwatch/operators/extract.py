@@ -118,3 +118,21 @@ def advance_watermarks(
         .otherwise(F.col("u.new_dt"))
     )
     return m.select(new_value.alias("last_update_dt"), "dbname", "table_name")
+
+
+def advance_watermarks_to(
+    meta: DataFrame, reached: Mapping[str, _dt.datetime | None], literal: bool = False, dbname: str = S.META_DB
+) -> DataFrame:
+    """As :func:`advance_watermarks`, from the newest times that the load itself observed (six at most).
+
+    A table that is not in ``reached`` keeps its watermark; one without a newest
+    time (nothing was loaded) keeps it too, but for the facts with ``literal``.
+    """
+    value = F.col("last_update_dt")
+    for table, newest in reached.items():
+        own = (F.col("dbname") == dbname) & (F.col("table_name") == table)
+        if newest is not None:
+            value = F.when(own, ts_lit(newest)).otherwise(value)
+        elif literal and table in (S.WM_BLACKLIST, S.WM_TRANSACTIONS):
+            value = F.when(own, F.lit(None).cast("timestamp_ntz")).otherwise(value)
+    return meta.select(value.alias("last_update_dt"), "dbname", "table_name")

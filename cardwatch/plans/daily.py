@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch import schemas as S
-from cardwatch.operators.extract import advance_watermarks, incremental_extract, key_snapshot
+from cardwatch.operators.extract import advance_watermarks_to, change_ts, incremental_extract, key_snapshot
 from cardwatch.operators.facts import load_fact_blacklist, load_fact_transactions
 from cardwatch.operators.scd2 import (
     ACCOUNTS,
@@ -128,11 +128,11 @@ def _late(spark: SparkSession, store: Store, feeds: DayFeeds, semantics: str, wi
     run = Run(store.new_run_id(feeds.load_dt), feeds.load_dt, kind="late", reports=(feeds.load_dt,),
               feeds=("transactions",) if feeds.transactions is not None else (), read_version=version)
     tx = feeds.transactions
-    stg = store.write("stg_transactions", run, tx if tx is not None else spark.createDataFrame([], S.STG_TRANSACTIONS))
+    stg, run = _staged(store, run, tx if tx is not None else spark.createDataFrame([], S.STG_TRANSACTIONS))
     store.write("fact_transactions", run, load_fact_transactions(stg))
     # written again below if the delivery brings entries
     store.write("fact_passport_blacklist", run, spark.createDataFrame([], S.FACT_PASSPORT_BLACKLIST))
-    run = _quarantined(store, _bounded(run, stg), feeds, [stg])
+    run = _quarantined(store, run, feeds, [stg])
     if semantics == "literal":
         facts = [r for r in effective if r.load_dt <= run.load_dt] + [run]
         return _publish(spark, store, run, feeds.files, semantics, windows, facts, effective)
@@ -152,9 +152,11 @@ def _quarantined(store: Store, run: Run, feeds: DayFeeds, staged: list[DataFrame
     return dataclasses.replace(run, feeds=(*run.feeds, "rejects"))
 
 
-def _bounded(run: Run, stg_tx: DataFrame) -> Run:
-    bounds = stg_tx.agg(F.min("transaction_date").alias("lo"), F.max("transaction_date").alias("hi")).first()
-    return dataclasses.replace(run, tx_min=bounds["lo"], tx_max=bounds["hi"])
+def _staged(store: Store, run: Run, tx: DataFrame) -> tuple[DataFrame, Run]:
+    """The staged operations, and the run with the range of their times."""
+    date = F.col("transaction_date")
+    stg, seen = store.write_observed("stg_transactions", run, tx, lo=F.min(date), hi=F.max(date))
+    return stg, dataclasses.replace(run, tx_min=seen["lo"], tx_max=seen["hi"])
 
 
 def _publish(spark: SparkSession, store: Store, run: Run, files: list[tuple[str, str]], semantics: str,
@@ -191,18 +193,21 @@ def _full_load(spark: SparkSession, store: Store, feeds: DayFeeds, sources: Sour
         raise ValueError(f"watermark missing or NULL for {missing}")
 
     # staging: what this run reads, written once so every step sees the same rows
-    stg_tx = store.write("stg_transactions", run, feeds.transactions)
-    stg_bl = store.write("stg_passport_blacklist", run, load_fact_blacklist(feeds.blacklist, wm[S.WM_BLACKLIST]))
+    reached: dict[str, _dt.datetime | None] = {S.WM_TERMINALS: load_dt + _dt.timedelta(days=1)}
+    stg_tx, run = _staged(store, run, feeds.transactions)
+    listed = load_fact_blacklist(feeds.blacklist, wm[S.WM_BLACKLIST])
+    stg_bl, seen = store.write_observed("stg_passport_blacklist", run, listed, newest=F.max("entry_dt"))
+    reached |= {S.WM_TRANSACTIONS: run.tx_max, S.WM_BLACKLIST: seen["newest"]}
     stg_term = store.write("stg_terminals", run, feeds.terminals)
 
     run = _quarantined(store, run, feeds, [stg_tx, stg_term])
 
-    deltas: dict[str, DataFrame] = {}
     for table, wm_name, spec, src_name in _DIM_LOADS:
         src = getattr(sources, src_name)
-        delta = store.write(f"stg_{src_name}", run, incremental_extract(src, wm[wm_name]))
+        changed = incremental_extract(src, wm[wm_name])
+        delta, seen = store.write_observed(f"stg_{src_name}", run, changed, newest=F.max(change_ts()))
         keys = store.write(f"stg_{src_name}_del", run, key_snapshot(src, spec.source_key))
-        deltas[wm_name] = delta
+        reached[wm_name] = seen["newest"]
         hist = store.dim(table, base)
         store.write_dim(table, run, scd2_load(hist, delta, keys, load_dt, spec, corrected=not literal))
 
@@ -215,10 +220,7 @@ def _full_load(spark: SparkSession, store: Store, feeds: DayFeeds, sources: Sour
     store.write("fact_passport_blacklist", run, stg_bl.select("entry_dt", "passport_num"))
     store.write("fact_transactions", run, load_fact_transactions(stg_tx))
 
-    new_meta = advance_watermarks(meta, deltas, load_dt + _dt.timedelta(days=1), stg_bl, stg_tx, literal=literal)
-    store.write("meta_data", run, new_meta)
-
-    run = _bounded(run, stg_tx)
+    store.write("meta_data", run, advance_watermarks_to(meta, reached, literal=literal))
     return _publish(spark, store, run, feeds.files, semantics, windows, base + [run], base + [run])
 
 

@@ -41,7 +41,7 @@ import datetime as _dt
 import uuid
 from dataclasses import asdict, dataclass, field, fields, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -376,6 +376,18 @@ class Store:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_observed(self, table: str, run: Run | str, df: DataFrame, **times: Column) -> tuple[DataFrame, dict[str, _dt.datetime | None]]:
+        """As :meth:`write`, with the values of these aggregates over the written rows, taken by the same pass.
+
+        Only for minima and maxima of timestamps: a task that runs twice may be
+        observed twice, which changes neither.
+        """
+        seen = Observation()
+        text = {k: c.cast("string").alias(k) for k, c in times.items()}  # zone-free
+        out = self.write(table, run, df.observe(seen, *text.values()))
+        values = seen.get
+        return out, {k: _date(values.get(k)) for k in times}
+
     @staticmethod
     def dim_output(table: str, hist: DataFrame) -> DataFrame:
         """What a run writes for a dimension: the open set and the versions
