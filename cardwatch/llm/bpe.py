@@ -35,18 +35,18 @@ collision cannot pass: such a chunk is encoded word by word.
 
 Null texts are empty: no token, and the digests of nothing.  Copies of a row
 give the same row again; an empty table gives an empty table; further columns
-are ignored.  The vocabulary file is a parameter, read once by the driver and
-sent to the executors (its size is that of the vocabulary).
+are ignored.  The vocabulary file is a parameter, read by the driver, compiled by
+a task and sent to the executors (its size is that of the vocabulary).
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import pickle
 import re
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +58,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardwatch.llm import scan as S
 from cardwatch.llm.spark_io import text_columns
+from cardwatch.session import ship_package
 
 START = -1
 LETTER, NUMBER, OTHER, SPACE, BREAK = range(5)
@@ -67,6 +68,8 @@ WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x20
 REMEMBERED = 2_000_000
 #: Byte states of the transition table of a worker.
 STATES = 200_000
+#: Code points classified together.
+BLOCK = 1 << 13
 
 
 def default_vocabulary() -> str:
@@ -85,10 +88,13 @@ def byte_letters() -> dict[str, int]:
 def code_point_classes() -> np.ndarray:
     """Class of every code point, as the patterns of the public tokenizers library see it (its Unicode version)."""
     classes = np.full(0x110000, OTHER, dtype=np.uint8)
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    for pattern, kind in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER)):
-        for run, _ in Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(every):
-            classes[[ord(x) for x in run]] = kind
+    patterns = [(Split(Regex(pattern), "removed", invert=True), kind) for pattern, kind in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER))]
+    # a block at a time: the library keeps an alignment of every byte
+    for block in np.split(np.concatenate((np.arange(0xD800), np.arange(0xE000, 0x110000))), range(BLOCK, 0x10F800, BLOCK)):
+        text = "".join(map(chr, block.tolist()))
+        for pattern, kind in patterns:
+            for run, _ in pattern.pre_tokenize_str(text):
+                classes[[ord(x) for x in run]] = kind
     classes[WHITE_SPACE] = SPACE
     return classes
 
@@ -354,13 +360,38 @@ def _gather(source: np.ndarray, at: np.ndarray, lens: np.ndarray) -> tuple[np.nd
     return source[np.arange(total, dtype=np.int64) + np.repeat(shift, lens)], lens
 
 
+class Pickled:
+    """An object in its pickled form: the driver passes the bytes on, what unpickles them gets the object."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+
+    def __reduce__(self):
+        return pickle.loads, (self.data,)
+
+
 def automaton(spark: SparkSession, vocabulary: str | None = None) -> Broadcast:
-    """The compiled automaton on every executor; its size is bound by the vocabulary file."""
-    return spark.sparkContext.broadcast(_compiled(vocabulary or default_vocabulary()))
+    """The compiled automaton on every executor; its size is bound by the vocabulary file.
+
+    A task compiles it: the driver holds the vocabulary's text and the pickled
+    tables for the time of the call, never the automaton itself.
+    """
+    ship_package(spark)
+    with open(vocabulary or default_vocabulary(), encoding="utf-8") as f:
+        text = spark.sparkContext.broadcast(f.read())
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            machine = pickle.dumps(Automaton(text.value), pickle.HIGHEST_PROTOCOL)
+            yield pa.RecordBatch.from_arrays([pa.array([machine] * b.num_rows, pa.binary())], names=["automaton"])
+        S.give_back()
+
+    row = spark.range(0, 1, 1, 1).mapInArrow(run, "automaton binary").first()
+    return spark.sparkContext.broadcast(Pickled(bytes(row["automaton"])))
 
 
-@lru_cache(maxsize=2)
 def _compiled(path: str) -> Automaton:
+    """The automaton in this process."""
     with open(path, encoding="utf-8") as f:
         return Automaton(f.read())
 

@@ -28,6 +28,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -173,27 +174,31 @@ def _examples(chosen: np.ndarray):
     return run
 
 
-def fit(examples: list[tuple[int, list[int], list[list[int]]]], n: int, mu: float = MU) -> tuple[np.ndarray, float]:
-    """Weights and intercept by adaptive gradient steps over all examples."""
-    y = np.array([e[0] for e in examples], dtype=float)
-    toxic, clean = int((y == 1).sum()), int((y == 0).sum())
-    if not toxic or not clean or not n:
-        return np.zeros(n), math.log((toxic + 0.5) / (clean + 0.5))
-    row = np.repeat(np.arange(len(y)), [len(e[1]) for e in examples])
-    col = np.array([f for e in examples for f in e[1]], dtype=np.int64)
-    share = np.where(y == 1, 0.5 / toxic, 0.5 / clean)
-    pairs = [(set(e[1]), set(s)) for e in examples for s in e[2]]
-    d_row = np.array([i for i, (x, s) in enumerate(pairs) for _ in x ^ s], dtype=np.int64)
-    d_col = np.array([f for x, s in pairs for f in sorted(x ^ s)], dtype=np.int64)
-    d_val = np.array([1.0 if f in x else -1.0 for x, s in pairs for f in sorted(x ^ s)])
+def fit(toxic: pa.Array, features: pa.ListArray, swapped: pa.ListArray, n: int, mu: float = MU) -> tuple[np.ndarray, float]:
+    """Weights and intercept by adaptive gradient steps over all examples: labels, features and the features of the swaps."""
+    y = toxic.to_numpy(zero_copy_only=False).astype(float)
+    positive, negative = int((y == 1).sum()), int((y == 0).sum())
+    if not positive or not negative or not n:
+        return np.zeros(n), math.log((positive + 0.5) / (negative + 0.5))
+    row, col = pc.list_parent_indices(features).to_numpy(), pc.list_flatten(features).to_numpy().astype(np.int64)
+    share = np.where(y == 1, 0.5 / positive, 0.5 / negative)
+    pairs, changes, signs = 0, [], []
+    for i in np.flatnonzero(pc.list_value_length(swapped).to_numpy(zero_copy_only=False)).tolist():
+        x = np.array(features[i].as_py(), dtype=np.int64)
+        for s in swapped[i].as_py():
+            changes.append(np.setxor1d(x, np.array(s, dtype=np.int64)))
+            signs.append(np.where(np.isin(changes[-1], x), 1.0, -1.0))
+            pairs += 1
+    d_row = np.repeat(np.arange(pairs), [len(x) for x in changes])
+    d_col, d_val = (np.concatenate(x) if pairs else np.zeros(0, np.int64) for x in (changes, signs))
     w, b, g2, b2 = np.zeros(n), 0.0, np.full(n, 1e-8), 1e-8
     for _ in range(STEPS):
         z = np.bincount(row, weights=w[col], minlength=len(y)) + b
         e = (_sigmoid(z) - y) * share
         g = np.bincount(col, weights=e[row], minlength=n) + RIDGE * w
         if len(d_col):
-            change = np.bincount(d_row, weights=d_val * w[d_col], minlength=len(pairs))
-            g += np.bincount(d_col, weights=d_val * change[d_row], minlength=n) * (2 * mu / len(pairs))
+            change = np.bincount(d_row, weights=d_val * w[d_col], minlength=pairs)
+            g += np.bincount(d_col, weights=d_val * change[d_row], minlength=n) * (2 * mu / pairs)
         g2 += g * g
         w -= RATE * g / np.sqrt(g2)
         b2 += e.sum() ** 2
@@ -205,6 +210,10 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks else pa.array([], column.type)
+
+
 def train(docs: DataFrame, labels: DataFrame, mu: float = MU, size: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
     """Chosen features, their weights, the intercept."""
     rows = sample(text_columns(docs), labels, size)
@@ -213,9 +222,11 @@ def train(docs: DataFrame, labels: DataFrame, mu: float = MU, size: int = SAMPLE
     chosen = choose_features(rows, toxic, clean, FEATURES) if toxic and clean else np.zeros(0, np.int64)
     if not len(chosen):
         return chosen, np.zeros(0), math.log((toxic + 0.5) / (clean + 0.5))
-    # at most 2 * size rows of at most FEATURES numbers each, and two swaps of them
-    got = rows.mapInArrow(_examples(chosen), "toxic int, features array<int>, swapped array<array<int>>").collect()
-    w, b = fit([(r["toxic"], r["features"], r["swapped"]) for r in got], len(chosen), mu)
+    # at most 2 * size rows of at most FEATURES numbers each, and two swaps of them; four bytes a number, no Python object for each
+    got = rows.mapInArrow(_examples(chosen), "toxic int, features array<int>, swapped array<array<int>>").toArrow().combine_chunks()
+    w, b = fit(*(_one(got.column(c)) for c in ("toxic", "features", "swapped")), len(chosen), mu)
+    del got
+    S.give_back()
     return chosen, w, b
 
 
