@@ -63,6 +63,7 @@ SKETCH = 48
 MISS = 1e-10
 LONG_LIST = 32
 FEW_APART = 32
+HOT_SHARE = 2000
 
 
 def shared_at_least(k: int, percent: int) -> int:
@@ -247,9 +248,12 @@ def _rest_pairs(mixed: DataFrame, tested: DataFrame, sets: DataFrame, percent: i
         # a pair outside the largest component is met from both ends; one is enough
         .filter((F.col("component") == F.col("largest")) | (F.col("id") < F.col("x")))
     )
-    many = mixed.join(apart.filter(F.col("apart") > FEW_APART).select("value"), "value", "left_semi")
-    met = _met_by_rarest(many, sets, percent).filter((F.col("component") != F.col("xcomponent")) & _possible(percent))
-    pairs = near.select("x", F.col("id").alias("y")).union(met.select("x", F.col("id").alias("y")))
+    pairs = near.select("x", F.col("id").alias("y"))
+    crowded = apart.filter(F.col("apart") > FEW_APART).select("value")
+    if crowded.take(1):
+        met = _met_by_rarest(mixed.join(crowded, "value", "left_semi"), sets, percent)
+        met = met.filter((F.col("component") != F.col("xcomponent")) & _possible(percent))
+        pairs = pairs.union(met.select("x", F.col("id").alias("y")))
     return _ordered(pairs).join(tested, ["a", "b"], "left_anti")
 
 
@@ -267,18 +271,30 @@ def _met_by_rarest(many: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         many.groupBy("id").agg(*(F.first(c).alias(c) for c in of_member), F.max(F.col("component") != F.col("largest")).alias("apart")),
         "members",
     )
-    held = members.select("id").join(sets.select(F.col("doc_id").alias("id"), "shingles"), "id")
-    held = written(held.select("id", F.explode("shingles").alias("shingle")), "shingles")
-    common = held.groupBy("shingle").agg(F.count("*").alias("held")).filter("held > 1")
-    rarest = (
-        held.join(common, "shingle")
+    own = written(members.select("id").join(sets.select(F.col("doc_id").alias("id"), "shingles"), "id"), "shingles")
+    shingles = own.select(F.explode("shingles").alias("shingle"))
+    common = written(shingles.groupBy("shingle").agg(F.count("*").alias("held")).filter("held > 1"), "held")
+    # the commonest, fewer than HOT_SHARE, are the last of every set and stay in it; only the others are joined with their counts
+    is_hot = F.col("held") * HOT_SHARE > (common.agg(F.sum("held")).first()[0] or 0)
+    hot = common.filter(is_hot).agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("hot")).select(F.col("hot.shingle").alias("hot"))
+    own = own.crossJoin(F.broadcast(hot)).select(
+        "id", F.array_intersect("hot", "shingles").alias("hot"), F.array_except("shingles", "hot").alias("shingles")
+    )
+    cold = (
+        own.select("id", F.explode("shingles").alias("shingle"))
+        .join(common.filter(~is_hot), "shingle")
         .groupBy("id")
-        .agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("rare"))
+        .agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("cold"))
+    )
+    rarest = (
+        own.select("id", "hot")
+        .join(cold, "id", "left")
         .join(members, "id")
+        .withColumn("rare", F.concat(F.coalesce(F.col("cold.shingle"), F.array().cast("array<bigint>")), "hot"))
         # shingles that no other member holds are the rarest, and meet nothing
         .withColumn("take", F.size("rare") - F.ceil(F.col("n") * percent / 100) + 1)
         .filter("take > 0")
-        .withColumn("shingle", F.explode(F.slice("rare", F.lit(1), F.col("take").cast("int"))["shingle"]))
+        .withColumn("shingle", F.explode(F.slice("rare", F.lit(1), F.col("take").cast("int"))))
     )
     rarest = written(rarest.select("shingle", "id", *of_member, "apart"), "rarest")
     other = rarest.filter("apart").select("shingle", *_other())
@@ -331,7 +347,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     labels = components(links)
     tested = star
     for pairs_of in (_round_pairs, partial(_rest_pairs, sets=sets)):
-        pairs = written(pairs_of(_mixed(lists, labels, sets), tested, percent=percent), "pairs")
+        mixed = _mixed(lists, labels, sets)
+        if not mixed.take(1):  # every pair of a list is joined already
+            break
+        pairs = written(pairs_of(mixed, tested, percent=percent), "pairs")
         tested = tested.union(pairs)
         found = written(_verified(_estimated(pairs, reps, percent), sets, percent), "found")
         if found.take(1):
